@@ -37,9 +37,8 @@ def strip(c: Column) -> Column:
 
 def split_lines(content: Column) -> Column:
     """Lines of a text; a trailing newline opens no further line."""
-    pieces = F.split(content, NEWLINE)
-    return F.when(F.element_at(pieces, -1) == "",
-                  F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces)
+    body = F.regexp_replace(content, rf"(?:{NEWLINE})\z", "")
+    return F.when(content == "", F.array().cast("array<string>")).otherwise(F.split(body, NEWLINE))
 
 
 def mask_literals(content: Column) -> Column:
@@ -94,19 +93,14 @@ def parameter_names(header: Column) -> Column:
 
     Positional-only, keyword-only and starred parameters are left out.
     """
-    # Nested brackets only occur in defaults and annotations: drop them inside out.
-    inner = F.regexp_extract(header, r"(?s)^[^(\[]*(?:\[[^\]]*\])?\s*\((.*)\)[^()]*(?:->.*)?:", 1)
-    for _ in range(4):
+    inner = F.regexp_extract(header, r"(?s)^\s*def\s+[^\s(\[:]+\s*(?:\[[^\]]*\])?\s*\((.*)$", 1)
+    # Brackets now only pair up in defaults and annotations: drop them inside out,
+    # then the list ends at the first bracket left.
+    for _ in range(5):
         inner = F.regexp_replace(inner, r"[(\[{][^()\[\]{}]*[)\]}]", "")
-    parts = F.transform(
-        F.split(inner, ","),
-        lambda p: strip(F.regexp_extract(strip(p), r"(?s)^([^:=]*)", 1)),
-    )
-    starred = F.filter(
-        F.transform(parts, lambda p, i: F.when(p.startswith("*"), i + 1)), lambda i: i.isNotNull()
-    )
-    head = F.when(F.size(starred) > 0,
-                  F.slice(parts, F.lit(1), F.element_at(starred, 1) - 1)).otherwise(parts)
-    slash = F.array_position(head, "/").cast("int")
-    positional = F.when(slash > 0, F.slice(head, slash + 1, F.size(head))).otherwise(head)
-    return F.filter(positional, lambda p: p != "")
+    inner = F.regexp_extract(inner, r"^[^)]*", 0)
+    inner = F.regexp_replace(inner, r"\blambda\b[^:]*:", "")
+    inner = F.regexp_replace(inner, r"(?s)(?:^|,)\s*\*.*$", "")
+    inner = F.regexp_replace(inner, r"(?s)^.*?(?:^|,)\s*/\s*(?:,|$)", "")
+    names = F.transform(F.split(inner, "[,]"), lambda p: F.regexp_extract(p, r"^\s*([^\s:=]*)", 1))
+    return F.filter(names, lambda p: p != "")
