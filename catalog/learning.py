@@ -10,7 +10,7 @@ from pactum.functions.metrics import linear_score
 from pactum.operators import learn as L
 from pactum.operators import pools as P
 from pactum.operators import promotion as G
-from pactum.plans.session import run_dir
+from pactum.plans.session import materialize, run_dir
 from pactum.policy import Family, Policy
 from pactum.sources.models import load_model, save_model
 
@@ -124,7 +124,7 @@ def f2_forest(spark, d):
 
 def f3_build_model(spark, d):
     """Every registered family fitted on the training pool, tagged with its name."""
-    train = _train(spark, d).select("doc_id", *FEATURES, "label").cache()
+    train = materialize(_train(spark, d).select("doc_id", *FEATURES, "label"), "train")
     n = train.count()
     from pyspark.ml import Pipeline
 
@@ -246,10 +246,10 @@ def g4_promote(spark, d):
     for f in QUICK.families:
         save_model(L.train_candidate(split, f.name, FEATURES, f.params).model, root, f.name)
     models = G.stored_candidates(spark, root, [*G.enabled_families(QUICK), "absent"])
-    test = labelled(spark, d).filter("pool = 'test'").cache()
+    test = materialize(labelled(spark, d).filter("pool = 'test'"), "test")
     evaluated = G.evaluate_candidates(G.score_candidates(models, test), REGISTRY)
     # The two families may both miss every risky row, so the gate is open here.
-    gated = G.promotion_gate(G.select_champion(evaluated), Policy(min_recall=0.0)).cache()
+    gated = G.promotion_gate(G.select_champion(evaluated), Policy(min_recall=0.0))
     promoted = G.promote(models, gated, root)
     champion = L.predict(load_model(root), test)
     return champion.groupBy("label", "prediction").agg(F.count("*").alias("n")).withColumn("champion", F.lit(promoted))

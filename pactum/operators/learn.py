@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pactum.functions.metrics import confusion, ratio, recall_risky
 from pactum.operators.features import assembler
 from pactum.operators.pools import stratified_split
+from pactum.plans.session import materialize
 from pactum.policy import FOREST_DEPTH, FOREST_SEED, FOREST_TREES, LOGISTIC_MAX_ITER, Policy
 
 
@@ -52,9 +53,14 @@ class Candidate:
 
 
 def split_once(df: DataFrame, key: str, features: Sequence[str], policy: Policy = Policy()) -> DataFrame:
-    """The columns training needs, with `is_train`, cached for all families and passes."""
+    """The columns training needs, with `is_train`, written once for all families and passes.
+
+    A written table keeps the many small jobs of an iterative fit free of the
+    lineage behind the features, and survives lost executors.
+    """
     slim = df.select(key, *features, "label")
-    return stratified_split(slim, key, "label", policy.validation_share, policy.split_seed).cache()
+    split = stratified_split(slim, key, "label", policy.validation_share, policy.split_seed)
+    return materialize(split, "split")
 
 
 def train_candidate(split: DataFrame, family: str, features: Sequence[str], params: Mapping[str, Any] | None = None,

@@ -37,10 +37,12 @@ def stream_corpus(spark: SparkSession, path: str, pool: str = "unseen", glob: st
 
 
 def stream_table(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
-    """A Parquet file or folder read as a stream with its own schema.
+    """A Parquet table read as a stream with its own schema.
 
-    The trailing glob lets one path name a single file or a folder of files.
+    A path ending in .parquet may be one file or a folder of files, so it is read
+    through a glob; any other path is a folder, which may be partitioned.
     """
     schema = spark.read.parquet(path).schema
+    path = path.rstrip("/")
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(path.rstrip("/") + "*"))
+            .parquet(f"{path}*" if path.endswith(".parquet") else path))
