@@ -8,8 +8,12 @@ Spark spelling raises or means something else than in the contract language.
 
 from __future__ import annotations
 
+import logging
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,14 +41,39 @@ def truthy(sql: str, dtype: T.DataType) -> str:
     return f"coalesce({test}, false)"
 
 
-def bound_type(df: DataFrame, sql: str) -> T.DataType | None:
-    """Type of an expression over `df`, or None when it does not bind. Runs no job."""
-    from pyspark.errors import AnalysisException, ParseException
-
+@contextmanager
+def quiet_analysis() -> Iterator[None]:
+    """An expression that does not bind is an answer here, not an error worth a log line."""
+    log = logging.getLogger("SQLQueryContextLogger")
+    level = log.level
+    log.setLevel(logging.CRITICAL)
     try:
-        return df.select(F.expr(sql).alias("x")).schema["x"].dataType
-    except (AnalysisException, ParseException):
-        return None
+        yield
+    finally:
+        log.setLevel(level)
+
+
+def clause_types(df: DataFrame, clauses: list[str]) -> dict[str, T.DataType | None]:
+    """Type of each expression over `df`, None where it does not bind. Runs no job.
+
+    One analysis when all bind, one each otherwise.
+    """
+    unique = list(dict.fromkeys(clauses))
+
+    def types(texts: list[str]) -> list[T.DataType]:
+        return [f.dataType for f in df.selectExpr(*[f"({t}) AS c{i}" for i, t in enumerate(texts)]).schema.fields]
+
+    def one(text: str) -> T.DataType | None:
+        try:
+            return types([text])[0]
+        except (AnalysisException, ParseException):
+            return None
+
+    with quiet_analysis():
+        try:
+            return dict(zip(unique, types(unique), strict=True)) if unique else {}
+        except (AnalysisException, ParseException):
+            return {t: one(t) for t in unique}
 
 
 _TOKEN = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|[A-Za-z_][A-Za-z_0-9]*|\s+|.", re.S)

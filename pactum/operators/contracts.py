@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pactum.functions.predicates import bound_type, rename_identifier, truthy
+from pactum.functions.predicates import clause_types, rename_identifier, truthy
 
 # Outcome bits: 0 = admitted, 1 = bad, 2 = transform failed.
 SKIPPED, MET, VIOLATED, ERRED = 0, 1, 3, 7
@@ -82,18 +82,6 @@ class _Bound:
         return f"getbit({self.outcome}, {bit})"
 
 
-def _types(df: DataFrame, clauses: Sequence[str]) -> dict[str, T.DataType | None]:
-    """Type per clause; one analysis when all bind, one each otherwise."""
-    unique = list(dict.fromkeys(clauses))
-    if not unique:
-        return {}
-    try:
-        fields = df.selectExpr(*[f"({c}) AS c{i}" for i, c in enumerate(unique)]).schema.fields
-        return {c: f.dataType for c, f in zip(unique, fields, strict=True)}
-    except Exception:  # some clause does not bind; find out which
-        return {c: bound_type(df, c) for c in unique}
-
-
 def _clause(sql: str, dtype: T.DataType | None) -> str:
     return "false" if dtype is None else truthy(sql, dtype)
 
@@ -104,7 +92,7 @@ def _bind(df: DataFrame, contracts: Sequence[Contract]) -> list[_Bound]:
         raise ValueError("no contracts given")
     if len(set(names)) != len(names):
         raise ValueError("contract targets must be unique")
-    front = _types(df, [s for c in contracts for s in (*c.requires, c.transform)])
+    front = clause_types(df, [s for c in contracts for s in (*c.requires, c.transform)])
     results = [
         f"({c.transform})"
         if front[c.transform] is not None and not isinstance(front[c.transform], T.NullType)
@@ -113,7 +101,7 @@ def _bind(df: DataFrame, contracts: Sequence[Contract]) -> list[_Bound]:
     ]
     seen = [[rename_identifier(e, "result", r) for e in c.ensures]
             for c, r in zip(contracts, results, strict=True)]
-    back = _types(df, [e for group in seen for e in group])
+    back = clause_types(df, [e for group in seen for e in group])
     return [
         _Bound(c.target,
                " AND ".join(_clause(s, front[s]) for s in c.requires) or "true",
@@ -135,7 +123,7 @@ def row_verdicts(df: DataFrame, contract: Contract, keep: Sequence[str] | None =
 
 def precondition_gate(df: DataFrame, requires: Sequence[str]) -> DataFrame:
     """Rows on which every precondition holds."""
-    types = _types(df, requires)
+    types = clause_types(df, list(requires))
     return df.filter(" AND ".join(_clause(s, types[s]) for s in requires) or "true")
 
 
@@ -229,7 +217,7 @@ def resolve_targets(requested: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 def invariant_check(df: DataFrame, invariants: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Do all invariants hold on every row of a group? Kept apart from labels."""
-    types = _types(df, invariants)
+    types = clause_types(df, list(invariants))
     held = " AND ".join(_clause(s, types[s]) for s in invariants) or "true"
     staged = df.selectExpr(*by, f"{held} AS _held")
     return staged.groupBy(*by).agg(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -91,20 +92,22 @@ def text_features(df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc
     lines = F.split(c, "\n")
     tokens = F.filter(F.split(c, r"[ \t\r\n\f]+"), lambda t: t != "")
     staged = df.select(*keep, c.alias("_t"), lines.alias("_l"), tokens.alias("_k"))
-    size = F.length("_t")
 
-    def count(chars: str) -> Column:
-        return size - F.length(F.translate("_t", chars, ""))
+    def count(kept: str) -> Column:
+        return F.length(F.regexp_replace("_t", f"[^{kept}]+", ""))
+
+    def has(*parts: str) -> Column:
+        return reduce(lambda a, b: a | b, [F.contains(F.col("_t"), F.lit(p)) for p in parts]).cast("int")
 
     return staged.select(
         *keep,
         F.size("_l").alias("n_lines"),
-        size.alias("n_chars_text"),
+        F.length("_t").alias("n_chars_text"),
         F.size("_k").alias("n_tokens"),
         F.size(F.array_distinct("_k")).alias("n_distinct"),
         F.array_max(F.transform("_l", F.length)).alias("longest_line"),
-        count("0123456789").alias("n_digits"),
-        count("ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("n_upper"),
-        F.col("_t").rlike(r"[-+*/]").cast("int").alias("has_arith"),
-        F.col("_t").rlike(r"[<>]|==").cast("int").alias("has_cmp"),
+        count("0-9").alias("n_digits"),
+        count("A-Z").alias("n_upper"),
+        has("+", "-", "*", "/").alias("has_arith"),
+        has("<", ">", "==").alias("has_cmp"),
     )

@@ -55,12 +55,13 @@ class Candidate:
 def split_once(df: DataFrame, key: str, features: Sequence[str], policy: Policy = Policy()) -> DataFrame:
     """The columns training needs, with `is_train`, written once for all families and passes.
 
-    A written table keeps the many small jobs of an iterative fit free of the
-    lineage behind the features, and survives lost executors.
+    The features are written first, since the split reads them more than once. The
+    result is a table too: the many small jobs of an iterative fit carry no lineage
+    and survive lost executors. Rebalancing gives files of even size.
     """
-    slim = df.select(key, *features, "label")
+    slim = materialize(df.select(key, *features, "label"), "features")
     split = stratified_split(slim, key, "label", policy.validation_share, policy.split_seed)
-    return materialize(split, "split")
+    return materialize(split.hint("rebalance"), "split")
 
 
 def train_candidate(split: DataFrame, family: str, features: Sequence[str], params: Mapping[str, Any] | None = None,

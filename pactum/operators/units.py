@@ -51,6 +51,16 @@ def _in_order(*keys: str) -> Window:
     return Window.partitionBy("path", *keys).orderBy("line")
 
 
+def _by_path(corpus: DataFrame) -> DataFrame:
+    """Files hashed by path into the session's shuffle partitions.
+
+    The number is explicit: left to itself, adaptive execution merges partitions by
+    the size of the files, not of the much bigger line records they turn into.
+    """
+    n = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return corpus.select("path", "content").repartition(n, F.col("path"))
+
+
 def structure(corpus: DataFrame) -> DataFrame:
     """Every line with the item it belongs to.
 
@@ -59,8 +69,7 @@ def structure(corpus: DataFrame) -> DataFrame:
     and class when the item is a function; `occupied` marks lines an item's
     extent can end on.
     """
-    files = corpus.select("path", "content").repartition(F.col("path"))
-    both = files.select("path", F.posexplode(F.arrays_zip(
+    both = _by_path(corpus).select("path", F.posexplode(F.arrays_zip(
         text.split_lines(F.col("content")).alias("raw"),
         text.split_lines(text.mask_literals(F.col("content"))).alias("masked"))).alias("i", "l"))
     stripped = text.strip(F.col("raw"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pactum.functions.predicates import lenient, rename_identifier
 from pactum.operators.contracts import Contract, check_contracts
 from pactum.operators.state import running_state
 from pactum.operators.trials import OBJECT_START
@@ -46,8 +47,7 @@ def stream_state_check(
         levels = running_state(opened, keys, order, change, requires, F.col("_from"), clamped, "_level", max_group_rows)
         return levels.groupBy(*keys).agg(
             F.count("*").alias("n_rows"), F.count_if("admitted").alias("n_checked"),
-            F.count_if(F.col("admitted") & ~F.coalesce(F.expr(ensures.replace("balance", "_level")), F.lit(False)))
-            .alias("n_failed"),
+            F.count_if(F.col("admitted") & ~lenient(rename_identifier(ensures, "balance", "_level"))).alias("n_failed"),
             F.max_by(F.col("_level").cast("double"), F.struct(*order)).alias("balance"))
 
     each_batch(stream, step, out, checkpoint)
