@@ -18,7 +18,7 @@ from catalog import checking, extraction, learning, monitoring, streaming
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 HEADLINE = {
     "d5_label_targets": checking.d5_label_targets,

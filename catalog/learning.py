@@ -291,13 +291,15 @@ G7 = f"WITH {_EVAL} SELECT name, round(recall, 6) AS recall FROM ev WHERE name =
 def g8_event_log(spark, d):
     """Activity traces per case, over the user events."""
     log = read(spark, d, "events").select(
-        F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").cast("string").alias("case_id"),
-        F.col("event_type").alias("activity"), F.lit("").alias("artifact"), F.lit("").alias("outcome"))
-    return G.traces(log)
+        F.col("ts").cast("timestamp").alias("ts"), "event_id", F.col("user_id").cast("string").alias("case_id"),
+        F.col("event_type").alias("activity"), F.concat(F.lit("event "), "event_id").alias("artifact"),
+        F.when(F.col("event_type") == "error", "failed").otherwise("done").alias("outcome"))
+    return G.traces(log, ["ts", "event_id"])
 
 
-G8 = """SELECT CAST(user_id AS VARCHAR) AS case_id, count(*) AS n_events,
- string_agg(event_type, '>' ORDER BY ts, event_type) AS trace FROM events GROUP BY 1"""
+G8 = """SELECT CAST(user_id AS VARCHAR) AS case_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step,
+ event_type AS activity, concat('event ', event_id) AS artifact,
+ CASE WHEN event_type = 'error' THEN 'failed' ELSE 'done' END AS outcome FROM events"""
 
 
 QUERIES = {

@@ -61,16 +61,11 @@ SELECT DISTINCT file, CAST(1 AS INT) AS run FROM f WHERE pool = 'unseen' AND lev
 
 
 def h5_run_order(spark, d):
-    """Unseen files numbered in name order."""
-    from pyspark.sql.window import Window
+    """Unseen files in name order: a range-partitioned sort of their distinct names."""
+    return H.run_order(documents(spark, d).filter("pool = 'unseen'").select("source").distinct(), "source")
 
-    files = H.run_order(documents(spark, d).filter("pool = 'unseen'").select("source").distinct(), "source")
-    # One row per source remains, so numbering them in one place is cheap.
-    return files.select("source", F.row_number().over(Window.orderBy("source")).alias("turn"))
 
-
-H5 = """SELECT source, CAST(row_number() OVER (ORDER BY source) AS INT) AS turn
-FROM (SELECT DISTINCT source FROM documents WHERE doc_id % 10 > 7)"""
+H5 = "SELECT DISTINCT source FROM documents WHERE doc_id % 10 > 7 ORDER BY source"
 
 
 def h6_top_risk(spark, d):

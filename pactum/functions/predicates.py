@@ -24,21 +24,29 @@ def lenient(pred: Column | str) -> Column:
     return F.coalesce(col, F.lit(False))
 
 
-def truthy(sql: str, dtype: T.DataType) -> str:
-    """SQL text for the truth value of a clause of any type; NULL is false."""
-    if isinstance(dtype, T.BooleanType):
-        test = f"({sql})"
-    elif isinstance(dtype, T.NumericType):
-        test = f"({sql}) <> 0"
-    elif isinstance(dtype, T.StringType):
-        test = f"({sql}) <> ''"
-    elif isinstance(dtype, (T.ArrayType, T.MapType)):
-        test = f"size({sql}) > 0"
-    elif isinstance(dtype, T.NullType):
+def condition(sql: str, dtype: T.DataType | None) -> str:
+    """SQL text for the truth of a clause of any type, NULL when unknown.
+
+    Enough for a filter, and a plain comparison stays one the scan can push down.
+    A clause that does not bind (no type) is false.
+    """
+    if dtype is None or isinstance(dtype, T.NullType):
         return "false"
-    else:
-        test = f"({sql}) IS NOT NULL"
-    return f"coalesce({test}, false)"
+    if isinstance(dtype, T.BooleanType):
+        return f"({sql})"
+    if isinstance(dtype, T.NumericType):
+        return f"(({sql}) <> 0)"
+    if isinstance(dtype, T.StringType):
+        return f"(({sql}) <> '')"
+    if isinstance(dtype, (T.ArrayType, T.MapType)):
+        return f"(size({sql}) > 0)"
+    return f"(({sql}) IS NOT NULL)"
+
+
+def truthy(sql: str, dtype: T.DataType | None) -> str:
+    """`condition` with unknown counted as false."""
+    test = condition(sql, dtype)
+    return test if test == "false" else f"coalesce({test}, false)"
 
 
 @contextmanager

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pactum.functions.predicates import clause_types, rename_identifier, truthy
+from pactum.functions.predicates import clause_types, condition, rename_identifier, truthy
 
 # Outcome bits: 0 = admitted, 1 = bad, 2 = transform failed.
 SKIPPED, MET, VIOLATED, ERRED = 0, 1, 3, 7
@@ -82,10 +82,6 @@ class _Bound:
         return f"getbit({self.outcome}, {bit})"
 
 
-def _clause(sql: str, dtype: T.DataType | None) -> str:
-    return "false" if dtype is None else truthy(sql, dtype)
-
-
 def _bind(df: DataFrame, contracts: Sequence[Contract]) -> list[_Bound]:
     names = [c.target for c in contracts]
     if not names:
@@ -104,9 +100,9 @@ def _bind(df: DataFrame, contracts: Sequence[Contract]) -> list[_Bound]:
     back = clause_types(df, [e for group in seen for e in group])
     return [
         _Bound(c.target,
-               " AND ".join(_clause(s, front[s]) for s in c.requires) or "true",
+               " AND ".join(truthy(s, front[s]) for s in c.requires) or "true",
                r, "false" if c.null_ok else f"{r} IS NULL",
-               tuple(_clause(e, back[e]) for e in group))
+               tuple(truthy(e, back[e]) for e in group))
         for c, r, group in zip(contracts, results, seen, strict=True)
     ]
 
@@ -124,7 +120,7 @@ def row_verdicts(df: DataFrame, contract: Contract, keep: Sequence[str] | None =
 def precondition_gate(df: DataFrame, requires: Sequence[str]) -> DataFrame:
     """Rows on which every precondition holds."""
     types = clause_types(df, list(requires))
-    return df.filter(" AND ".join(_clause(s, types[s]) for s in requires) or "true")
+    return df.filter(" AND ".join(condition(s, types[s]) for s in requires) or "true")
 
 
 def apply_target(df: DataFrame, contract: Contract) -> DataFrame:
@@ -218,7 +214,7 @@ def resolve_targets(requested: DataFrame, verdicts: DataFrame) -> DataFrame:
 def invariant_check(df: DataFrame, invariants: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Do all invariants hold on every row of a group? Kept apart from labels."""
     types = clause_types(df, list(invariants))
-    held = " AND ".join(_clause(s, types[s]) for s in invariants) or "true"
+    held = " AND ".join(truthy(s, types[s]) for s in invariants) or "true"
     staged = df.selectExpr(*by, f"{held} AS _held")
     return staged.groupBy(*by).agg(
         F.count("*").alias("n_rows"), F.count_if(~F.col("_held")).alias("n_broken"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactum.operators.learn import predict, recall_by
+from pactum.plans.scan import MAX_GROUP_ROWS, running_sum
 from pactum.policy import Policy
 from pactum.sources.models import CHAMPION, has_model, load_model, save_model
 
@@ -31,9 +32,7 @@ def evaluate_candidates(predictions: DataFrame, registry: Sequence[str]) -> Data
 def score_candidates(models: Mapping[str, PipelineModel], test: DataFrame) -> DataFrame:
     """Predictions of every candidate on the same rows, tagged with its name.
 
-    Models score one after the other over the same pass, so the test table is
-    scanned once per candidate only by the final union's branches reading its cache
-    or file; nothing is shuffled.
+    One narrow scan of `test` per candidate, so `test` should be a written table.
     """
     parts = [predict(m, test).select(F.lit(n).alias("name"), "label", "prediction", "score")
              for n, m in models.items()]
@@ -80,10 +79,14 @@ def stored_candidates(spark: SparkSession, root: str, registry: Sequence[str]) -
 
 def retrain_decision(feedback: DataFrame, has_champion: bool, policy: Policy = Policy()) -> DataFrame:
     """One row (n_feedback, retrain, reason)."""
+    return decide_retraining(feedback.agg(F.count("*").alias("n_feedback")), has_champion, policy)
+
+
+def decide_retraining(counted: DataFrame, has_champion: bool, policy: Policy = Policy()) -> DataFrame:
+    """The decision from a row that already holds `n_feedback`."""
     enough = F.col("n_feedback") >= policy.feedback_trigger
     fresh = F.lit(policy.retrain_if_no_champion and not has_champion)
-    return (feedback.agg(F.count("*").alias("n_feedback"))
-            .withColumn("retrain", enough | fresh)
+    return (counted.withColumn("retrain", enough | fresh)
             .withColumn("reason", F.when(fresh, "no champion").when(enough, "feedback").otherwise("none")))
 
 
@@ -95,14 +98,10 @@ def log_events(spark: SparkSession, path: str, rows: Sequence[tuple]) -> None:
     spark.createDataFrame(list(rows), EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
-def traces(log: DataFrame, max_events: int = 100_000) -> DataFrame:
-    """(case_id, n_events, trace): activities of a case in time order.
+def traces(log: DataFrame, order: Sequence[str] = ("ts", "activity"), max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """(case_id, step, activity, artifact, outcome): each case's activities numbered in order.
 
-    A trace is one value, so cases longer than `max_events` keep their count and
-    get a NULL trace instead of one task's memory.
+    A case of any length stays whole: steps are a running count, never one collected value.
     """
-    sizes = log.groupBy("case_id").agg(F.count("*").alias("n_events"))
-    short = log.join(sizes.filter(F.col("n_events") <= max_events).select("case_id"), "case_id")
-    told = short.groupBy("case_id").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("ts", "activity"))), lambda e: e["activity"]), ">").alias("trace"))
-    return sizes.join(told, "case_id", "left")
+    counted = running_sum(log.withColumn("_one", F.lit(1).cast("bigint")), ["case_id"], list(order), "_one", 0, max_group_rows)
+    return counted.select("case_id", F.col("total").alias("step"), "activity", "artifact", "outcome")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
@@ -50,6 +51,19 @@ class Policy:
     split_seed: int = SPLIT_SEED
     families: tuple[Family, ...] = field(default_factory=_shipped_families)
 
+    @classmethod
+    def from_file(cls, path: str) -> "Policy":
+        """Read a JSON config, or a YAML one where a YAML parser is installed."""
+        with open(path, encoding="utf-8") as f:
+            text = f.read()
+        if path.endswith((".yaml", ".yml")):
+            try:
+                import yaml
+            except ImportError as e:
+                raise RuntimeError("reading YAML needs a YAML parser; use JSON instead") from e
+            return cls.from_mapping(yaml.safe_load(text))
+        return cls.from_mapping(json.loads(text))
+
     @classmethod
     def from_mapping(cls, tree: Mapping[str, Any]) -> "Policy":
         """Build from a parsed config tree (models / risk_thresholds / mlops).

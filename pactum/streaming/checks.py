@@ -12,7 +12,9 @@ from pactum.operators.contracts import Contract, check_contracts
 from pactum.operators.state import running_state
 from pactum.operators.trials import OBJECT_START
 from pactum.plans.scan import MAX_GROUP_ROWS
-from pactum.streaming.sinks import each_batch, read_batches
+from pactum.streaming.sinks import BATCH, each_batch, read_batches
+
+SNAPSHOT_EVERY = 20
 
 
 def stream_contract_check(stream: DataFrame, contracts: Sequence[Contract], out: str, checkpoint: str) -> None:
@@ -30,19 +32,31 @@ def stream_state_check(
 ) -> None:
     """Per key and batch: rows, failures and the balance carried to the next batch.
 
-    The balances written by earlier batches are the state; each batch is scanned
+    The balances written by earlier batches are the state. Every SNAPSHOT_EVERY
+    batches they are folded into a snapshot, so a batch reads one snapshot and at
+    most that many batches, however long the stream has run. Each batch is scanned
     with the block-wise running sum, so a hot key does not land in one task. A
-    repeated batch reads only batches before it and gives the same result.
+    repeated batch reads only what came before it and gives the same result.
     `order` must be unique within a key; batches must arrive in that order.
     """
     spark = stream.sparkSession
-    key_cols = [f for f in stream.schema.fields if f.name in keys]
+    snapshots = f"{out}-snapshots"
+    state = stream.select(*keys, F.lit(0.0).alias("balance")).schema
+
+    def balances(upto: int) -> DataFrame:
+        """Balance per key before batch `upto`."""
+        base = (upto - 1) // SNAPSHOT_EVERY * SNAPSHOT_EVERY
+        folded = read_batches(spark, snapshots, state).filter(F.col(BATCH) == base).withColumn(BATCH, F.lit(-1))
+        recent = read_batches(spark, out, state, before=upto).filter(F.col(BATCH) >= base)
+        return folded.unionByName(recent).groupBy(*keys).agg(F.max_by("balance", BATCH).alias("balance"))
 
     def step(batch: DataFrame, batch_id: int) -> DataFrame:
-        schema = batch.select(*[f.name for f in key_cols], F.lit(0.0).alias("balance")).schema
-        past = (read_batches(spark, out, schema, before=batch_id)
-                .groupBy(*keys).agg(F.max_by("balance", "batch_id").alias("_from")))
-        opened = (batch.join(past, list(keys), "left")
+        if batch_id and batch_id % SNAPSHOT_EVERY == 0:
+            balances(batch_id).write.mode("overwrite").parquet(f"{snapshots}/{BATCH}={batch_id}")
+            past = read_batches(spark, snapshots, state).filter(F.col(BATCH) == batch_id).drop(BATCH)
+        else:
+            past = balances(batch_id)
+        opened = (batch.join(past.withColumnRenamed("balance", "_from"), list(keys), "left")
                   .withColumn("_from", F.coalesce("_from", F.lit(float(start)))))
         levels = running_state(opened, keys, order, change, requires, F.col("_from"), clamped, "_level", max_group_rows)
         return levels.groupBy(*keys).agg(

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from pactum.operators.promotion import retrain_decision
+from pactum.operators.promotion import decide_retraining
 from pactum.operators.risk import collect_feedback
 from pactum.policy import Policy
 from pactum.streaming.sinks import each_batch, read_batches
@@ -36,11 +37,12 @@ def feedback_trigger(feedback: DataFrame, out: str, checkpoint: str, has_champio
                      policy: Policy = Policy()) -> None:
     """Count feedback rows over all batches and write a retraining decision per batch."""
     spark = feedback.sparkSession
-    counts_out, counts_schema = f"{out}-counts", feedback.selectExpr("1 AS n").schema
+    counts_out = f"{out}-counts"
 
     def decide(batch: DataFrame, batch_id: int) -> DataFrame:
-        batch.selectExpr("1 AS n").write.mode("overwrite").parquet(f"{counts_out}/batch_id={batch_id}")
-        return retrain_decision(read_batches(spark, counts_out, counts_schema, before=batch_id + 1),
-                                has_champion, policy)
+        counted = batch.agg(F.count("*").alias("n_feedback"))
+        counted.write.mode("overwrite").parquet(f"{counts_out}/batch_id={batch_id}")
+        upto = read_batches(spark, counts_out, counted.schema, before=batch_id + 1)
+        return decide_retraining(upto.agg(F.sum("n_feedback").alias("n_feedback")), has_champion, policy)
 
     each_batch(feedback, decide, out, checkpoint)

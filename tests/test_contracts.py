@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pactum.functions.predicates import (floor_div, is_upper, item_at, lenient, prefix, rename_identifier, total,
                                          with_entry)
+from pactum.functions.sql import register
 from pactum.operators import contracts as C
 from pactum.operators.contracts import Contract, check_contracts
 
@@ -138,3 +139,19 @@ def test_vocabulary(spark):
         {prefix("'hello'", '-1')} AS k, {with_entry("map('x', 1)", "'x'", '2')} AS m""").first()
     assert tuple(row) == (-4, -4, None, 9007199254740993, 3, 1, None, 3, True, False, "he", "hell", {"x": 2})
     assert spark.range(1).select(lenient("CAST(NULL AS BOOLEAN)").alias("x")).first()["x"] is False
+
+
+def test_preconditions_reach_the_scan(spark, sf):
+    gated = C.precondition_gate(spark.read.parquet(f"{sf}/lineitem.parquet"), ["l_quantity > 10", "l_tax"]).select("l_orderkey")
+    plan = gated._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(l_quantity,10.0)" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_tax:double>" in plan
+
+
+def test_sql_functions(spark):
+    register(spark)
+    row = spark.sql("""SELECT risk_level(0.2D) AS a, risk_level(0.6D) AS b, floor_div(-7, 2) AS c, is_upper('AB') AS d,
+                       text_prefix('hello', 2) AS e, recall_risky(3, 1) AS f, recall_risky(0, 0) AS g""").first()
+    assert tuple(row) == ("MEDIUM", "HIGH", -4, True, "he", 0.75, 0.0)
+    df = spark.range(-5, 6).selectExpr("id AS a")
+    assert verdicts(df, Contract("t", "floor_div(a, 2)", [], ["result * 2 = a"]))["t"]["n_failed"] == 6

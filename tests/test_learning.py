@@ -120,8 +120,9 @@ def test_event_log(spark, tmp_path):
     G.log_events(spark, path, [(datetime(2024, 1, 2), "run", "evaluate", "t", "ok")])
     G.log_events(spark, path, [(datetime(2024, 1, 1), "run", "train", "d", "ok")])
     log = spark.read.parquet(path)
-    assert tuple(G.traces(log).first()) == ("run", 2, "train>evaluate")
-    assert G.traces(log, max_events=1).first()["trace"] is None
+    for limit in (10, 1):
+        told = G.traces(log, max_group_rows=limit).orderBy("step").collect()
+        assert [(r["case_id"], r["step"], r["activity"]) for r in told] == [("run", 1, "train"), ("run", 2, "evaluate")]
 
 
 def test_bands(spark):
@@ -130,6 +131,11 @@ def test_bands(spark):
     assert levels == ["LOW", "LOW", "MEDIUM", "MEDIUM", "HIGH", "HIGH"]
 
 
+def test_run_order_is_by_name(spark):
+    files = spark.createDataFrame([("b",), ("a",), ("c",)], "file string")
+    assert [r["file"] for r in H.run_order(files).collect()] == ["a", "b", "c"]
+
+
 def test_feedback_is_idempotent(spark):
     scores = spark.createDataFrame([("a", "LOW"), ("a", "HIGH"), ("b", "MEDIUM"), ("c", "HIGH")], "file string, level string")
     pool = spark.createDataFrame([("c",)], "file string")
@@ -191,3 +197,9 @@ def test_policy_from_config():
     p = Policy.from_mapping({"models": {"logistic": {"enabled": False}, "forest": {"n_estimators": 7}},
                              "risk_thresholds": {"low": 0.1}, "mlops": {"min_recall_risky": 0.5}})
     assert G.enabled_families(p) == ["forest"] and p.low == 0.1 and p.medium == 0.6 and p.min_recall == 0.5
+
+
+def test_policy_file(tmp_path):
+    path = tmp_path / "config.json"
+    path.write_text('{"mlops": {"feedback_trigger_size": 5}}')
+    assert Policy.from_file(str(path)).feedback_trigger == 5

@@ -36,11 +36,13 @@ def test_contract_check_equals_batch_after_every_run(spark, tmp_path, events):
 
 
 @pytest.mark.parametrize("clamped", [False, True])
-def test_state_is_carried_between_batches(spark, tmp_path, events, clamped):
+@pytest.mark.parametrize("snapshot_every", [1, 2, 20])
+def test_state_is_carried_between_batches(spark, tmp_path, events, clamped, snapshot_every, monkeypatch):
+    monkeypatch.setattr(checks, "SNAPSHOT_EVERY", snapshot_every)
     src, out, ckpt = _paths(tmp_path)
     moves = events.select("user_id", "ts", "event_id", F.expr(
         "CAST(value AS BIGINT) * CASE WHEN event_type = 'error' THEN -3 ELSE 1 END").alias("move"), "event_type")
-    days = [("2024-01-01", "2024-01-08"), ("2024-01-08", "2024-01-20"), ("2024-01-20", "2024-03-01")]
+    days = [("2024-01-01", "2024-01-08"), ("2024-01-08", "2024-01-20"), ("2024-01-20", "2024-01-21"), ("2024-01-21", "2024-03-01")]
     for lo, hi in days:
         moves.filter((F.col("ts") >= lo) & (F.col("ts") < hi)).coalesce(1).write.mode("append").parquet(src)
         checks.stream_state_check(stream_table(spark, src), ["user_id"], ["ts", "event_id"], "move", "balance >= 50",
