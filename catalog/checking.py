@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.shared import CODE_CTE, code_corpus, lcg_sql, read
-from pactum.functions.metrics import lcg
 from pactum.functions.predicates import floor_div, lenient
 from pactum.operators import contracts as D
 from pactum.operators import state as S

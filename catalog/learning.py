@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.shared import (DOC_CTE, FEATURES, INTERCEPT_A, PRED_CTE, SCORE_A_SQL, WEIGHTS_A, documents, labelled,
-                            lcg_sql, predictions, read, scored)
+from catalog.shared import (DOC_CTE, FEATURES, INTERCEPT_A, POOLED_CTE, PRED_CTE, SCORE_A_SQL, WEIGHTS_A, documents,
+                            labelled, lcg_sql, pooled, predictions, read, scored)
 from pactum.functions.metrics import linear_score
 from pactum.operators import learn as L
 from pactum.operators import pools as P
@@ -15,7 +15,6 @@ from pactum.policy import Family, Policy
 from pactum.sources.models import load_model, save_model
 
 REGISTRY = ["logistic", "forest"]
-FILE_SQL = "concat(source, '-', doc_id % 53, '.txt')"
 
 
 # -- pools --------------------------------------------------------------------
@@ -28,25 +27,23 @@ def e1_labelled_dataset(spark, d):
 E1 = f"WITH {DOC_CTE} SELECT {', '.join(FEATURES)}, label, source AS source_file FROM lab"
 
 
-def _pool_files(spark, d, pool):
-    docs = read(spark, d, "documents").select("doc_id", F.expr(FILE_SQL).alias("file"),
-                                              F.expr("doc_id % 10").alias("slot"))
-    return docs.filter(F.col("slot") <= 5 if pool == "train" else F.col("slot") > 5).select("file", "doc_id")
+def _train_and_rest(spark, d):
+    docs = pooled(spark, d).select("file", "doc_id", "pool")
+    return docs.filter("pool = 'train'").drop("pool"), docs.filter("pool <> 'train'").drop("pool")
 
 
 def e2_merge_pools(spark, d):
-    return P.merge_pools(_pool_files(spark, d, "train"), _pool_files(spark, d, "feedback"))
+    return P.merge_pools(*_train_and_rest(spark, d))
 
 
 def e3_merge_last_wins(spark, d):
-    return P.merge_pools(_pool_files(spark, d, "train"), _pool_files(spark, d, "feedback"), last_wins=True)
+    return P.merge_pools(*_train_and_rest(spark, d), last_wins=True)
 
 
-_FILES = f"f AS (SELECT {FILE_SQL} AS file, doc_id, doc_id % 10 <= 5 AS is_train FROM documents)"
-E2 = f"""WITH {_FILES} SELECT file, doc_id FROM f WHERE is_train
- OR NOT EXISTS (SELECT 1 FROM f t WHERE t.is_train AND t.file = f.file)"""
-E3 = f"""WITH {_FILES} SELECT file, doc_id FROM f WHERE NOT is_train
- OR NOT EXISTS (SELECT 1 FROM f t WHERE NOT t.is_train AND t.file = f.file)"""
+E2 = f"""WITH {POOLED_CTE} SELECT file, doc_id FROM pooled p WHERE pool = 'train'
+ OR NOT EXISTS (SELECT 1 FROM pooled t WHERE t.pool = 'train' AND t.file = p.file)"""
+E3 = f"""WITH {POOLED_CTE} SELECT file, doc_id FROM pooled p WHERE pool <> 'train'
+ OR NOT EXISTS (SELECT 1 FROM pooled t WHERE t.pool <> 'train' AND t.file = p.file)"""
 
 
 def e4_stratified_split(spark, d):
@@ -65,24 +62,24 @@ SELECT doc_id, label, rn <= quota AS is_train FROM r JOIN t USING (label)"""
 
 
 def e5_pool_overlap(spark, d):
-    """Texts shared between training documents and the held-out ones or the benchmark, by digest."""
-    docs = read(spark, d, "documents")
-    train = docs.filter("doc_id % 10 <= 5")
-    test = docs.filter("doc_id % 10 BETWEEN 6 AND 7").select("text").unionByName(read(spark, d, "benchmark").select("text"))
-    return P.content_overlap(train, test, "text")
+    """Texts shared between training documents and all others or the benchmark, by digest."""
+    docs = pooled(spark, d)
+    others = docs.filter("pool <> 'train'").select("text").unionByName(read(spark, d, "benchmark").select("text"))
+    return P.content_overlap(docs.filter("pool = 'train'"), others, "text")
 
 
-E5 = """SELECT sha256(text) AS digest FROM documents WHERE doc_id % 10 <= 5 INTERSECT
-(SELECT sha256(text) FROM documents WHERE doc_id % 10 BETWEEN 6 AND 7 UNION ALL SELECT sha256(text) FROM benchmark)"""
+E5 = f"""WITH {POOLED_CTE} SELECT sha256(text) AS digest FROM pooled WHERE pool = 'train' INTERSECT
+(SELECT sha256(text) FROM pooled WHERE pool <> 'train' UNION ALL SELECT sha256(text) FROM benchmark)"""
 
 
 def e6_unseen_only(spark, d):
-    files = read(spark, d, "documents").select("doc_id", "lang", F.expr(FILE_SQL).alias("file"))
-    return P.unseen_only(files.filter("doc_id % 10 > 7"), files.filter("doc_id % 10 <= 5"), files.filter("doc_id % 10 = 6"))
+    docs = pooled(spark, d).select("file", "doc_id", "lang", "pool")
+    pool = {name: docs.filter(F.col("pool") == name).drop("pool") for name in ("train", "test", "unseen")}
+    return P.unseen_only(pool["unseen"], pool["train"], pool["test"])
 
 
-E6 = f"""WITH f AS (SELECT {FILE_SQL} AS file, doc_id, lang FROM documents)
-SELECT file, doc_id, lang FROM f WHERE doc_id % 10 > 7 AND file NOT IN (SELECT file FROM f WHERE doc_id % 10 <= 6)"""
+E6 = f"""WITH {POOLED_CTE} SELECT file, doc_id, lang FROM pooled
+WHERE pool = 'unseen' AND file NOT IN (SELECT file FROM pooled WHERE pool <> 'unseen')"""
 
 
 def e7_pool_profile(spark, d):

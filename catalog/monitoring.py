@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.shared import (BAND_SQL, DOC_CTE, FEATURES, PRED_CTE, SCORED_CTE, code_corpus, documents, predictions,
-                            read, scored)
+from catalog.shared import DOC_CTE, POOL_SQL, PRED_CTE, SCORED_CTE, code_corpus, documents, predictions, read, scored
 from pactum.operators import learn as L
 from pactum.operators import monitor as M
 from pactum.operators import risk as H
@@ -65,11 +64,11 @@ def h5_run_order(spark, d):
     return H.run_order(documents(spark, d).filter("pool = 'unseen'").select("source").distinct(), "source")
 
 
-H5 = "SELECT DISTINCT source FROM documents WHERE doc_id % 10 > 7 ORDER BY source"
+H5 = f"SELECT DISTINCT source FROM documents WHERE {POOL_SQL} = 'unseen' ORDER BY source"
 
 
 def h6_top_risk(spark, d):
-    scores = _scores(spark, d)
+    scores = materialize(_scores(spark, d), "scores")  # read twice, so the texts are parsed once
     each = H.top_risk(scores, 3, ["doc_id"], ["source"]).select("source", "doc_id", "rank")
     overall = H.top_risk(scores, 10, ["doc_id"]).select(F.lit("*").alias("source"), "doc_id", F.lit(0).alias("rank"))
     return each.unionByName(overall)
@@ -108,7 +107,7 @@ DRIFT = ["n_lines", "n_tokens", "longest_line", "n_digits", "has_arith"]
 
 
 def h9_feature_drift(spark, d):
-    docs = documents(spark, d)
+    docs = materialize(documents(spark, d).select("pool", *DRIFT), "drift")
     out = M.feature_drift(docs.filter("pool = 'train'"), docs.filter("pool = 'unseen'"), DRIFT)
     return out.select("feature", "n_base", "n_other", F.round("mean_shift", 6).alias("mean_shift"), F.round("psi", 6).alias("psi"))
 

@@ -28,6 +28,7 @@ INTERCEPT_A = 0.3
 WEIGHTS_B = {"n_lines": 0.03, "n_distinct": -0.004, "has_cmp": 1.5}
 INTERCEPT_B = 0.4
 
+FILE_SQL = "concat(source, '-', doc_id % 53, '.txt')"
 POOL_SQL = "CASE WHEN doc_id % 10 <= 5 THEN 'train' WHEN doc_id % 10 <= 7 THEN 'test' ELSE 'unseen' END"
 
 
@@ -37,6 +38,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_features(docs, keep=("doc_id", "source")).withColumn("pool", F.expr(POOL_SQL))
 
 
+def pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its pool and a file name several documents share."""
+    return (read(spark, sf_dir, "documents").withColumn("pool", F.expr(POOL_SQL))
+            .withColumn("file", F.expr(FILE_SQL)))
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a label: low quality is the risky class."""
     labels = read(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 0).cast("int").alias("label"))
@@ -59,6 +66,8 @@ def predictions(spark: SparkSession, sf_dir: str, pool: str | None = None) -> Da
             .withColumn("prediction", (F.col("score") >= 0.5).cast("int")))
 
 
+POOLED_CTE = f"pooled AS (SELECT *, {POOL_SQL} AS pool, {FILE_SQL} AS file FROM documents)"
+
 DOC_CTE = f"""
 tok AS (
   SELECT doc_id, source, text, string_split(text, chr(10)) AS ls,

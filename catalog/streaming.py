@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.checking import LINE_CONTRACTS, _MOVE, _OUTCOMES, _START
-from catalog.shared import (BAND_SQL, CODE_SQL, INTERCEPT_A, POOL_SQL, SCORED_CTE, WEIGHTS_A, code_corpus, read)
+from catalog.shared import CODE_SQL, INTERCEPT_A, POOL_SQL, SCORED_CTE, WEIGHTS_A, code_corpus, read
 from pactum.functions.metrics import linear_score
 from pactum.operators import risk as H
 from pactum.operators.features import text_features
-from pactum.operators.units import describe_units
 from pactum.plans.session import run_dir
 from pactum.sources.corpus import stream_corpus, stream_table
 from pactum.streaming import checks, loop, sinks, windows

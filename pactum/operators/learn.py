@@ -57,11 +57,12 @@ def split_once(df: DataFrame, key: str, features: Sequence[str], policy: Policy
 
     The features are written first, since the split reads them more than once. The
     result is a table too: the many small jobs of an iterative fit carry no lineage
-    and survive lost executors. Rebalancing gives files of even size.
+    and survive lost executors. Rows are laid out by key, because forests draw
+    their samples by row position: the same data then gives the same trees.
     """
     slim = materialize(df.select(key, *features, "label"), "features")
     split = stratified_split(slim, key, "label", policy.validation_share, policy.split_seed)
-    return materialize(split.hint("rebalance"), "split")
+    return materialize(split.repartitionByRange(F.col(key)).sortWithinPartitions(key), "split")
 
 
 def train_candidate(split: DataFrame, family: str, features: Sequence[str], params: Mapping[str, Any] | None = None,

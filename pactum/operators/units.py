@@ -149,10 +149,15 @@ def gather(corpus: DataFrame, invariant_scope: str = "above") -> DataFrame:
         .withColumn("_next", F.last(F.when(code, F.struct(
             F.when(F.col("line") == F.col("item"), F.col("line")).alias("line"),
             F.when(F.col("_seen.is_block"), F.col("_seen.block")).alias("block"))), ignorenulls=True).over(below))
+        .withColumn("_below", F.last(F.when(F.col("occupied"), F.col("item")), ignorenulls=True).over(
+            Window.partitionBy("path").orderBy(F.desc("line")).rowsBetween(Window.unboundedPreceding, -1)))
         .withColumn("clause", text.clause_kind(F.col("stripped")))
         .withColumn("expr", text.clause_text(F.col("stripped"), F.col("clause")))
     )
     tagged = F.col("clause").isNotNull()
+    # From here on only clauses, headers and last lines matter; bodies go no further.
+    last = F.col("occupied") & F.coalesce(F.col("_below") != F.col("item"), F.lit(True))
+    rows = rows.filter(tagged | (F.col("in_header") & F.col("occupied")) | last)
     class_line = F.when(F.col("top_class").isNotNull(), F.col("top"))
     is_head = F.col("item") == F.col("line")
     own = F.when(F.col("unit").isNotNull() | (is_head & (F.col("item") == class_line)), F.col("item"))
