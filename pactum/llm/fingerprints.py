@@ -30,10 +30,11 @@ def vectors(texts: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     added or taken away later. Null text is the empty text.
     """
     names = [f"id{k}" for k in range(ID_LANES // 2)]
-    pars = texts.select(*keys, F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)).alias("par"))
+    pars = texts.select(*keys, F.explode_outer(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)).alias("par"))
+    # Outer generators: an inner one adds a filter that computes its array a second time.
     units = (pars.select(*keys, *[F.xxhash64(F.lit(k), F.col("par")).alias(n) for k, n in enumerate(names)], F.split("par", " ").alias("words"))
              .select(*keys, *names, _units(F.col("words")).alias("units"))
-             .select(*keys, *names, F.posexplode("units").alias("at", "u0")).withColumn("u1", F.xxhash64("u0")))
+             .select(*keys, *names, F.posexplode_outer("units").alias("at", "u0")).withColumn("u1", F.xxhash64("u0")))
     sums = [F.sum(F.when(F.col("at") == 0, part).otherwise(F.lit(0))).alias(f"i{n}{j}") for n in names
             for j, part in enumerate((F.col(n).bitwiseAND(F.lit(LOW)), F.shiftrightunsigned(n, 32)))]
     # Two lanes share one sum: a text has fewer than 2^31 pairs.
@@ -107,7 +108,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     both = full.join(given, ["key", "th"]).dropDuplicates(["key", "th"]).select(
         "key", "th", "id", "text", F.concat(F.substring("text", F.lit(1), F.length("text") - half), "tail").alias("edited"))
     n_chars = F.length("text").cast("bigint")
-    variants = F.inline(F.array(
+    variants = F.inline_outer(F.array(
         F.struct(F.lit(0).alias("which"), F.col("text").alias("body"), F.lit(None).cast("string").alias("sha"), n_chars.alias("n_chars")),
         F.struct(F.lit(1).alias("which"), F.col("edited").alias("body"), F.sha2(F.col("edited").cast("binary"), 256).alias("sha"), n_chars.alias("n_chars"))))
     made = vectors(both.select("key", "th", "id", variants), ["key", "th", "id", "which", "sha", "n_chars"], "body")

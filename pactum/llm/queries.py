@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pactum.llm import decontamination, mixing, sharding
+from pactum.llm import decontamination, fingerprints, mixing, sharding
 
 QUERIES = {
     "op1_decontamination": (decontamination.op1_decontamination, decontamination.OP1_SQL),
+    "op4_fingerprints": (fingerprints.op4_fingerprints, None),
     "op5_mixing": (mixing.op5_mixing, mixing.OP5_SQL),
     "op9_sharding": (sharding.op9_sharding, None),
 }
