@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pactum.llm import decontamination, fingerprints, hidden_markov, mixing, sharding, token_counts
+from pactum.llm import decontamination, fingerprints, hidden_markov, mixing, ngram_join, sharding, token_counts
 
 QUERIES = {
     "op1_decontamination": (decontamination.op1_decontamination, decontamination.OP1_SQL),
     "op2_lm_scoring": (hidden_markov.op2_lm_scoring, None),
+    "op3_ngram_join": (ngram_join.op3_ngram_join, None),
     "op4_fingerprints": (fingerprints.op4_fingerprints, None),
     "op5_mixing": (mixing.op5_mixing, mixing.OP5_SQL),
     "op8_token_counts": (token_counts.op8_token_counts, None),
