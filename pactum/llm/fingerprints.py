@@ -88,10 +88,10 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     partitioning of ids alone. Texts are shuffled once, and once the parts that move to a neighbour.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    # A key without nulls: the two joins and the sums below then share one exchange of the texts.
+    # A key without nulls, and the same columns for both joins: they and the sums below share one exchange of the texts.
     key = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("-"))
-    full = docs.select(key.alias("key"), F.xxhash64(text).alias("th"), F.col(id_col).alias("id"), text.alias("text"))
-    ids = full.groupBy("key", "th", "id").agg(F.first(F.length("text")).alias("n_chars"), F.count("*").alias("copies"))
+    full = docs.select(key.alias("key"), F.xxhash64(text).alias("th"), text.alias("text"))
+    ids = docs.select(key.alias("key"), F.xxhash64(text).alias("th"), F.col(id_col).alias("id"), text.alias("text")).groupBy("key", "th", "id").agg(F.first(F.length("text")).alias("n_chars"), F.count("*").alias("copies"))
     placed = materialize(with_ordinal(ids, [F.col("id").desc_nulls_last(), F.col("th")], "print-order"), "print-places")
     count = placed.count()
     source = placed.select(F.col("key").alias("s_key"), F.col("th").alias("s_th"),
@@ -100,24 +100,24 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = materialize(placed.join(source, "ordinal").select(
         F.col("s_key").alias("key"), F.col("s_th").alias("th"), F.col("key").alias("t_key"), F.col("th").alias("t_th"),
         F.floor(F.col("n_chars") / 2).cast("int").alias("moved"),
-        F.col("copies")), "print-links")
+        F.col("id").alias("t_id"), F.col("copies")), "print-links")
     given = (full.join(links, ["key", "th"])
              .select(F.col("t_key").alias("key"), F.col("t_th").alias("th"), F.substring("text", F.lit(1), F.col("moved")).alias("tail"))
              .dropDuplicates(["key", "th"]))
     half = F.floor(F.length("text") / 2).cast("int")
     both = full.join(given, ["key", "th"]).dropDuplicates(["key", "th"]).select(
-        "key", "th", "id", "text", F.concat(F.substring("text", F.lit(1), F.length("text") - half), "tail").alias("edited"))
+        "key", "th", "text", F.concat(F.substring("text", F.lit(1), F.length("text") - half), "tail").alias("edited"))
     n_chars = F.length("text").cast("bigint")
     variants = F.inline_outer(F.array(
         F.struct(F.lit(0).alias("which"), F.col("text").alias("body"), F.lit(None).cast("string").alias("sha"), n_chars.alias("n_chars")),
         F.struct(F.lit(1).alias("which"), F.col("edited").alias("body"), F.sha2(F.col("edited").cast("binary"), 256).alias("sha"), n_chars.alias("n_chars"))))
-    made = vectors(both.select("key", "th", "id", variants), ["key", "th", "id", "which", "sha", "n_chars"], "body")
+    made = vectors(both.select("key", "th", variants), ["key", "th", "which", "sha", "n_chars"], "body")
     own = F.col("which") == 0
-    rows = materialize(made.groupBy("key", "th", "id", "n_chars").agg(
+    rows = materialize(made.groupBy("key", "th", "n_chars").agg(
         F.max("sha").alias("sha"), F.first(F.when(own, F.col("vec")), True).alias("vec"),
         F.first(F.when(~own, F.col("vec")), True).alias("edited_vec")), "print-vectors")
     nexts = (rows.select("key", "th", "vec").join(links, ["key", "th"])
-             .select(F.col("t_key").alias("key"), F.col("t_th").alias("th"), F.col("vec").alias("next_vec"), "copies"))
+             .select(F.col("t_key").alias("key"), F.col("t_th").alias("th"), F.col("t_id").alias("id"), F.col("vec").alias("next_vec"), "copies"))
     return repeat_copies(rows.join(nexts, ["key", "th"]), "copies").select(
         F.col("id").alias(id_col), "n_chars", F.col("sha").alias("edited_sha256"),
         fingerprint(F.col("vec")).alias("fingerprint"), fingerprint(F.col("edited_vec")).alias("edited_fingerprint"),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pactum.llm import decontamination, fingerprints, hidden_markov, mixing, ngram_join, sharding, token_counts
+import corpus_pipeline
+from pactum.llm import chat, decontamination, fingerprints, hidden_markov, language, mixing, ngram_join, quality, sharding, token_counts
 
 QUERIES = {
     "op1_decontamination": (decontamination.op1_decontamination, decontamination.OP1_SQL),
@@ -10,6 +11,10 @@ QUERIES = {
     "op3_ngram_join": (ngram_join.op3_ngram_join, None),
     "op4_fingerprints": (fingerprints.op4_fingerprints, None),
     "op5_mixing": (mixing.op5_mixing, mixing.OP5_SQL),
+    "op6_quality": (quality.op6_quality, None),
+    "op7_language_id": (language.op7_language_id, None),
     "op8_token_counts": (token_counts.op8_token_counts, None),
     "op9_sharding": (sharding.op9_sharding, None),
+    "op10_chat_formatting": (chat.op10_chat_formatting, chat.OP10_SQL),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

@@ -37,8 +37,8 @@ def text_metadata(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def kd_shards(docs: DataFrame, target_bytes: float | None = None, shards: int | None = None,
-              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: (id, size, text_crc32, shard, slot).
+              id_col: str = "doc_id", text_col: str = "text", keep_tie: bool = False) -> DataFrame:
+    """One row per document: (id, size, text_crc32, shard, slot[, tie]).
 
     Law `bytes`: a node that is to become k leaves is cut at the weighted median along its
     widest axis (its range there against the whole table's), at the histogram cut nearest half its
@@ -61,7 +61,7 @@ def kd_shards(docs: DataFrame, target_bytes: float | None = None, shards: int |
         if not left:
             break
     return _slots(rows, whole["n"], shards).select(
-        id_col, "size", "text_crc32", F.col("node").alias("shard"), "slot")
+        id_col, "size", "text_crc32", F.col("node").alias("shard"), "slot", *["tie"] * keep_tie)
 
 
 def _split(rows: DataFrame, ranges: dict[str, float]) -> tuple[DataFrame, bool]:
@@ -110,6 +110,25 @@ def _slots(rows: DataFrame, n_rows: int, shards: int) -> DataFrame:
             .withColumn("slot", (F.col("at") + F.col("start")).cast("bigint")).drop("run", "at", "start"))
 
 
+def sharded_documents(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All documents with `shard` and `slot` added; columns of these names are replaced.
+
+    Documents that share an id and a text share their place in the tree and get the slots of their group in turn.
+    """
+    docs = docs.drop("shard", "slot")
+    placed = kd_shards(docs, shards=shards, id_col=id_col, text_col=text_col, keep_tie=True)
+    twin = lambda key, tie: F.row_number().over(Window.partitionBy(key, tie).orderBy(F.lit(0)))
+    once = placed.groupBy(id_col, "tie").count().filter("count > 1").isEmpty()
+    tie = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), 64 - TIE_BITS)
+    number = F.lit(1) if once else None
+    named = placed.select(F.col(id_col).alias("p_id"), F.col("tie").alias("p_tie"), "shard", "slot")
+    named = named.withColumn("p_turn", number if once else twin("p_id", "p_tie"))
+    marked = docs.withColumn("p_key", tie)
+    marked = marked.withColumn("p_at", number if once else twin(id_col, "p_key"))
+    same = marked[id_col].eqNullSafe(named["p_id"]) & (marked["p_key"] == named["p_tie"]) & (marked["p_at"] == named["p_turn"])
+    return marked.join(named, same).select(*[marked[c] for c in docs.columns], "shard", "slot")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = kd_shards(table(spark, sf_dir, "documents"), shards=16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
