@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException, ParseException
+from pyspark.logger import PySparkLogger
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,7 +53,7 @@ def truthy(sql: str, dtype: T.DataType | None) -> str:
 @contextmanager
 def quiet_analysis() -> Iterator[None]:
     """An expression that does not bind is an answer here, not an error worth a log line."""
-    log = logging.getLogger("SQLQueryContextLogger")
+    log = PySparkLogger.getLogger("SQLQueryContextLogger")
     level = log.level
     log.setLevel(logging.CRITICAL)
     try:

@@ -94,11 +94,20 @@ def parameter_names(header: Column) -> Column:
     Positional-only, keyword-only and starred parameters are left out.
     """
     inner = F.regexp_extract(header, r"(?s)^\s*def\s+[^\s(\[:]+\s*(?:\[[^\]]*\])?\s*\((.*)$", 1)
-    # Brackets now only pair up in defaults and annotations: drop them inside out,
-    # then the list ends at the first bracket left.
-    for _ in range(5):
-        inner = F.regexp_replace(inner, r"[(\[{][^()\[\]{}]*[)\]}]", "")
-    inner = F.regexp_extract(inner, r"^[^)]*", 0)
+    # Brackets now only pair up in defaults and annotations: keep what stands outside
+    # of them, at any depth, up to the bracket that closes the list.
+    pieces = F.regexp_extract_all(inner, F.lit(r"[(\[{]|[)\]}]|[^()\[\]{}]+"), F.lit(0))
+    state = F.struct(F.lit(0).alias("depth"), F.lit("").alias("kept"))
+
+    def step(acc: Column, piece: Column) -> Column:
+        depth = (F.when(piece.isin("(", "[", "{"), acc["depth"] + 1).when(piece.isin(")", "]", "}"), acc["depth"] - 1)
+                 .otherwise(acc["depth"]))
+        outside = (acc["depth"] == 0) & (depth == 0)
+        # Once below zero the list is over and the depth stays there.
+        return F.struct(F.when(acc["depth"] < 0, acc["depth"]).otherwise(depth).alias("depth"),
+                        F.when(outside, F.concat(acc["kept"], piece)).otherwise(acc["kept"]).alias("kept"))
+
+    inner = F.aggregate(pieces, state, step, lambda acc: acc["kept"])
     inner = F.regexp_replace(inner, r"\blambda\b[^:]*:", "")
     inner = F.regexp_replace(inner, r"(?s)(?:^|,)\s*\*.*$", "")
     inner = F.regexp_replace(inner, r"(?s)^.*?(?:^|,)\s*/\s*(?:,|$)", "")

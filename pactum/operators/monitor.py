@@ -34,8 +34,9 @@ def feature_drift(base: DataFrame, other: DataFrame, features: Sequence[str], bi
     """(feature, n_base, n_other, mean_shift, psi): is `other` distributed like `base`?
 
     Equal-width bins over the base range; values outside go to the end bins. Half
-    a row per bin keeps the stability index finite. Each pool is scanned once and
-    reduced to features x bins counts.
+    a row per bin keeps the stability index finite. NULLs are counted apart
+    (n_null_base, n_null_other) and enter neither bins nor means; a pool without values
+    has no mean. Each pool is scanned once and reduced to features x bins counts.
     """
     bounds = feature_bounds(base, features)
 
@@ -46,7 +47,8 @@ def feature_drift(base: DataFrame, other: DataFrame, features: Sequence[str], bi
             width = (hi - lo) / bins
             cell = F.floor((F.col(c) - F.lit(lo)) / F.lit(width)) if width > 0 else F.lit(0)
             cells.append(F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v"),
-                                  F.greatest(F.lit(0), F.least(F.lit(bins - 1), cell)).cast("int").alias("bin")))
+                                  F.when(F.col(c).isNotNull(), F.greatest(F.lit(0), F.least(F.lit(bins - 1), cell)))
+                                  .cast("int").alias("bin")))
         return (df.select(F.inline(F.array(*cells))).groupBy("feature", "bin")
                 .agg(F.count("*").alias("n"), F.sum("v").alias("s")).withColumn("side", F.lit(side)))
 
@@ -57,17 +59,24 @@ def feature_drift(base: DataFrame, other: DataFrame, features: Sequence[str], bi
 
     cells = both.groupBy("feature", "bin").agg(of("base", "n").alias("nb"), of("other", "n").alias("no"),
                                                of("base", "s").alias("sb"), of("other", "s").alias("so"))
-    sums = cells.groupBy("feature").agg(F.sum("nb").alias("n_base"), F.sum("no").alias("n_other"),
-                                        F.sum("sb").alias("s_base"), F.sum("so").alias("s_other"),
-                                        F.collect_list(F.struct("bin", "nb", "no")).alias("_cells"))
+    known = F.col("bin").isNotNull()
+
+    def where(test: Column, c: str) -> Column:
+        return F.coalesce(F.sum(F.when(test, F.col(c))), F.lit(0))
+
+    sums = cells.groupBy("feature").agg(
+        where(known, "nb").alias("n_base"), where(known, "no").alias("n_other"),
+        where(~known, "nb").alias("n_null_base"), where(~known, "no").alias("n_null_other"),
+        F.sum("sb").alias("s_base"), F.sum("so").alias("s_other"),
+        F.collect_list(F.when(known, F.struct("bin", "nb", "no"))).alias("_cells"))
     # Bins empty on both sides carry the same half row and add nothing but their share.
     p = lambda x: (x["nb"] + 0.5) / (F.col("n_base") + 0.5 * bins)
     q = lambda x: (x["no"] + 0.5) / (F.col("n_other") + 0.5 * bins)
     seen = F.aggregate("_cells", F.lit(0.0), lambda acc, x: acc + (q(x) - p(x)) * F.ln(q(x) / p(x)))
     p0, q0 = 0.5 / (F.col("n_base") + 0.5 * bins), 0.5 / (F.col("n_other") + 0.5 * bins)
     unseen = (F.lit(bins) - F.size("_cells")) * (q0 - p0) * F.ln(q0 / p0)
-    return sums.select("feature", "n_base", "n_other",
-                       (F.col("s_other") / F.col("n_other") - F.col("s_base") / F.col("n_base")).alias("mean_shift"),
+    return sums.select("feature", "n_base", "n_other", "n_null_base", "n_null_other",
+                       (F.try_divide("s_other", "n_other") - F.try_divide("s_base", "n_base")).alias("mean_shift"),
                        (seen + unseen).alias("psi"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactum.operators.learn import predict, recall_by
-from pactum.plans.scan import MAX_GROUP_ROWS, running_sum
+from pactum.plans.scan import running_sum
 from pactum.policy import Policy
 from pactum.sources.models import CHAMPION, has_model, load_model, save_model
 
@@ -98,10 +98,10 @@ def log_events(spark: SparkSession, path: str, rows: Sequence[tuple]) -> None:
     spark.createDataFrame(list(rows), EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
-def traces(log: DataFrame, order: Sequence[str] = ("ts", "activity"), max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def traces(log: DataFrame, order: Sequence[str] = ("ts", "activity")) -> DataFrame:
     """(case_id, step, activity, artifact, outcome): each case's activities numbered in order.
 
     A case of any length stays whole: steps are a running count, never one collected value.
     """
-    counted = running_sum(log.withColumn("_one", F.lit(1).cast("bigint")), ["case_id"], list(order), "_one", 0, max_group_rows)
+    counted = running_sum(log.withColumn("_one", F.lit(1).cast("bigint")), ["case_id"], list(order), "_one", 0)
     return counted.select("case_id", F.col("total").alias("step"), "activity", "artifact", "outcome")

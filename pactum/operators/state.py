@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pactum.operators.contracts import Contract, row_verdicts
 from pactum.operators.trials import OBJECT_START
-from pactum.plans.scan import MAX_GROUP_ROWS, running_sum
+from pactum.plans.scan import running_sum
 
 
 def running_state(
@@ -21,7 +21,6 @@ def running_state(
     start: Column | float = OBJECT_START,
     clamped: bool = False,
     state: str = "balance",
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Add the state after each row's change, and `admitted`.
 
@@ -31,7 +30,7 @@ def running_state(
     """
     admitted = df.withColumn("admitted", F.coalesce(F.expr(requires), F.lit(False)))
     moved = admitted.withColumn("_change", F.when(F.col("admitted"), F.expr(change)).otherwise(F.lit(0)))
-    scanned = running_sum(moved, keys, order, "_change", start, max_group_rows)
+    scanned = running_sum(moved, keys, order, "_change", start)
     level = F.col("total") - F.least(F.lit(0), F.col("lowest")) if clamped else F.col("total")
     return scanned.withColumn(state, level).drop("total", "lowest", "_change")
 
@@ -45,10 +44,9 @@ def stateful_check(
     requires: str = "true",
     start: Column | float = OBJECT_START,
     clamped: bool = False,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Verdict per key: rows, checked, failed and the label, state carried along."""
-    levels = running_state(df, keys, order, change, requires, start, clamped, "balance", max_group_rows)
+    levels = running_state(df, keys, order, change, requires, start, clamped, "balance")
     contract = Contract("state", "balance", ("admitted",), tuple(ensures))
     flags = row_verdicts(levels, contract, keep=[*keys, "balance"])
     return flags.groupBy(*keys).agg(

@@ -184,7 +184,8 @@ def gather(corpus: DataFrame, invariant_scope: str = "above") -> DataFrame:
         F.collect_list(F.when(F.col("clause").isNotNull(), F.struct(
             inside.alias("later"), "line", "place", "clause", "expr"))).alias("_clauses"))
     kept = F.filter(F.array_sort("_clauses"), lambda c: (c["place"] != "inside") | (c["line"] <= F.col("end")))
-    header = F.array_join(F.transform(F.array_sort("_header"), lambda h: h["masked"]), " ")
+    header = F.array_join(F.transform(
+        F.array_sort("_header"), lambda h: F.regexp_replace(h["masked"], r"\\\s*$", "")), " ")
     return (grouped.filter(F.col("name").isNotNull() | F.col("class_header").isNotNull())
             .select("path", F.col("owner").alias("line"), "name", "class", "class_header", "end",
                     F.greatest(F.lit(1), F.col("end") - F.col("owner") + 1).alias("n_loc"),

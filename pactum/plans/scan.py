@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-MAX_GROUP_ROWS = 2_000_000
-MAX_BLOCKS = 20_000
-QUANTILES = 256
+from pactum.plans.session import materialize
 
 
 def running_sum(
@@ -20,80 +18,51 @@ def running_sum(
     order: Sequence[str],
     amount: str,
     start: Column | float = 0,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add `total`, the sum up to and including each row plus `start`, and `lowest`,
     the least total seen so far, in `order` within `keys`.
 
-    `order` must be unique within a key and begin with a number or a time; `start`
-    must be constant within a key. Small inputs take one window. Otherwise keys
-    above `max_group_rows` are cut into blocks along the first order column, at
-    quantiles of the whole table, so that a block of one key stays near
-    `max_group_rows` rows however large the key is. Blocks are scanned on their own
-    and shifted by what came before them: sums and minima both compose.
+    Any orderable columns will do, NULL first; rows equal in `order` follow by the hash
+    of the whole row. `start` must be constant within a key. One way for every size: rows
+    are dealt by range of (keys, order, hash), so a large key, a NULL key or one order value
+    for all lies in as many parts as its size asks for. Parts are scanned on their own and
+    written; a key that crosses parts is then shifted by the sums and minima of its earlier
+    parts, which compose. Those shifts are fewer than there are parts.
     """
-    start = start if isinstance(start, Column) else F.lit(start)
-    rows = df.count()
-    limit = max(max_group_rows, math.ceil(rows / MAX_BLOCKS))
-    blocks = math.ceil(rows / limit) if rows else 1
-    if blocks == 1:
-        return _scan(df, keys, order, amount, start)
-
-    # Keys larger than `limit`: at most MAX_BLOCKS of them, so they may be broadcast.
-    hot = (df.groupBy(*keys).agg(F.count("*").alias("_n"))
-           .filter(F.col("_n") > limit).select(*keys, F.lit(True).alias("_hot")))
-    split = (df.join(F.broadcast(hot), list(keys), "left")
-             .withColumn("_block", F.when(F.col("_hot"), _block_column(df, order[0], blocks))
-                         .otherwise(F.lit(0).cast("bigint")))
-             .drop("_hot"))
-    local = _scan(split, [*keys, "_block"], order, amount, F.lit(0))
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (local.join(F.broadcast(hot), list(keys), "left_semi")
-               .groupBy(*keys, "_block")
-               .agg(F.sum(amount).alias("_sum"), F.min("lowest").alias("_low"))
-               .withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
-               .withColumn("_floor", F.min(F.col("_base") + F.col("_low")).over(before))
-               .select(*keys, "_block", "_base", "_floor"))
-    return (local.join(carried, [*keys, "_block"], "left")
-            .withColumn("_base", F.coalesce("_base", F.lit(0)))
-            .withColumn("total", F.col("_base") + F.col("total") + start)
-            .withColumn("lowest", F.least("_floor", F.col("_base") + F.col("lowest")) + start)
-            .drop("_base", "_floor", "_block"))
-
-
-def _scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, start: Column) -> DataFrame:
-    upto = (Window.partitionBy(*keys).orderBy(*order)
+    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    plain = [f.name for f in df.schema.fields if not _has_map(f.dataType)]
+    dealt = (df.withColumn("_start", start if isinstance(start, Column) else F.lit(start))
+             .withColumn("_tie", F.xxhash64(*plain))
+             .repartitionByRange(count, *keys, *order, "_tie")
+             .withColumn("_part", F.spark_partition_id()))
+    upto = (Window.partitionBy("_part", *keys).orderBy(*order, "_tie")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (df.withColumn("total", F.sum(amount).over(upto) + start)
-            .withColumn("lowest", F.min("total").over(upto)))
+    local = materialize(dealt.withColumn("total", F.sum(amount).over(upto))
+                        .withColumn("lowest", F.min("total").over(upto)).drop("_tie"), "running")
 
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
+    shifts = (local.groupBy(*keys, "_part").agg(F.sum(amount).alias("_sum"), F.min("lowest").alias("_low"))
+              .withColumn("_base", F.sum("_sum").over(before))
+              .withColumn("_floor", F.min(F.coalesce("_base", F.lit(0)) + F.col("_low")).over(before))
+              .filter(F.col("_base").isNotNull())
+              .select(*named, F.col("_part").alias("_at"), "_base", "_floor"))
+    same = local["_part"] == shifts["_at"]
+    for i, k in enumerate(keys):
+        same = same & local[k].eqNullSafe(shifts[f"_key{i}"])
+    base = F.coalesce("_base", F.lit(0))
+    total = F.when(F.col("_base").isNotNull(), F.coalesce("total", F.lit(0)) + base).otherwise(F.col("total"))
+    return (local.join(shifts, same, "left")
+            .withColumn("lowest", F.least("_floor", base + F.col("lowest")) + F.col("_start"))
+            .withColumn("total", total + F.col("_start"))
+            .select(*df.columns, "total", "lowest"))
 
-def _block_column(df: DataFrame, column: str, blocks: int) -> Column:
-    """Block number that never decreases along `column`.
-
-    Up to QUANTILES cuts come from the data (one row to the driver); inside a cut
-    the position is interpolated when more blocks are wanted.
-    """
-    kind = df.schema[column].dataType.simpleString()
-    raw = F.col(column)
-    position = raw.cast("timestamp").cast("double") if kind.startswith(("timestamp", "date")) else raw.cast("double")
-    coarse = min(blocks, QUANTILES)
-    shares = [i / coarse for i in range(coarse + 1)]
-    bounds = sorted(set(df.agg(F.percentile_approx(position, shares, 10000).alias("b")).first()["b"]))
-    if len(bounds) < 2:
-        return F.lit(0).cast("bigint")
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(position < F.lit(bounds[mid + 1]), search(lo, mid)).otherwise(search(mid + 1, hi))
 
-    cell = search(0, len(bounds) - 2)
-    per_cell = math.ceil(blocks / coarse)
-    if per_cell == 1:
-        return cell.cast("bigint")
-    edges = F.array(*[F.lit(b) for b in bounds])
-    low, high = F.element_at(edges, cell + 1), F.element_at(edges, cell + 2)
-    inner = F.floor((position - low) / (high - low) * per_cell)
-    return cell.cast("bigint") * per_cell + F.greatest(F.lit(0), F.least(inner, F.lit(per_cell - 1)))
+def _has_map(kind: T.DataType) -> bool:
+    """Maps have no hash."""
+    if isinstance(kind, T.MapType):
+        return True
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, T.StructType) and any(_has_map(f.dataType) for f in kind.fields)

@@ -39,10 +39,12 @@ def stream_corpus(spark: SparkSession, path: str, pool: str = "unseen", glob: st
 def stream_table(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
     """A Parquet table read as a stream with its own schema.
 
-    A path ending in .parquet may be one file or a folder of files, so it is read
-    through a glob; any other path is a folder, which may be partitioned.
+    A folder is read as it is and may be partitioned; of one file's folder only that file.
     """
-    schema = spark.read.parquet(path).schema
-    path = path.rstrip("/")
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(f"{path}*" if path.endswith(".parquet") else path))
+    table = spark.read.parquet(path)
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_trigger)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    files = table.inputFiles()
+    if len(files) == 1 and files[0].endswith(f"/{name}"):
+        return stream.option("pathGlobFilter", name).parquet(folder)
+    return stream.parquet(path)

@@ -22,6 +22,8 @@ def load_model(root: str, name: str = CHAMPION) -> PipelineModel:
 def has_model(spark: SparkSession, root: str, name: str = CHAMPION) -> bool:
     try:
         spark.read.text(f"{root.rstrip('/')}/{name}/metadata").limit(1).count()
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
     return True

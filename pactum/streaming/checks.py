@@ -11,7 +11,6 @@ from pactum.functions.predicates import lenient, rename_identifier
 from pactum.operators.contracts import Contract, check_contracts
 from pactum.operators.state import running_state
 from pactum.operators.trials import OBJECT_START
-from pactum.plans.scan import MAX_GROUP_ROWS
 from pactum.streaming.sinks import BATCH, each_batch, read_batches
 
 SNAPSHOT_EVERY = 20
@@ -28,7 +27,6 @@ def stream_contract_check(stream: DataFrame, contracts: Sequence[Contract], out:
 def stream_state_check(
     stream: DataFrame, keys: Sequence[str], order: Sequence[str], change: str, ensures: str, out: str,
     checkpoint: str, requires: str = "true", start: float = OBJECT_START, clamped: bool = False,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> None:
     """Per key and batch: rows, failures and the balance carried to the next batch.
 
@@ -58,7 +56,7 @@ def stream_state_check(
             past = balances(batch_id)
         opened = (batch.join(past.withColumnRenamed("balance", "_from"), list(keys), "left")
                   .withColumn("_from", F.coalesce("_from", F.lit(float(start)))))
-        levels = running_state(opened, keys, order, change, requires, F.col("_from"), clamped, "_level", max_group_rows)
+        levels = running_state(opened, keys, order, change, requires, F.col("_from"), clamped, "_level")
         return levels.groupBy(*keys).agg(
             F.count("*").alias("n_rows"), F.count_if("admitted").alias("n_checked"),
             F.count_if(F.col("admitted") & ~lenient(rename_identifier(ensures, "balance", "_level"))).alias("n_failed"),

@@ -44,7 +44,9 @@ def read_batches(spark: SparkSession, out: str, schema: T.StructType, before: in
     wide = T.StructType([*[f for f in schema.fields if f.name != BATCH], T.StructField(BATCH, T.LongType())])
     try:
         df = spark.read.schema(wide).parquet(out)
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         df = spark.createDataFrame([], wide)
     return df if before is None else df.filter(F.col(BATCH) < before)
 

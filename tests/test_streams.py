@@ -46,7 +46,7 @@ def test_state_is_carried_between_batches(spark, tmp_path, events, clamped, snap
     for lo, hi in days:
         moves.filter((F.col("ts") >= lo) & (F.col("ts") < hi)).coalesce(1).write.mode("append").parquet(src)
         checks.stream_state_check(stream_table(spark, src), ["user_id"], ["ts", "event_id"], "move", "balance >= 50",
-                                  out, ckpt, "event_type <> 'view'", 10, clamped, max_group_rows=40)
+                                  out, ckpt, "event_type <> 'view'", 10, clamped)
     got = (spark.read.parquet(out).groupBy("user_id").agg(
         F.sum("n_rows"), F.sum("n_checked"), F.sum("n_failed"), F.max_by("balance", "batch_id")))
     levels = running_state(moves, ["user_id"], ["ts", "event_id"], "move", "event_type <> 'view'", 10, clamped)
