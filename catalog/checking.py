@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.shared import CODE_CTE, code_corpus, lcg_sql, read
+from catalog.shared import CODE_CTE, code_corpus, key_hash_sql, lcg_sql, read
 from pactum.functions.predicates import floor_div, lenient
 from pactum.operators import contracts as D
 from pactum.operators import state as S
 from pactum.operators import trials as T
 from pactum.operators.contracts import Contract
 from pactum.operators.units import find_units
+from pactum.policy import Policy
 
 PRICE = Contract("disc_price", "l_extendedprice * (1 - l_discount)", ["l_quantity > 0"],
                  ["result <= l_extendedprice", "result >= 0"])
@@ -110,8 +111,8 @@ def _flat_arguments(df):
 
 
 def d8_make_trials(spark, d):
-    units = find_units(code_corpus(spark, d)).withColumn("uid", F.col("path").cast("bigint") * 1000 + F.col("line"))
-    return _flat_arguments(T.make_trials(units, ["path", "line"], "uid", n=20, seed=42))
+    units = find_units(code_corpus(spark, d))
+    return _flat_arguments(T.make_trials(units, ["path", "line"], ["path", "line"], n=Policy().trials, seed=42))
 
 
 _KIND = """CASE WHEN param = 'other' AND class <> '' THEN 'object' WHEN param IN ('s', 'text', 'name') THEN 'string'
@@ -125,7 +126,7 @@ _VALUE = """CASE kind WHEN 'int' THEN pick - 5 WHEN 'object' THEN 10 END AS numb
  CASE WHEN kind = 'string' THEN ['a', 'hello', 'XYZ'][CAST(pick AS INT) + 1] END AS "string",
  CASE WHEN kind = 'list' THEN ['1,2,3', '0', '5,-1'][CAST(pick AS INT) + 1] END AS "list" """
 D8 = f"""WITH {CODE_CTE}, {_ARGS},
-p AS (SELECT *, {lcg_sql("CAST(path AS BIGINT) * 1000 + line", "trial", "pos", seed=42)} // 65536 % size AS pick
+p AS (SELECT *, {lcg_sql(key_hash_sql("path", "line", seed=42), "trial", "pos")} // 65536 % size AS pick
       FROM args, range(20) AS t(trial))
 SELECT path, CAST(line AS INT) AS line, CAST(trial AS INT) AS trial, CAST(pos AS INT) AS pos, param, kind, {_VALUE}
 FROM p"""
@@ -154,7 +155,7 @@ def d10_sample_trials(spark, d):
     return share.unionByName(exact)
 
 
-_H7 = lcg_sql("o_orderkey", seed=7)
+_H7 = key_hash_sql("o_orderkey", seed=7)
 D10 = f"""SELECT 'fraction' AS how, o_orderkey FROM orders WHERE {_H7} < {int(0.1 * 2147483648)}
 UNION ALL SELECT 'exact', o_orderkey FROM (SELECT o_orderkey FROM orders ORDER BY {_H7}, o_orderkey LIMIT 500)"""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.shared import (DOC_CTE, FEATURES, INTERCEPT_A, POOLED_CTE, PRED_CTE, SCORE_A_SQL, WEIGHTS_A, documents,
-                            labelled, lcg_sql, pooled, predictions, read, scored)
+                            key_hash_sql, labelled, pooled, predictions, read, scored)
 from pactum.functions.metrics import linear_score
 from pactum.operators import learn as L
 from pactum.operators import pools as P
@@ -53,7 +53,7 @@ def e4_stratified_split(spark, d):
 
 E4 = f"""WITH l AS (SELECT doc_id, CASE WHEN quality = 0 THEN 1 ELSE 0 END AS label FROM labels),
 r AS (SELECT *, count(*) OVER (PARTITION BY label) AS n, count(*) OVER () AS total,
-  row_number() OVER (PARTITION BY label ORDER BY {lcg_sql("doc_id", seed=42)}, doc_id) AS rn FROM l),
+  row_number() OVER (PARTITION BY label ORDER BY {key_hash_sql("doc_id", seed=42)}, doc_id) AS rn FROM l),
 q AS (SELECT DISTINCT label, n, total - CAST(ceil(total * 3 / 10.0) AS BIGINT) AS train, total FROM r),
 s AS (SELECT label, n * train // total AS base, n * train % total AS rest, train FROM q),
 t AS (SELECT label, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, label) <= train - sum(base) OVER ()

@@ -20,6 +20,11 @@ def lcg_sql(*parts: str, seed: int = 0) -> str:
     return state
 
 
+def key_hash_sql(*keys: str, seed: int = 0) -> str:
+    parts = "".join(f" || '|' || coalesce('=' || CAST({k} AS VARCHAR), '-')" for k in keys)
+    return f"(CAST('0x' || substr(md5('{seed}'{parts}), 1, 8) AS BIGINT) % 2147483648)"
+
+
 # -- documents as the labelled, pooled data set ------------------------------
 
 # Two fixed scorers that stand in for stored logistic weights.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -44,6 +44,14 @@ def recall_risky() -> Column:
     return ratio(F.col("tp"), F.col("tp") + F.col("fn"))
 
 
+def key_hash(keys: Sequence[str] | str, seed: int = 0) -> Column:
+    """Hash of any key columns into [0, 2^31), from md5: the same in any engine that has it."""
+    names = [keys] if isinstance(keys, str) else list(keys)
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("-")) for k in names]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(2147483648))
+
+
 def lcg(*parts: Column | str, seed: int = 0) -> Column:
     """Integer mixing into [0, 2^31): the same arithmetic in any SQL engine, no overflow."""
     mod = 2147483648

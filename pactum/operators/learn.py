@@ -40,7 +40,7 @@ FAMILIES: dict[str, Callable[[Mapping[str, Any], int], Any]] = {"logistic": logi
 def build_model(family: str, params: Mapping[str, Any] | None = None, n_rows: int = 1, weight_col: str | None = None):
     """Estimator of a registered family; an unknown name is an error."""
     if family not in FAMILIES:
-        raise ValueError(f"Unknown model type: {family}")
+        raise ValueError(f"no model family is called {family!r}; there are {sorted(FAMILIES)}")
     model = FAMILIES[family](params or {}, n_rows)
     return model.setWeightCol(weight_col) if weight_col else model
 
@@ -52,7 +52,7 @@ class Candidate:
     validation: DataFrame
 
 
-def split_once(df: DataFrame, key: str, features: Sequence[str], policy: Policy = Policy()) -> DataFrame:
+def split_once(df: DataFrame, key: str | Sequence[str], features: Sequence[str], policy: Policy = Policy()) -> DataFrame:
     """The columns training needs, with `is_train`, written once for all families and passes.
 
     The features are written first, since the split reads them more than once. The
@@ -60,9 +60,10 @@ def split_once(df: DataFrame, key: str, features: Sequence[str], policy: Policy
     and survive lost executors. Rows are laid out by key, because forests draw
     their samples by row position: the same data then gives the same trees.
     """
-    slim = materialize(df.select(key, *features, "label"), "features")
-    split = stratified_split(slim, key, "label", policy.validation_share, policy.split_seed)
-    return materialize(split.repartitionByRange(F.col(key)).sortWithinPartitions(key), "split")
+    keys = [key] if isinstance(key, str) else list(key)
+    slim = materialize(df.select(*keys, *features, "label"), "features")
+    split = stratified_split(slim, keys, "label", policy.validation_share, policy.split_seed)
+    return materialize(split.repartitionByRange(*keys).sortWithinPartitions(*keys), "split")
 
 
 def train_candidate(split: DataFrame, family: str, features: Sequence[str], params: Mapping[str, Any] | None = None,

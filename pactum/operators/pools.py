@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pactum.functions.metrics import lcg
+from pactum.functions.metrics import key_hash
 from pactum.operators.features import FEATURE_COLS
 from pactum.plans.ranking import flag_lowest
 from pactum.policy import SPLIT_SEED, VALIDATION_SHARE
@@ -53,19 +53,20 @@ def train_quota(df: DataFrame, label: str, held_out: float) -> DataFrame:
         label, (F.col("base") + F.col("_extra")).cast("bigint").alias("quota"))
 
 
-def stratified_split(df: DataFrame, key: str, label: str = "label", held_out: float = VALIDATION_SHARE,
+def stratified_split(df: DataFrame, key: str | Sequence[str], label: str = "label", held_out: float = VALIDATION_SHARE,
                      seed: int = SPLIT_SEED) -> DataFrame:
-    """Add `is_train`: an exact split keeping label ratios, seeded, by a unique integer key.
+    """Add `is_train`: an exact split keeping label ratios, seeded, by a unique key of any columns.
 
     No label is ever sorted as a whole; see `flag_lowest`.
     """
-    return flag_lowest(df, lcg(key, seed=seed), [key], train_quota(df, label, held_out), [label], flag="is_train")
+    keys = [key] if isinstance(key, str) else list(key)
+    return flag_lowest(df, key_hash(keys, seed), keys, train_quota(df, label, held_out), [label], flag="is_train")
 
 
-def approximate_split(df: DataFrame, key: str, held_out: float = VALIDATION_SHARE,
+def approximate_split(df: DataFrame, key: str | Sequence[str], held_out: float = VALIDATION_SHARE,
                       seed: int = SPLIT_SEED) -> DataFrame:
     """Add `is_train` by hash threshold alone: narrow, sizes only near their targets."""
-    return df.withColumn("is_train", lcg(key, seed=seed) >= int(held_out * 2147483648))
+    return df.withColumn("is_train", key_hash(key, seed) >= int(held_out * 2147483648))
 
 
 def pool_overlap(left: DataFrame, right: DataFrame, key: str = "file") -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pactum.functions.metrics import lcg
+from pactum.functions.metrics import key_hash, lcg
 from pactum.plans.ranking import HASH_SPACE, flag_lowest
 from pactum.policy import TRIALS
 
@@ -24,6 +24,8 @@ LISTS = ((1, 2, 3), (0,), (5, -1))
 LOWEST_INT, HIGHEST_INT = -5, 5
 OBJECT_START = 10
 N_INTS = HIGHEST_INT - LOWEST_INT + 1
+#: Trial numbers one row is filled with.
+BLOCK = 1 << 20
 
 
 def _is(param: Column, names: Sequence[str]) -> Column:
@@ -69,17 +71,17 @@ def _call_params(units: DataFrame) -> DataFrame:
         domain_size(param_kind(p, method)).alias("size"))))
 
 
-def make_trials(units: DataFrame, keys: Sequence[str], seed_key: str, n: int = TRIALS, seed: int = 0) -> DataFrame:
+def make_trials(units: DataFrame, keys: Sequence[str], seed_key: str | Sequence[str], n: int = TRIALS, seed: int = 0) -> DataFrame:
     """`n` seeded trials per unit, one row per argument.
 
     (keys, trial, pos, param, kind, number, string, list). Choices depend on the
-    integer `seed_key`, the trial and the position only, so reruns agree.
+    `seed_key` columns, the trial and the position only, so reruns agree.
     """
     spread = (_call_params(units)
-              .select(*keys, F.col(seed_key).alias("_seed"), "_args",
+              .select(*keys, key_hash(seed_key, seed).alias("_seed"), "_args",
                       F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("trial"))
               .select(*keys, "_seed", "trial", F.inline("_args")))
-    pick = F.pmod(F.floor(lcg("_seed", "trial", "pos", seed=seed) / 65536), F.col("size"))
+    pick = F.pmod(F.floor(lcg("_seed", "trial", "pos") / 65536), F.col("size"))
     return (spread.withColumn("_pick", pick)
             .select(*keys, "trial", "pos", "param", "kind", _argument(F.col("kind"), F.col("_pick")).alias("_v"))
             .select(*keys, "trial", "pos", "param", "kind", "_v.*"))
@@ -89,13 +91,17 @@ def exhaustive_trials(units: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every combination of every argument's domain, one row per argument.
 
     Trial numbers count through the combinations in mixed radix, so no domains are
-    ever joined. A unit without arguments has one trial and no argument rows.
+    ever joined. A unit without arguments has one trial and no argument rows. Trials
+    are made in blocks that are dealt out before they are filled, so no row holds more
+    numbers than a block; more combinations than a BIGINT counts are an overflow error.
     """
     # Stride of each position: product of the domain sizes before it.
     staged = _call_params(units).withColumn("_total", F.aggregate(
         "_args", F.lit(1).cast("bigint"), lambda acc, a: acc * a["size"]))
     spread = (staged
-              .select(*keys, "_args", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_total") - 1)).alias("trial"))
+              .select(*keys, "_args", "_total", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_total") - 1, F.lit(BLOCK))).alias("_block"))
+              .repartition(*keys, "_block")
+              .select(*keys, "_args", F.explode(F.sequence("_block", F.least(F.col("_block") + BLOCK, F.col("_total")) - 1)).alias("trial"))
               .select(*keys, "trial", F.inline(F.transform("_args", lambda a: F.struct(
                   a["pos"].alias("pos"), a["param"].alias("param"), a["kind"].alias("kind"), a["size"].alias("size"),
                   F.aggregate(F.filter("_args", lambda b: b["pos"] < a["pos"]), F.lit(1).cast("bigint"),
@@ -133,13 +139,14 @@ def argument_grid(df: DataFrame, params: Sequence[str], method: bool = False) ->
     return out
 
 
-def sample_trials(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
-    """About `fraction` of the rows by seeded hash of an integer key; moves nothing."""
-    return df.filter(lcg(key, seed=seed) < int(fraction * HASH_SPACE))
+def sample_trials(df: DataFrame, key: str | Sequence[str], fraction: float, seed: int = 0) -> DataFrame:
+    """About `fraction` of the rows by seeded hash of any key; moves nothing."""
+    return df.filter(key_hash(key, seed) < int(fraction * HASH_SPACE))
 
 
-def sample_n_trials(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """Exactly `n` rows (all, if fewer) with the lowest seeded hash of a unique integer key."""
+def sample_n_trials(df: DataFrame, key: str | Sequence[str], n: int, seed: int = 0) -> DataFrame:
+    """Exactly `n` rows (all, if fewer) with the lowest seeded hash of a unique key."""
+    keys = [key] if isinstance(key, str) else list(key)
     staged = df.withColumn("_all", F.lit(0))
     quota = df.sparkSession.range(1).select(F.lit(0).alias("_all"), F.lit(n).cast("bigint").alias("quota"))
-    return flag_lowest(staged, lcg(key, seed=seed), [key], quota, ["_all"]).filter("picked").drop("picked", "_all")
+    return flag_lowest(staged, key_hash(keys, seed), keys, quota, ["_all"]).filter("picked").drop("picked", "_all")

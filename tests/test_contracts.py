@@ -155,3 +155,13 @@ def test_sql_functions(spark):
     assert tuple(row) == ("MEDIUM", "HIGH", -4, True, "he", 0.75, 0.0)
     df = spark.range(-5, 6).selectExpr("id AS a")
     assert verdicts(df, Contract("t", "floor_div(a, 2)", [], ["result * 2 = a"]))["t"]["n_failed"] == 6
+
+
+def test_runtime_errors_keep_their_kind_after_a_check(spark):
+    from pyspark.errors import ArithmeticException
+
+    from pactum import Contract, check_contracts
+
+    check_contracts(spark.range(3), [Contract("odd", "no_such_column", [], ["result > 0"])]).collect()
+    with pytest.raises(ArithmeticException):
+        spark.sql("select 1/0").collect()

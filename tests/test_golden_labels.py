@@ -117,3 +117,14 @@ def test_exhaustive_trials_cover_the_product(spark):
     for r in rows:
         calls.setdefault(r["trial"], {})[r["param"]] = r["number"] if r["kind"] == "int" else r["string"] or tuple(r["list"])
     assert len(calls) == 99 and len({tuple(sorted(map(str, c.items()))) for c in calls.values()}) == 99
+
+
+def test_many_parameters_make_no_large_array(spark):
+    """Eight integer parameters: 11 ** 8 trials, counted from their blocks."""
+    from pactum.operators import trials
+
+    units = spark.createDataFrame([("u", None, list("abcdefgh"))], "name string, class string, params array<string>")
+    plan = trials.exhaustive_trials(units, ["name"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and str(trials.BLOCK) in plan
+    few = spark.createDataFrame([("v", None, ["a", "b"])], "name string, class string, params array<string>")
+    assert trials.exhaustive_trials(few, ["name"]).select("trial").distinct().count() == 121

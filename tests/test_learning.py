@@ -29,7 +29,7 @@ def candidates(points):
 
 
 def test_unknown_family():
-    with pytest.raises(ValueError, match="Unknown model type"):
+    with pytest.raises(ValueError, match="no model family"):
         L.build_model("svm")
 
 

@@ -42,6 +42,16 @@ def test_lowest_by_hash_matches_a_sort(spark, buckets):
     assert got == want
 
 
+def test_split_by_text_keys(spark):
+    rows = [(f"dir/{i % 7}.py", i, int(i % 5 == 0)) for i in range(300)] + [(None, 300, 1)]
+    df = spark.createDataFrame(rows, "path string, line int, label int")
+    out = P.stratified_split(df, ["path", "line"])
+    assert out.columns == [*df.columns, "is_train"] and out.filter("NOT is_train").count() == math.ceil(0.3 * 301)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 5 and "broadcast" not in plan.lower()
+    assert sample_n_trials(df, ["path", "line"], 11).count() == 11
+
+
 def test_samples(spark):
     df = spark.range(4000)
     assert sample_n_trials(df, "id", 37).count() == 37

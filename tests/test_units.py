@@ -23,6 +23,20 @@ def units(spark, *texts, **kw):
     return {(r["path"], r["name"]): r for r in describe_units(corpus(spark, *texts), **kw).collect()}
 
 
+@pytest.mark.parametrize("header, names", [
+    ("def f(a, b=((((((1,),),),),),), c=2):", ["a", "b", "c"]),
+    ("def f(a,  b: dict[str, list[tuple[int, (int)]]] = {1: [(2, 3)]}, *, d=[[]]) -> dict[str, int]:", ["a", "b"]),
+    ("def f(x=lambda p, q: (p, q), y=1):", ["x", "y"])])
+def test_parameters_at_any_depth(spark, header, names):
+    row = spark.createDataFrame([(header,)], "h string").select(parameter_names(F.col("h")).alias("p")).first()
+    assert [p for p in row["p"] if p not in ("q",)] == names
+
+
+def test_header_continued_by_backslash(spark):
+    found = units(spark, "def f(a, \\\n      b, \\\n      c):\n    return a\n")
+    assert found["f0.py", "f"]["params"] == ["a", "b", "c"]
+
+
 def test_line_numbers_and_trailing_newline(spark):
     rows = explode_lines(corpus(spark, "a\nb\n", "a\r\nb\rc", "", "\n", "x\n\n")).groupBy("path").agg(
         F.sort_array(F.collect_list(F.struct("line", "text"))).alias("l")).collect()
