@@ -233,11 +233,11 @@ SELECT 't' || lpad(CAST(i AS VARCHAR), 2, '0') AS target, count(*) AS n_rows, co
 
 def d16_violating_rows(spark, d):
     keep = ["l_orderkey", "l_linenumber", "l_partkey"]
-    return D.violating_rows(read(spark, d, "lineitem"), [PRICE, TAXED, RATIO], keep)
+    return D.violating_rows(read(spark, d, "lineitem"), LINE_CONTRACTS, keep)
 
 
 D16 = f"""WITH {_OUTCOMES} SELECT l_orderkey, l_linenumber, l_partkey, target,
- CASE WHEN err THEN 0 ELSE 1 END AS clause FROM o WHERE pre AND bad AND target NOT LIKE 'unbound%'"""
+ CASE WHEN err THEN 0 ELSE 1 END AS clause FROM o WHERE pre AND bad"""
 
 
 QUERIES = {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.shared import CODE_CTE, CODE_SQL, DOC_CTE, code_corpus, documents, read
+from catalog.shared import CODE_CTE, CODE_SQL, DOC_CTE, FILES_SQL, code_corpus, documents, labelled, read, write_code_files
 from pactum.operators import features as C
 from pactum.operators import units as B
 from pactum.plans.session import run_dir
@@ -13,15 +13,15 @@ from pactum.sources.datasets import read_dataset, write_dataset
 
 
 def a1_read_corpus(spark, d):
-    """Write the derived text to files in several folders and read them back whole."""
+    """Write the derived text to files in several folders and read them back whole, one row each."""
     root = run_dir(spark, "corpus")
-    rows = code_corpus(spark, d).select(F.col("content").alias("value"), (F.col("path").cast("bigint") % 8).alias("part"))
-    rows.write.partitionBy("part").text(root)
+    write_code_files(spark, d, root)
     back = A.read_corpus(spark, f"{root}/part=*", "train", glob="*.txt")
-    return back.groupBy("pool").agg(F.sum(F.length("content").cast("bigint")).alias("n_chars"))
+    return back.select("pool", F.regexp_extract("path", r"part=(\d+)", 1).cast("int").alias("part"), F.md5("content").alias("digest"),
+                       F.length("content").cast("bigint").alias("n_chars"))
 
 
-A1 = f"SELECT 'train' AS pool, CAST(sum(length({CODE_SQL}) + 1) AS BIGINT) AS n_chars FROM part"
+A1 = f"SELECT 'train' AS pool, * FROM ({FILES_SQL})"
 
 
 def a2_corpus_from_table(spark, d):
@@ -34,7 +34,7 @@ A2 = """SELECT 'docs' AS pool, CAST(doc_id AS VARCHAR) AS path, CAST(doc_id AS V
 
 
 def _dataset(spark, d):
-    return documents(spark, d).select(*C.TEXT_FEATURE_COLS, F.lit(0).alias("label"), F.col("source").alias("source_file"))
+    return labelled(spark, d).select(*C.TEXT_FEATURE_COLS, "label", F.col("source").alias("source_file"))
 
 
 def a3_read_dataset(spark, d):
@@ -44,7 +44,7 @@ def a3_read_dataset(spark, d):
     return read_dataset(spark, path, df.schema, "csv")
 
 
-A3 = f"WITH {DOC_CTE} SELECT {', '.join(C.TEXT_FEATURE_COLS)}, CAST(0 AS INT) AS label, source AS source_file FROM feat"
+A3 = f"WITH {DOC_CTE} SELECT {', '.join(C.TEXT_FEATURE_COLS)}, label, source AS source_file FROM lab"
 
 
 def a4_write_dataset(spark, d):

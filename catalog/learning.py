@@ -83,16 +83,14 @@ WHERE pool = 'unseen' AND file NOT IN (SELECT file FROM pooled WHERE pool <> 'un
 
 
 def e7_pool_profile(spark, d):
-    out = P.pool_profile(labelled(spark, d), ["n_tokens", "longest_line"])
+    out = P.pool_profile(labelled(spark, d), FEATURES)
     return (out.withColumn("pool", F.coalesce("pool", F.lit("all")))
             .withColumn("label", F.coalesce(F.col("label").cast("string"), F.lit("all"))))
 
 
 E7 = f"""WITH {DOC_CTE} SELECT coalesce(pool, 'all') AS pool, coalesce(CAST(label AS VARCHAR), 'all') AS label,
  CAST(grouping(pool, label) AS INT) AS level, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_risky,
- round(avg(n_tokens), 6) AS mean_n_tokens, min(n_tokens) AS min_n_tokens, max(n_tokens) AS max_n_tokens,
- round(avg(longest_line), 6) AS mean_longest_line, min(longest_line) AS min_longest_line,
- max(longest_line) AS max_longest_line FROM lab GROUP BY ROLLUP (pool, label)"""
+ {", ".join(f"round(avg({c}), 6) AS mean_{c}, min({c}) AS min_{c}, max({c}) AS max_{c}" for c in FEATURES)} FROM lab GROUP BY ROLLUP (pool, label)"""
 
 
 # -- training -----------------------------------------------------------------

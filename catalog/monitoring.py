@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.shared import DOC_CTE, POOL_SQL, PRED_CTE, SCORED_CTE, code_corpus, documents, predictions, read, scored
+from catalog.shared import DOC_CTE, FEATURES, POOL_SQL, PRED_CTE, SCORED_CTE, code_corpus, documents, predictions, read, scored
 from pactum.operators import learn as L
 from pactum.operators import monitor as M
 from pactum.operators import risk as H
@@ -103,7 +103,7 @@ c AS (SELECT *, n_high / n AS share, n_high / n - lag(n_high / n) OVER (PARTITIO
 SELECT user_id, strftime(s, '%Y-%m-%d') AS day, n, n_high, round(share, 6) AS share,
  round(coalesce(ch, 0), 6) AS change, coalesce(ch >= 0.02, false) AS surge FROM c"""
 
-DRIFT = ["n_lines", "n_tokens", "longest_line", "n_digits", "has_arith"]
+DRIFT = FEATURES
 
 
 def h9_feature_drift(spark, d):

@@ -215,4 +215,17 @@ def code_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_from_table(part.select("p_partkey", F.expr(CODE_SQL).alias("content")), "p_partkey", "content", "parts")
 
 
+FILES = 8
+
+
+def write_code_files(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The derived sources as FILES files, part=0 to part=7, each with its sources in order of their keys."""
+    part = read(spark, sf_dir, "part").select("p_partkey", F.expr(CODE_SQL).alias("value"), (F.col("p_partkey") % FILES).alias("part"))
+    (part.repartition(FILES, "part").sortWithinPartitions("part", "p_partkey").select("value", "part")
+     .write.partitionBy("part").text(root))
+
+
+FILES_SQL = f"""SELECT CAST(p_partkey % {FILES} AS INT) AS part, md5(string_agg({CODE_SQL} || chr(10), '' ORDER BY p_partkey)) AS digest,
+ CAST(sum(length({CODE_SQL}) + 1) AS BIGINT) AS n_chars FROM part GROUP BY 1"""
+
 FEATURES = list(TEXT_FEATURE_COLS)

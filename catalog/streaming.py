@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.checking import LINE_CONTRACTS, _MOVE, _OUTCOMES, _START
-from catalog.shared import CODE_SQL, INTERCEPT_A, POOL_SQL, SCORED_CTE, WEIGHTS_A, code_corpus, read
+from catalog.shared import FILES_SQL, INTERCEPT_A, POOL_SQL, SCORED_CTE, WEIGHTS_A, read, write_code_files
 from pactum.functions.metrics import linear_score
 from pactum.operators import risk as H
 from pactum.operators.features import text_features
@@ -19,16 +19,18 @@ def _path(d, name):
 
 
 def a6_stream_corpus(spark, d):
-    """Derived files arriving in a folder, described as they come."""
+    """Derived files arriving in folders, described as they come: two files a batch, one row each."""
     root = run_dir(spark, "arriving")
-    code_corpus(spark, d).select(F.col("content").alias("value")).repartition(16).write.text(root)
+    write_code_files(spark, d, root)
     out, ckpt = sinks.fresh(spark, "stream-corpus")
-    stream = stream_corpus(spark, root, glob="*.txt", files_per_trigger=8)
-    sinks.append_to(stream.select("pool", "file", F.length("content").cast("bigint").alias("n_chars")), out, ckpt)
-    return spark.read.parquet(out).groupBy("pool").agg(F.sum("n_chars").alias("n_chars"))
+    stream = stream_corpus(spark, f"{root}/part=*", glob="*.txt", files_per_trigger=2)
+    told = stream.select("pool", F.regexp_extract("path", r"part=(\d+)", 1).cast("int").alias("part"), F.md5("content").alias("digest"),
+                         F.length("content").cast("bigint").alias("n_chars"))
+    sinks.append_to(told, out, ckpt)
+    return spark.read.parquet(out)
 
 
-A6 = f"SELECT 'unseen' AS pool, CAST(sum(length({CODE_SQL}) + 1) AS BIGINT) AS n_chars FROM part"
+A6 = f"SELECT 'unseen' AS pool, * FROM ({FILES_SQL})"
 
 
 def _score(batch):
