@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from catalog.shared import (DOC_CTE, FEATURES, INTERCEPT_A, POOLED_CTE, PRED_CTE, SCORE_A_SQL, WEIGHTS_A, documents,
+from catalog.shared import (DOC_CTE, FEATURES, INTERCEPT_A, POOL_SQL, POOLED_CTE, PRED_CTE, SCORE_A_SQL, WEIGHTS_A, documents,
                             key_hash_sql, labelled, pooled, predictions, read, scored)
 from pactum.functions.metrics import linear_score
 from pactum.operators import learn as L
 from pactum.operators import pools as P
 from pactum.operators import promotion as G
+from pactum.operators.features import assembler, text_features
 from pactum.plans.session import materialize, run_dir
 from pactum.policy import Family, Policy
 from pactum.sources.models import load_model, save_model
@@ -95,18 +97,54 @@ E7 = f"""WITH {DOC_CTE} SELECT coalesce(pool, 'all') AS pool, coalesce(CAST(labe
 
 # -- training -----------------------------------------------------------------
 
-# Few trees keep the registered queries quick; the policy default is 200.
-QUICK = Policy(families=(Family("logistic", True, {"max_iter": 1000}), Family("forest", True, {"n_estimators": 20})))
+# On one binary feature both families are saturated: without a penalty, or without bootstrap at
+# depth 1, the fitted score is the mean label of the feature's value. So SQL can state the fits.
+BINARY = ["is_long"]
+SATURATED = Policy(families=(
+    Family("logistic", True, {"max_iter": 1000, "penalty": 0.0}),
+    Family("forest", True, {"n_estimators": 5, "max_depth": 1, "bootstrap": False})))
 
 
-def _train(spark, d):
-    return labelled(spark, d).filter("pool = 'train'")
+def _binary(spark, d):
+    """Every document with its pool, whether it is long, and a label that differs from that for a quarter of them.
+
+    A tree drops a split whose sides predict one class, so the classes must differ.
+    """
+    long = (F.col("n_tokens") > 200).cast("int")
+    docs = text_features(read(spark, d, "documents")).select("doc_id", F.expr(POOL_SQL).alias("pool"), long.alias("is_long"))
+    return docs.withColumn("label", F.when(F.col("doc_id") % 4 == 0, 1 - F.col("is_long")).otherwise(F.col("is_long")))
+
+
+def _binary_train(spark, d):
+    return _binary(spark, d).filter("pool = 'train'")
 
 
 def _fit(spark, d, family):
-    split = L.split_once(_train(spark, d), "doc_id", FEATURES, QUICK)
-    params = {f.name: f.params for f in QUICK.families}[family]
-    return L.train_candidate(split, family, FEATURES, params)
+    split = L.split_once(_binary_train(spark, d), "doc_id", BINARY, SATURATED)
+    return L.train_candidate(split, family, BINARY, {f.name: f.params for f in SATURATED.families}[family])
+
+
+def full_fit(spark, d, family):
+    """The shipped policy on all features and quality labels, for timing: 200 trees or 1000 iterations."""
+    split = L.split_once(labelled(spark, d).filter("pool = 'train'"), "doc_id", FEATURES, Policy())
+    params = {f.name: f.params for f in Policy().families}[family]
+    return L.recall_by(L.train_candidate(split, family, FEATURES, params).validation)
+
+
+BINARY_CTE = f"""k AS (SELECT doc_id, {POOL_SQL} AS pool,
+  CAST(len(list_filter(regexp_split_to_array(text, '[ \\t\\r\\n\\f]+'), lambda x: x <> '')) > 200 AS INT) AS is_long FROM documents),
+b AS (SELECT *, CASE WHEN doc_id % 4 = 0 THEN 1 - is_long ELSE is_long END AS label FROM k),
+l AS (SELECT * FROM b WHERE pool = 'train'),
+r AS (SELECT *, count(*) OVER (PARTITION BY label) AS n, count(*) OVER () AS total,
+  row_number() OVER (PARTITION BY label ORDER BY {key_hash_sql("doc_id", seed=42)}, doc_id) AS rn FROM l),
+q AS (SELECT DISTINCT label, n, total - CAST(ceil(total * 3 / 10.0) AS BIGINT) AS train, total FROM r),
+s AS (SELECT label, n * train // total AS base, n * train % total AS rest, train FROM q),
+t AS (SELECT label, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, label) <= train - sum(base) OVER ()
+  THEN 1 ELSE 0 END AS quota FROM s),
+split AS (SELECT doc_id, is_long, label, rn <= quota AS is_train FROM r JOIN t USING (label)),
+fit AS (SELECT is_long, avg(label) AS score, CAST(avg(label) > 0.5 AS INT) AS prediction FROM split WHERE is_train GROUP BY 1)"""
+_VALIDATION = f"WITH {BINARY_CTE} SELECT doc_id, label, prediction, round(score, 4) AS score FROM split JOIN fit USING (is_long) WHERE NOT is_train"
+F1 = F2 = _VALIDATION
 
 
 def f1_logistic(spark, d):
@@ -119,30 +157,47 @@ def f2_forest(spark, d):
 
 def f3_build_model(spark, d):
     """Every registered family fitted on the training pool, tagged with its name."""
-    train = materialize(_train(spark, d).select("doc_id", *FEATURES, "label"), "train")
+    train = materialize(_binary_train(spark, d).select("doc_id", *BINARY, "label"), "train")
     n = train.count()
-    from pyspark.ml import Pipeline
-
-    from pactum.operators.features import assembler
-    models = {f.name: Pipeline(stages=[assembler(FEATURES), L.build_model(f.name, f.params, n)]).fit(train)
-              for f in QUICK.families}
+    models = {f.name: Pipeline(stages=[assembler(BINARY), L.build_model(f.name, f.params, n)]).fit(train)
+              for f in SATURATED.families}
     return G.score_candidates(models, train).groupBy("name").agg(F.count("*").alias("n"), F.sum("prediction").alias("n_risky"))
 
 
+F3 = f"""WITH {BINARY_CTE}, w AS (SELECT is_long, avg(label) AS score, count(*) AS k FROM l GROUP BY 1)
+SELECT name, CAST(sum(k) AS BIGINT) AS n, CAST(sum(CASE WHEN score > 0.5 THEN k ELSE 0 END) AS BIGINT) AS n_risky
+FROM w, (VALUES ('logistic'), ('forest')) AS v(name) GROUP BY 1"""
+
+
 def f4_train_candidate(spark, d):
     return L.recall_by(_fit(spark, d, "forest").validation)
 
 
+F4 = f"""WITH {BINARY_CTE}, hard AS (SELECT label, prediction FROM split JOIN fit USING (is_long) WHERE NOT is_train),
+c AS (SELECT count(*) FILTER (label = 1 AND prediction = 1) AS tp, count(*) FILTER (label = 0 AND prediction = 1) AS fp,
+ count(*) FILTER (label = 1 AND prediction = 0) AS fn, count(*) FILTER (label = 0 AND prediction = 0) AS tn FROM hard)
+SELECT *, CAST(CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS DOUBLE) AS recall FROM c"""
+
+
 def f5_predict_label(spark, d):
-    return predictions(spark, d).select("doc_id", "name", "prediction")
+    """Hard classes of both fitted families over the unseen pool."""
+    unseen = materialize(_binary(spark, d).filter("pool = 'unseen'"), "unseen")
+    split = L.split_once(_binary_train(spark, d), "doc_id", BINARY, SATURATED)
+    rows = [L.predict(L.train_candidate(split, f.name, BINARY, f.params).model, unseen).select("doc_id", F.lit(f.name).alias("name"), "prediction")
+            for f in SATURATED.families]
+    return rows[0].unionByName(rows[1])
 
 
-F5 = f"WITH {PRED_CTE} SELECT doc_id, name, prediction FROM hard"
+F5 = f"""WITH {BINARY_CTE} SELECT doc_id, name, prediction FROM b JOIN fit USING (is_long), (VALUES ('logistic'), ('forest')) AS v(name)
+WHERE pool = 'unseen'"""
 
 
 def f6_predict_score(spark, d):
     c = _fit(spark, d, "forest")
-    return L.predict(c.model, documents(spark, d).filter("pool = 'unseen'")).select("doc_id", "score", "prediction")
+    return L.predict(c.model, _binary(spark, d).filter("pool = 'unseen'")).select("doc_id", F.round("score", 4).alias("score"), "prediction")
+
+
+F6 = f"WITH {BINARY_CTE} SELECT doc_id, round(score, 4) AS score, prediction FROM b JOIN fit USING (is_long) WHERE pool = 'unseen'"
 
 
 def f7_linear_score(spark, d):
@@ -194,7 +249,10 @@ def a5_models(spark, d):
     root = run_dir(spark, "models")
     c = _fit(spark, d, "logistic")
     save_model(c.model, root, "logistic")
-    return L.predict(load_model(root, "logistic"), _train(spark, d)).groupBy("label", "prediction").agg(F.count("*").alias("n"))
+    return L.predict(load_model(root, "logistic"), _binary_train(spark, d)).select("doc_id", "label", "prediction", F.round("score", 4).alias("score"))
+
+
+A5 = f"WITH {BINARY_CTE} SELECT doc_id, label, prediction, round(score, 4) AS score FROM l JOIN fit USING (is_long)"
 
 
 # -- promotion ----------------------------------------------------------------
@@ -237,19 +295,23 @@ G3 = f"""WITH {_EVAL} SELECT name, round(recall, 6) AS recall, CAST(ord AS INT)
 def g4_promote(spark, d):
     """Fit both families, promote the better one and score the test pool with the stored champion."""
     root = run_dir(spark, "models")
-    split = L.split_once(_train(spark, d), "doc_id", FEATURES, QUICK)
-    for f in QUICK.families:
-        save_model(L.train_candidate(split, f.name, FEATURES, f.params).model, root, f.name)
-    models = G.stored_candidates(spark, root, [*G.enabled_families(QUICK), "absent"])
-    test = materialize(labelled(spark, d).filter("pool = 'test'"), "test")
+    split = L.split_once(_binary_train(spark, d), "doc_id", BINARY, SATURATED)
+    for f in SATURATED.families:
+        save_model(L.train_candidate(split, f.name, BINARY, f.params).model, root, f.name)
+    models = G.stored_candidates(spark, root, [*G.enabled_families(SATURATED), "absent"])
+    test = materialize(_binary(spark, d).filter("pool = 'test'"), "test")
     evaluated = G.evaluate_candidates(G.score_candidates(models, test), REGISTRY)
-    # The two families may both miss every risky row, so the gate is open here.
+    # The two families agree and may both miss every risky row, so the gate is open here.
     gated = G.promotion_gate(G.select_champion(evaluated), Policy(min_recall=0.0))
     promoted = G.promote(models, gated, root)
     champion = L.predict(load_model(root), test)
     return champion.groupBy("label", "prediction").agg(F.count("*").alias("n")).withColumn("champion", F.lit(promoted))
 
 
+G4 = f"""WITH {BINARY_CTE} SELECT label, prediction, count(*) AS n, 'logistic' AS champion FROM b JOIN fit USING (is_long)
+WHERE pool = 'test' GROUP BY 1, 2"""
+
+
 def g5_promote_only_if_better(spark, d):
     current = L.recall_by(predictions(spark, d, "train").filter("name = 'logistic'")).select("recall")
     out = G.promote_only_if_better(G.promotion_gate(G.select_champion(_evaluated(spark, d))), current)
@@ -298,7 +360,7 @@ G8 = """SELECT CAST(user_id AS VARCHAR) AS case_id, row_number() OVER (PARTITION
 
 
 QUERIES = {
-    "a5_save_load_model": (a5_models, None),
+    "a5_save_load_model": (a5_models, A5),
     "e1_labelled_dataset": (e1_labelled_dataset, E1),
     "e2_merge_pools": (e2_merge_pools, E2),
     "e3_merge_pools_last_wins": (e3_merge_last_wins, E3),
@@ -306,12 +368,12 @@ QUERIES = {
     "e5_pool_overlap": (e5_pool_overlap, E5),
     "e6_unseen_only": (e6_unseen_only, E6),
     "e7_pool_profile": (e7_pool_profile, E7),
-    "f1_logistic": (f1_logistic, None),
-    "f2_forest": (f2_forest, None),
-    "f3_build_model": (f3_build_model, None),
-    "f4_train_candidate": (f4_train_candidate, None),
+    "f1_logistic": (f1_logistic, F1),
+    "f2_forest": (f2_forest, F2),
+    "f3_build_model": (f3_build_model, F3),
+    "f4_train_candidate": (f4_train_candidate, F4),
     "f5_predict_label": (f5_predict_label, F5),
-    "f6_predict_score": (f6_predict_score, None),
+    "f6_predict_score": (f6_predict_score, F6),
     "f7_linear_score": (f7_linear_score, F7),
     "f8_confusion_counts": (f8_confusion_counts, F8),
     "f9_recall_risky": (f9_recall_risky, F9),
@@ -319,7 +381,7 @@ QUERIES = {
     "g1_evaluate_candidates": (g1_evaluate_candidates, G1),
     "g2_select_champion": (g2_select_champion, G2),
     "g3_promotion_gate": (g3_promotion_gate, G3),
-    "g4_promote": (g4_promote, None),
+    "g4_promote": (g4_promote, G4),
     "g5_promote_only_if_better": (g5_promote_only_if_better, G5),
     "g6_retrain_decision": (g6_retrain_decision, G6),
     "g7_enabled_families": (g7_enabled_families, G7),

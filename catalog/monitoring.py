@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from catalog.shared import DOC_CTE, FEATURES, POOL_SQL, PRED_CTE, SCORED_CTE, code_corpus, documents, predictions, read, scored
+from catalog.shared import (BAND_SQL, CODE_CTE, DOC_CTE, FEATURES, POOL_SQL, PRED_CTE, SCORED_CTE, code_corpus, documents,
+                            predictions, read, scored)
 from pactum.operators import learn as L
 from pactum.operators import monitor as M
 from pactum.operators import risk as H
-from pactum.operators.features import FEATURE_COLS, assembler, contract_features
+from pactum.operators.features import assembler, contract_features
 from pactum.operators.units import describe_units
 from pactum.plans.session import materialize
 
@@ -26,18 +28,23 @@ H1 = f"WITH {SCORED_CTE} SELECT doc_id, source, pool, round(score, 6) AS score,
 
 
 def h2_score_units(spark, d):
-    """Fit on the features of the derived functions, then write their risk records."""
-    from pyspark.ml import Pipeline
-
+    """Fit on one binary feature of the derived functions, with a label of its own for every third file, then write their risk records."""
     corpus = code_corpus(spark, d)
-    table = materialize(contract_features(describe_units(corpus))
-                        .withColumn("label", (F.col("n_ensures") > 1).cast("int")), "units")
-    model = Pipeline(stages=[assembler(FEATURE_COLS), L.build_model("forest", {"n_estimators": 5})]).fit(table)
+    table = materialize(contract_features(describe_units(corpus)).withColumn(
+        "label", F.expr("CASE WHEN CAST(path AS BIGINT) % 3 = 0 THEN 1 - has_self ELSE has_self END")), "units")
+    params = {"n_estimators": 5, "max_depth": 1, "bootstrap": False}
+    model = Pipeline(stages=[assembler(["has_self"]), L.build_model("forest", params)]).fit(table)
     out = H.score_units(corpus, model)
     flat = {c: F.array_join(c, "|") for c in ("requires", "ensures", "invariant")}
     return out.withColumns(flat)
 
 
+H2 = f"""WITH {CODE_CTE}, u AS (SELECT *, CAST(starts_with(params, 'self') AS INT) AS has_self FROM described),
+m AS (SELECT has_self, avg(CASE WHEN CAST(path AS BIGINT) % 3 = 0 THEN 1 - has_self ELSE has_self END) AS score FROM u GROUP BY 1)
+SELECT path AS file, path, name, CAST(line AS INT) AS line, requires, ensures, invariant, round(score, 3) AS score, {BAND_SQL} AS level
+FROM u JOIN m USING (has_self)"""
+
+
 def h3_high_risk_files(spark, d):
     return H.high_risk_files(_scores(spark, d).filter("pool = 'unseen'"), "source")
 
@@ -146,7 +153,7 @@ SELECT name, CAST(run AS INT) AS run, round(recall, 6) AS recall, round(coalesce
 
 QUERIES = {
     "h1_risk_level": (h1_risk_level, H1),
-    "h2_score_units": (h2_score_units, None),
+    "h2_score_units": (h2_score_units, H2),
     "h3_high_risk_files": (h3_high_risk_files, H3),
     "h4_collect_feedback": (h4_collect_feedback, H4),
     "h5_run_order": (h5_run_order, H5),

@@ -22,16 +22,18 @@ from pactum.policy import FOREST_DEPTH, FOREST_SEED, FOREST_TREES, LOGISTIC_MAX_
 def logistic(params: Mapping[str, Any], n_rows: int) -> LogisticRegression:
     """L2 logistic regression on raw features, unit cost per row.
 
-    Losses are averaged here, so a penalty of 1 on summed losses becomes 1/n.
+    Losses are averaged here, so a penalty of 1 on summed losses becomes 1/n; `penalty` 0 turns it off.
     """
+    penalty = float(params.get("penalty", 1.0))
     return LogisticRegression(maxIter=int(params.get("max_iter", LOGISTIC_MAX_ITER)), elasticNetParam=0.0,
-                              standardization=False, regParam=1.0 / max(1, n_rows))
+                              standardization=False, regParam=penalty / max(1, n_rows))
 
 
 def forest(params: Mapping[str, Any], n_rows: int) -> RandomForestClassifier:
     return RandomForestClassifier(
         numTrees=int(params.get("n_estimators", FOREST_TREES)), maxDepth=int(params.get("max_depth", FOREST_DEPTH)),
-        seed=int(params.get("random_state", FOREST_SEED)), featureSubsetStrategy="sqrt", impurity="gini")
+        seed=int(params.get("random_state", FOREST_SEED)), featureSubsetStrategy="sqrt", impurity="gini",
+        bootstrap=bool(params.get("bootstrap", True)))
 
 
 FAMILIES: dict[str, Callable[[Mapping[str, Any], int], Any]] = {"logistic": logistic, "forest": forest}

@@ -41,9 +41,8 @@ def test_query_matches_sql(spark, sf, duck, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", [n for n in ROWS_ONLY if n in ("f2_forest", "h2_score_units", "g4_promote")])
-def test_fitted_queries_give_rows(spark, sf, name):
-    assert entry.queries()[name](spark, sf).count() > 0
+def test_only_training_data_queries_lack_a_twin():
+    assert all(name == "pipeline" or name.startswith("op") for name in ROWS_ONLY)
 
 
 def test_entry(spark):
