@@ -9,7 +9,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from pactum.llm.common import fold, hash60, table
 from pactum.plans.session import materialize
@@ -19,6 +18,8 @@ SPECTRUM, BITS = 3, 14
 #: Bounds of the fit: labelled rows in all (at least LEAST for each language) and landmarks.
 SAMPLE, LEAST, LANDMARKS = 4_000, 16, 256
 RIDGE = 1e-2
+#: Languages whose counts are broadcast; the counts of more are joined as usual.
+BROADCAST = 10_000
 UNKNOWN = "und"
 
 
@@ -92,24 +93,28 @@ def predict(model: LanguageModel, texts: list[str | None]) -> tuple[list[str], l
 
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           sample: int = SAMPLE, least: int = LEAST) -> LanguageModel:
-    """Fit on a bounded sample of the rows with a language for which `learn` holds, spread evenly over languages."""
+    """Fit on a sample of the rows with a language for which `learn` holds, spread evenly over languages.
+
+    A row is taken if its hash lies below its language's share of the hash space: about `sample` rows in all,
+    or `least` for each language, whatever the size of the table. Only counts and those rows' bit sets reach the driver.
+    """
     rows = docs.filter(learn & F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
-        F.col(lang_col).alias("lang"), hash60(F.col(id_col), F.col(text_col)).alias("place"))
-    count = rows.select("lang").distinct().count()
-    if not count:
+        F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), hash60(F.col(id_col), F.col(text_col)).alias("place"))
+    counts = materialize(rows.groupBy("lang").count(), "lang-counts")
+    languages = counts.count()
+    if not languages:
         return LanguageModel([], np.zeros((1 << BITS, 0), np.float32))
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
-    chosen = materialize(rows.withColumn("at", first).filter(F.col("at") <= max(least, sample // count)).select("place").distinct(), "lang-sample")
+    share = F.least(F.lit(1.0), F.lit(float(max(least, sample // languages))) / F.col("count"))
+    cuts = counts.select("lang", (share * float(1 << 60)).cast("bigint").alias("cut"))
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = [np.packbits(presence(t)).tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(bits, pa.binary()), batch.column(1), batch.column(2)], ["bits", "lang", "place"])
 
-    texts = docs.filter(learn & F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
-        F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), hash60(F.col(id_col), F.col(text_col)).alias("place"))
-    got = (texts.join(chosen, "place", "left_semi").select("text", "lang", "place").mapInArrow(pack, "bits binary, lang string, place bigint")
-           .dropDuplicates(["place"]).orderBy("place", "lang").collect())
+    got = (rows.join(F.broadcast(cuts) if languages <= BROADCAST else cuts, "lang").filter("place < cut").select("text", "lang", "place")
+           .mapInArrow(pack, "bits binary, lang string, place bigint").dropDuplicates(["place"]).collect())
+    got.sort(key=lambda r: (r["place"], r["lang"]))
     x = np.stack([np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in got])
     return fit(x, [r["lang"] for r in got])
 

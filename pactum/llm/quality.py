@@ -113,8 +113,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, learn: Column, id_col: st
                    sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: (id, score, predicted), from statistics of the whole text.
 
-    Statistics are computed once and written. The trees are fitted on at most `sample` labelled rows with
-    `learn` (an expression over the documents), those of lowest hash. Null text is empty and is scored too;
+    Statistics are computed once and written. The trees are fitted on labelled rows with `learn` (an expression
+    over the documents): all, or the share with the lowest hashes that makes about `sample` of them. Null text is empty and is scored too;
     null labels and ids teach nothing; a document with several labels counts once for each; without labels
     every score is 0.5. Repeated rows stay repeated, an empty table gives none, other columns are ignored.
     """
@@ -128,7 +128,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, learn: Column, id_col: st
 
     measured = materialize(rows.mapInArrow(measure, f"id {kind}, learn boolean, place bigint, stats array<double>"), "quality-statistics")
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter("label is not null")
-    got = (measured.filter("learn").join(known, "id").select("place", "label", "stats").orderBy("place", "label").limit(sample)).collect()
+    taught = materialize(measured.filter("learn").join(known, "id").select("place", "label", "stats"), "quality-labelled")
+    cut = int(min(1.0, sample / max(1, taught.count())) * (1 << 60))
+    got = sorted(taught.filter(F.col("place") < cut).collect(), key=lambda r: (r["place"], r["label"], r["stats"]))
     x = np.array([r["stats"] for r in got], float).reshape(len(got), len(FEATURES))
     model = docs.sparkSession.sparkContext.broadcast(fit(x, np.array([r["label"] for r in got], float)))
 
