@@ -180,7 +180,8 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     ends = learned.count()
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n_all, v_all = (totals["n"] or 0) + ends, totals["v"] + (ends > 0)
-    top = [(bytes(r["term"]), r["n"]) for r in frequent(counts, hot)]
+    found = frequent(counts, hot)
+    top = list(zip(found["term"], found["n"], strict=True))
     single = {w: i for i, (w, _) in enumerate(top[:singles])}
     symbols, end = singles + shapes + 1, singles + shapes
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from pactum.llm.common import table
 from pactum.llm.components import components
-from pactum.llm.terms import words_lower
+from pactum.llm.shingles import shingle_sets
+from pactum.llm.terms import frequent
 from pactum.plans.session import materialize
 
 SHINGLE = 4
@@ -22,60 +23,8 @@ PERCENT = 85
 COMMON_WORDS, COMMON_SHINGLES = 65_536, 200_000
 SET_BITS = 1 << 23
 #: Shingles a worker looks through at a time for common ones, and how often one must occur there.
-CHUNK, OFTEN = 4_000_000, 4
+CHUNK, OFTEN = 4_000_000, 3
 MEMO = 1_000_000
-_MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(_MIX[1])
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(_MIX[2])
-    return x ^ (x >> np.uint64(31))
-
-
-class Shingler:
-    """64-bit hashes of the words and shingles of texts; words seen are remembered up to a bound."""
-
-    def __init__(self, size: int = SHINGLE, common: dict[int, int] | None = None) -> None:
-        self.size, self.common = size, common or {}
-        self._clear()
-
-    def _clear(self) -> None:
-        self.at: dict[bytes, int] = {}
-        self.hashes: list[int] = []
-        self.levels: list[int] = []
-
-    def _new(self, word: bytes) -> int:
-        h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        self.hashes.append(h)
-        self.levels.append(self.common.get(h, 0))
-        self.at[word] = len(self.hashes) - 1
-        return len(self.hashes) - 1
-
-    def sets(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each text its word hashes, its sorted distinct shingles and how common the words of each are."""
-        if len(self.hashes) > MEMO:
-            self._clear()
-        rows = []
-        for text in texts:
-            words = words_lower(text) if text else []
-            rows.append(np.array([self.at[w] if w in self.at else self._new(w) for w in words], np.int64))
-        hashes, levels = np.array(self.hashes, np.uint64), np.array(self.levels, np.int64)
-        out = []
-        for at in rows:
-            h, level = hashes[at], levels[at]
-            n = min(self.size, len(h))
-            if not n:
-                out.append((h, h, level))
-                continue
-            count = len(h) - n + 1
-            total, rank = np.full(count, n, np.uint64), np.zeros(count, np.int64)
-            for k in range(n):
-                total = _mix(total * np.uint64(_MIX[0]) + h[k:k + count])
-                rank += level[k:k + count]
-            shingles, first = np.unique(total, return_index=True)
-            out.append((h, shingles, rank[first]))
-        return out
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -114,11 +63,10 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def common_terms(texts: DataFrame, size: int) -> tuple[dict[int, int], np.ndarray]:
-    """Levels of the most common words and a sorted array of common shingles; both of bounded size."""
+def common_terms(texts: DataFrame, size: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """The most common words, sorted, with their levels, and common shingles, sorted; all of bounded size."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(size)
         words: list[np.ndarray] = []
         sets: list[np.ndarray] = []
         seen: set[int] = set()
@@ -134,7 +82,7 @@ def common_terms(texts: DataFrame, size: int) -> tuple[dict[int, int], np.ndarra
             return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), _signed(values), pa.array(n, pa.int64())], ["kind", "term", "n"])
 
         for batch in batches:
-            for h, shingles, _ in shingler.sets(batch.column(0).to_pylist()):
+            for shingles, _, h in shingle_sets(batch.column(0).to_pylist(), size, words=True):
                 node = node_of(shingles)
                 if node not in seen:  # copies say nothing about how common a passage is among texts
                     seen.add(node)
@@ -145,11 +93,12 @@ def common_terms(texts: DataFrame, size: int) -> tuple[dict[int, int], np.ndarra
         yield flush()
 
     counts = materialize(texts.mapInArrow(count, "kind int, term bigint, n bigint").groupBy("kind", "term").agg(F.sum("n").alias("n")), "shingle-common")
-    top = lambda kind, most: counts.filter(F.col("kind") == kind).orderBy(F.col("n").desc(), "term").limit(most).collect()
-    words = top(0, COMMON_WORDS)
-    levels = {r["term"] & (1 << 64) - 1: 1 + int(math.log2(r["n"])) for r in words}
-    shingles = np.sort(np.array([r["term"] for r in top(1, COMMON_SHINGLES)], np.int64).view(np.uint64))
-    return levels, shingles
+    words, shared = (frequent(counts.filter(F.col("kind") == kind), most) for kind, most in ((0, COMMON_WORDS), (1, COMMON_SHINGLES)))
+    terms = np.array(words["term"], np.int64).view(np.uint64)
+    levels = np.array([1 + int(math.log2(n)) for n in words["n"]], np.int64)
+    order = np.argsort(terms)
+    shingles = np.sort(np.array(shared["term"], np.int64).view(np.uint64))
+    return (terms[order], levels[order]), shingles
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -158,11 +107,10 @@ def _prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, common = shared.value
-        shingler = Shingler(size, levels)
         seen: set[int] = set()
         for batch in batches:
             ns, nodes, sigs, keys, shorts = [], [], [], [], []
-            for _, shingles, rank in shingler.sets(batch.column(1).to_pylist()):
+            for shingles, rank, _ in shingle_sets(batch.column(1).to_pylist(), size, levels):
                 n = len(shingles)
                 node = node_of(shingles) if n else None
                 ns.append(n)
@@ -176,9 +124,10 @@ def _prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 if len(common):
                     at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
                     rank = rank + 1000 * (common[at] == shingles)
-                ordered = shingles[np.lexsort((shingles, rank))]
+                # Shingles are sorted by hash already, so a stable sort by rank settles ties by hash.
+                ordered = shingles[np.argsort(rank, kind="stable")[:n - -(-percent * n // 100) + 1]]
                 sigs.append(bitmap(shingles))
-                keys.append(ordered[:n - -(-percent * n // 100) + 1].view(np.int64))
+                keys.append(ordered.view(np.int64))
                 shorts.append(n - -(-2 * percent * n // (100 + percent)) + 1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sigs, pa.binary()),
@@ -275,11 +224,10 @@ def _set_members(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-        shingler = Shingler(size)
         seen: set[int] = set()
         for batch in batches:
             nodes, members = [], []
-            for _, shingles, _ in shingler.sets(batch.column(0).to_pylist()):
+            for shingles, _, _ in shingle_sets(batch.column(0).to_pylist(), size):
                 node = node_of(shingles)
                 at = node % SET_BITS
                 if len(shingles) and node not in seen and int(bits[at >> 6]) >> (at & 63) & 1:
@@ -316,19 +264,26 @@ def _bounded(percent: int):
     return bounded
 
 
-def _links(pairs: DataFrame, signatures: DataFrame, members: DataFrame, percent: int, purpose: str) -> DataFrame:
-    """Of the pairs those that link: first by bit counts, then exactly."""
+def _near(pairs: DataFrame, signatures: DataFrame, percent: int, purpose: str) -> DataFrame:
+    """Of the pairs those that the bit counts allow to link."""
     first = signatures.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"))
     second = signatures.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
-    near = (pairs.join(first, "a").join(second, "b").select("a", "b", "n_a", "sig_a", "n_b", "sig_b")
-            .mapInArrow(_bounded(percent), "a bigint, b bigint"))
-    near = materialize(near, purpose)
+    return materialize(pairs.join(first, "a").join(second, "b").select("a", "b", "n_a", "sig_a", "n_b", "sig_b")
+                       .mapInArrow(_bounded(percent), "a bigint, b bigint"), purpose)
+
+
+def _linking(near: DataFrame, members: DataFrame, percent: int, purpose: str) -> DataFrame:
+    """Of the pairs those that do link."""
     whole = (near.join(members.select(F.col("node").alias("a"), F.col("members").alias("of_a")), "a")
              .join(members.select(F.col("node").alias("b"), F.col("members").alias("of_b")), "b")
              .select("a", "b", "of_a", "of_b"))
     return materialize(whole.mapInArrow(_check(percent), "a bigint, b bigint"), purpose)
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: (id, n_shingles, component_id).
 
@@ -349,18 +304,22 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     tiles = materialize(dealt.mapInArrow(_tiles(percent), "key bigint, node bigint, n bigint, lead boolean, before bigint, head bigint"), "shingle-tiles")
     wanted = materialize(tiles.select("node").distinct(), "shingle-nodes")
     signatures = materialize(sets.filter("sig is not null").join(wanted, "node", "left_semi").select("node", "n", "sig").dropDuplicates(["node"]), "shingle-bits")
-    members = materialize(_set_members(texts, wanted, size), "shingle-members")
     ordered = lambda other: tiles.filter(F.col(other).isNotNull()).select(
         F.least("node", other).alias("a"), F.greatest("node", other).alias("b"))
     tried = materialize(ordered("before").union(ordered("head")).filter("a != b").distinct(), "shingle-tried")
-    parts = materialize(components(_links(tried, signatures, members, percent, "shingle-links"), "shingle-parts"), "shingle-parts")
+    near = _near(tried, signatures, percent, "shingle-near")
+    members = materialize(_set_members(texts, _ends(near), size), "shingle-members")
+    parts = materialize(components(_linking(near, members, percent, "shingle-links"), "shingle-parts"), "shingle-parts")
 
     placed = tiles.select("key", "node", "n", "lead").join(parts, "node", "left").select(
         "key", "node", "n", "lead", F.coalesce("component", "node").alias("part"))
     rest = (placed.repartition("key").sortWithinPartitions("key").mapInArrow(_across(percent), "a bigint, b bigint")
             .distinct().join(tried, ["a", "b"], "left_anti"))
-    more = _links(materialize(rest, "shingle-rest"), signatures, members, percent, "shingle-links")
-    return _by_document(sets.select("id", "n", "node"), parts, more, id_col)
+    near = _near(rest, signatures, percent, "shingle-near")
+    unseen = materialize(_ends(near).join(members.select("node"), "node", "left_anti"), "shingle-unseen")
+    if not unseen.isEmpty():
+        members = members.union(materialize(_set_members(texts, unseen, size), "shingle-members"))
+    return _by_document(sets.select("id", "n", "node"), parts, _linking(near, members, percent, "shingle-links"), id_col)
 
 
 def _by_document(docs: DataFrame, parts: DataFrame, more: DataFrame, id_col: str) -> DataFrame:

@@ -67,7 +67,8 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64())], ["term", "n", "pieces"])
 
     vocabulary = materialize(count_terms(texts, "text", pre_tokens).mapInArrow(encode, "term binary, n bigint, pieces bigint"), "token-vocabulary")
-    known = {bytes(r["term"]): r["pieces"] for r in frequent(vocabulary, hot, "pieces")}
+    top = frequent(vocabulary, hot, "pieces")
+    known = dict(zip(top["term"], top["pieces"], strict=True))
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def tally(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
