@@ -181,7 +181,7 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n_all, v_all = (totals["n"] or 0) + ends, totals["v"] + (ends > 0)
     found = frequent(counts, hot)
-    top = list(zip(found["term"], found["n"], strict=True))
+    top = list(zip(found["term"].to_pylist(), found["n"].to_pylist(), strict=True))
     single = {w: i for i, (w, _) in enumerate(top[:singles])}
     symbols, end = singles + shapes + 1, singles + shapes
 

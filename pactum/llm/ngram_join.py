@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,8 +19,10 @@ from pactum.plans.session import materialize
 SHINGLE = 4
 PERCENT = 85
 #: Fixed sizes of what travels to every worker; any content of it gives the same result.
-COMMON_WORDS, COMMON_SHINGLES = 65_536, 200_000
+COMMON_WORDS, COMMON_SHINGLES = 65_536, 1_000_000
 SET_BITS = 1 << 23
+#: Sets of a tile that all others of it are tried against first.
+HEADS = 2
 #: Shingles a worker looks through at a time for common ones, and how often one must occur there.
 CHUNK, OFTEN = 4_000_000, 3
 MEMO = 1_000_000
@@ -94,10 +95,10 @@ def common_terms(texts: DataFrame, size: int) -> tuple[tuple[np.ndarray, np.ndar
 
     counts = materialize(texts.mapInArrow(count, "kind int, term bigint, n bigint").groupBy("kind", "term").agg(F.sum("n").alias("n")), "shingle-common")
     words, shared = (frequent(counts.filter(F.col("kind") == kind), most) for kind, most in ((0, COMMON_WORDS), (1, COMMON_SHINGLES)))
-    terms = np.array(words["term"], np.int64).view(np.uint64)
-    levels = np.array([1 + int(math.log2(n)) for n in words["n"]], np.int64)
+    terms = words["term"].to_numpy().view(np.uint64)
+    levels = 1 + np.floor(np.log2(np.maximum(words["n"].to_numpy(), 1))).astype(np.int64)
     order = np.argsort(terms)
-    shingles = np.sort(np.array(shared["term"], np.int64).view(np.uint64))
+    shingles = np.sort(shared["term"].to_numpy().view(np.uint64))
     return (terms[order], levels[order]), shingles
 
 
@@ -153,33 +154,42 @@ def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield held
 
 
-def _tiles(percent: int):
-    def tiles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of keys that two sets share, by size, each with two partners to try first."""
-        for key, node, n, short in _runs(batches):
-            order = np.lexsort((node, n, key))
-            key, node, n, short = key[order], node[order], n[order], short[order]
-            fresh = np.ones(len(key), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-            key, node, n, short = key[fresh], node[fresh], n[fresh], short[fresh]
-            same = key[1:] == key[:-1]
-            shared = np.zeros(len(key), bool)
-            shared[1:] |= same
-            shared[:-1] |= same
-            key, node, n, short = key[shared], node[shared], n[shared], short[shared]
-            if not len(key):
-                continue
-            begins = np.ones(len(key), bool)
-            begins[1:] = key[1:] != key[:-1]
-            head = np.maximum.accumulate(np.where(begins, np.arange(len(key)), 0))
-            before = np.maximum(np.arange(len(key)) - 1, 0)
-            columns = []
-            for at in (before, head):
-                fits = ~begins & short[at] & (100 * n[at] >= percent * n)
-                columns.append(pa.array(node[at], mask=~fits))
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node), pa.array(n), pa.array(short), *columns],
-                                             ["key", "node", "n", "short", "before", "head"])
-    return tiles
+def _tiles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of keys that several sets share, with the number of these sets."""
+    for columns in _runs(batches):
+        order = np.lexsort((columns[1], columns[0]))
+        key, node, n, lead = (c[order] for c in columns)
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        key, node, n, lead = key[fresh], node[fresh], n[fresh], lead[fresh]
+        _, run, sizes = np.unique(key, return_inverse=True, return_counts=True)
+        shared = sizes[run] > 1
+        yield pa.RecordBatch.from_arrays([pa.array(c[shared]) for c in (key, node, n, lead, sizes[run])], ["key", "node", "n", "lead", "sets"])
+
+
+def _first_tries(percent: int):
+    def tries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each set of a tile with the next smaller one, and with those whose shingles are shared most.
+
+        The text that many others were made from shares all of its shingles, so it is among the latter.
+        """
+        for columns in _runs(batches):
+            found = []
+            for by, heads in ((columns[2], 0), (-columns[4], HEADS)):
+                order = np.lexsort((columns[1], by, columns[0]))
+                key, node, n, lead = (c[order] for c in columns[:4])
+                begins = np.ones(len(key), bool)
+                begins[1:] = key[1:] != key[:-1]
+                here, first = np.arange(len(key)), np.maximum.accumulate(np.where(begins, np.arange(len(key)), 0))
+                for other in [first + k for k in range(heads)] or [here - 1]:
+                    rows = here[(other >= first) & (other < here)]
+                    at = other[rows]
+                    low = np.where(n[rows] <= n[at], rows, at)
+                    fits = lead[low] | ((n[rows] == n[at]) & (lead[rows] | lead[at]))
+                    fits &= 100 * np.minimum(n[rows], n[at]) >= percent * np.maximum(n[rows], n[at])
+                    found.append(np.sort(np.stack([node[rows[fits]], node[at[fits]]]), axis=0))
+            yield _pairs(found)
+    return tries
 
 
 def _across(percent: int):
@@ -209,7 +219,12 @@ def _across(percent: int):
 
 
 def _pairs(found: list[np.ndarray]) -> pa.RecordBatch:
-    a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+    a, b = np.concatenate(found, axis=1)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    fresh = np.ones(len(a), bool)
+    fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    a, b = a[fresh], b[fresh]
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
@@ -290,7 +305,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Documents link when their sets of word n-grams have 100 * both >= percent * either; component_id
     is the least id reachable. Texts with equal sets are one class. In one order of shingles, rarest words
     first and common passages last, two linked sets share a shingle among their first few: the tiles.
-    In a tile, by size, each class is first tried against two others; what these links connect is
+    In a tile each class is first tried against the next smaller and those that share most; what these links connect is
     one part, and then every pair of a tile in different parts whose sizes allow a link is tried. Bit sets
     bound the overlap from above before sorted arrays are intersected exactly, so no link is lost and
     a large group of copies needs few tries. Words fewer than `size` are one shingle; without words a
@@ -301,12 +316,11 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sets = materialize(_prefixes(texts, size, percent), "shingle-prefixes")
     keyed = sets.filter("keys is not null").select("node", "n", "short", F.posexplode("keys").alias("at", "key"))
     dealt = keyed.select("key", "node", "n", (F.col("at") < F.col("short")).alias("lead")).repartition("key").sortWithinPartitions("key")
-    tiles = materialize(dealt.mapInArrow(_tiles(percent), "key bigint, node bigint, n bigint, lead boolean, before bigint, head bigint"), "shingle-tiles")
-    wanted = materialize(tiles.select("node").distinct(), "shingle-nodes")
-    signatures = materialize(sets.filter("sig is not null").join(wanted, "node", "left_semi").select("node", "n", "sig").dropDuplicates(["node"]), "shingle-bits")
-    ordered = lambda other: tiles.filter(F.col(other).isNotNull()).select(
-        F.least("node", other).alias("a"), F.greatest("node", other).alias("b"))
-    tried = materialize(ordered("before").union(ordered("head")).filter("a != b").distinct(), "shingle-tried")
+    tiles = materialize(dealt.mapInArrow(_tiles, "key bigint, node bigint, n bigint, lead boolean, sets bigint"), "shingle-tiles")
+    shares = materialize(tiles.groupBy("node").agg((F.sum("sets") / F.max("n")).alias("share")), "shingle-shares")
+    signatures = materialize(sets.filter("sig is not null").join(shares, "node", "left_semi").select("node", "n", "sig").dropDuplicates(["node"]), "shingle-bits")
+    weighed = tiles.join(shares, "node").select("key", "node", "n", "lead", "share").repartition("key").sortWithinPartitions("key")
+    tried = materialize(weighed.mapInArrow(_first_tries(percent), "a bigint, b bigint").distinct(), "shingle-tried")
     near = _near(tried, signatures, percent, "shingle-near")
     members = materialize(_set_members(texts, _ends(near), size), "shingle-members")
     parts = materialize(components(_linking(near, members, percent, "shingle-links"), "shingle-parts"), "shingle-parts")

@@ -44,8 +44,8 @@ def count_terms(texts: DataFrame, text_col: str, split: Split) -> DataFrame:
     return parts.groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def frequent(counts: DataFrame, most: int, *more: str) -> dict[str, list]:
-    """Columns of the most frequent terms, at most `most` of them, most frequent first, ties by term.
+def frequent(counts: DataFrame, most: int, *more: str) -> pa.Table:
+    """The most frequent terms, at most `most` of them, most frequent first, ties by term.
 
     A histogram of the counts, 16 buckets to a doubling, gives the least bucket down to which there are
     not too many terms. So only the terms wanted come to the driver, and no task sends it more than those.
@@ -58,7 +58,7 @@ def frequent(counts: DataFrame, most: int, *more: str) -> dict[str, list]:
             break
         low = r["at"]
     found = counts.filter(F.lit(False) if low is None else bucket >= low).select("term", "n", *more).toArrow()
-    return found.sort_by([("n", "descending"), ("term", "ascending")]).to_pydict()
+    return found.sort_by([("n", "descending"), ("term", "ascending")])
 
 
 def with_marker(rows: DataFrame, key: list[str], rare: str) -> DataFrame:

@@ -68,7 +68,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     vocabulary = materialize(count_terms(texts, "text", pre_tokens).mapInArrow(encode, "term binary, n bigint, pieces bigint"), "token-vocabulary")
     top = frequent(vocabulary, hot, "pieces")
-    known = dict(zip(top["term"], top["pieces"], strict=True))
+    known = dict(zip(top["term"].to_pylist(), top["pieces"].to_pylist(), strict=True))
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def tally(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

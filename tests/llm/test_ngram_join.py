@@ -66,6 +66,21 @@ def test_edited_copies_match_brute_force(spark, seed):
     assert len({c for _, _, c in result}) < len(rows)
 
 
+def test_variants_that_link_only_through_their_source(spark):
+    rng = random.Random(5)
+    source = prose(50, 150).split()
+    texts = [" ".join(source)]
+    for _ in range(60):
+        changed = list(source)
+        for at in rng.sample(range(10, len(source) - 10), 2):
+            changed[at] = f"new{rng.randrange(10**6)}"
+        texts.append(" ".join(changed))
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    result = got(ngram_components(spark.createDataFrame(rows_of(rows), SCHEMA).repartition(4)))
+    assert result == brute(rows)
+
+
 def test_keeps_one_of_each_group(odd):
     kept = distinct_documents(odd)
     assert kept.columns == odd.columns
