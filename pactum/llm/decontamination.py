@@ -81,10 +81,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     docs = docs.select(F.col(id_col).alias(id_col), F.xxhash64(F.col(text_col)).alias("text_hash"),
                        _words(F.col(text_col)).alias("words"))
     words = F.col("words")
-    found = F.array(F.struct(F.lit(0).alias("pos"), F.lit(0).alias("len"), F.lit(None).cast("string").alias("win")))
+    # Each document also has one entry that no window equals ('#' is in no word), so none is lost in the join.
+    mark = F.concat(F.lit("#"), F.coalesce(F.col("text_hash").cast("string"), F.lit("-")), F.lit("#"), F.coalesce(F.col(id_col).cast("string"), F.lit("-")))
+    found = F.array(F.struct(F.lit(0).alias("pos"), F.lit(0).alias("len"), mark.alias("win")))
     for n in lengths:
         found = F.concat(found, _candidates(words, bits, n))
-    marked = docs.select(id_col, "text_hash", F.size(words).cast("bigint").alias("n_words"), F.inline(found))
+    marked = docs.select(id_col, "text_hash", F.size(words).cast("bigint").alias("n_words"), F.inline_outer(found))
     hits = marked.join(by_text, "win", "left")
     real = F.col("items").isNotNull()
     per_doc = hits.groupBy(id_col, "text_hash", "n_words").agg(
