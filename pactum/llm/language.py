@@ -59,16 +59,16 @@ def fit(x: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridge: flo
     multiplied with the landmarks once, and a batch of texts costs one matrix product.
     """
     languages = sorted(set(labels))
-    x = x.astype(np.float64)
     where = np.array([languages.index(v) for v in labels])
     rank = np.zeros(len(where), np.int64)
     for k in range(len(languages)):
         rank[where == k] = np.arange((where == k).sum())
-    marks = x[np.lexsort((where, rank))[:landmarks]]
-    values, vectors = np.linalg.eigh(kernel(marks, marks))
+    marks = x[np.lexsort((where, rank))[:landmarks]].astype(np.float32)
+    values, vectors = np.linalg.eigh(kernel(marks, marks).astype(np.float64))
     keep = values > 1e-8 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    phi = kernel(x, marks) @ root
+    # A few rows at a time: the bit sets of the whole sample stay bytes.
+    phi = np.concatenate([kernel(x[at:at + 256].astype(np.float32), marks) for at in range(0, len(x), 256)]).astype(np.float64) @ root
     weight = (1 / np.bincount(where, minlength=len(languages)))[where]
     targets = np.where(where[:, None] == np.arange(len(languages)), 1.0, -1.0)
     scaled = phi * weight[:, None]
