@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pactum.operators.features import check_schema
 from pactum.operators.learn import predict, split_once, train_candidate
-from pactum.operators.pools import merge_pools, unseen_only
+from pactum.operators.pools import merge_pools
 from pactum.operators.promotion import (enabled_families, evaluate_candidates, promote, promote_only_if_better,
                                         promotion_gate, retrain_decision, score_candidates, select_champion,
                                         stored_candidates)
@@ -38,7 +38,7 @@ def run_cycle(
     unseen: DataFrame,
     features: Sequence[str],
     root: str,
-    key: str = "id",
+    key: str | Sequence[str] = "id",
     file: str = "file",
     policy: Policy = Policy(),
     always_retrain: bool = True,
@@ -48,11 +48,13 @@ def run_cycle(
     `train`, `feedback` and `test` hold key, file, features and label; `unseen` the
     same without label. A turn retrains every time unless `always_retrain` is off,
     when feedback size and the lack of a champion decide. The champion is kept when
-    promotion is blocked. New feedback lists files only: their rows join the pool
-    once they are labelled.
+    promotion is blocked. New feedback lists the files with a HIGH row that the feedback pool
+    lacks, whether or not they also train; their rows join the pool once they are labelled.
+    `key` is one column or several.
     """
     spark = train.sparkSession
-    columns = [key, file, *features]
+    keys = [key] if isinstance(key, str) else list(key)
+    columns = list(dict.fromkeys([*keys, file, *features]))
     for pool in (train, test):
         check_schema(pool.select(*features, "label"), features)
     reigning = has_model(spark, root)
@@ -61,7 +63,7 @@ def run_cycle(
     if retrain:
         held_out = materialize(test.select(*columns, "label"), "test")
         split = split_once(merge_pools(train.select(*columns, "label"), feedback.select(*columns, "label"), file),
-                           key, features, policy)
+                           keys, features, policy)
         params = {f.name: f.params for f in policy.families}
         for name in enabled_families(policy):
             save_model(train_candidate(split, name, features, params[name]).model, root, name)
@@ -78,7 +80,8 @@ def run_cycle(
             promoted = promote(models, decision, root)
     if not (promoted or reigning):
         return Cycle(retrain, decision, promoted, None, None)
-    scores = band(predict(load_model(root), unseen.select(*columns)), policy).select(key, file, "score", "level")
+    scores = band(predict(load_model(root), unseen.select(*columns)), policy).select(
+        *dict.fromkeys([*keys, file]), "score", "level")
     scores = materialize(scores, "scores")
-    new = unseen_only(collect_feedback(scores, feedback, file), train, key=file)
+    new = collect_feedback(scores, feedback, file)
     return Cycle(retrain, decision, promoted, scores, new.select(F.col(file)))

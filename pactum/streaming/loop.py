@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from pactum.operators.promotion import decide_retraining
 from pactum.operators.risk import collect_feedback
@@ -13,16 +14,18 @@ from pactum.policy import Policy
 from pactum.streaming.sinks import each_batch, read_batches
 
 
-def stream_score(stream: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> None:
+def stream_score(stream: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
+                 every: str | None = None) -> StreamingQuery:
     """Score each batch with any batch scorer and append the risk records.
 
     The scorer sees a plain DataFrame, so it may extract units, which needs
     windows a stream does not have.
     """
-    each_batch(stream, lambda batch, _: score(batch), out, checkpoint)
+    return each_batch(stream, lambda batch, _: score(batch), out, checkpoint, every=every)
 
 
-def stream_feedback(scores: DataFrame, out: str, checkpoint: str, file: str = "file") -> None:
+def stream_feedback(scores: DataFrame, out: str, checkpoint: str, file: str = "file",
+                    every: str | None = None) -> StreamingQuery:
     """Add files with a HIGH score to the feedback pool, each once over all batches."""
     spark = scores.sparkSession
     schema = scores.select(file).schema
@@ -30,7 +33,7 @@ def stream_feedback(scores: DataFrame, out: str, checkpoint: str, file: str = "f
     def added(batch: DataFrame, batch_id: int) -> DataFrame:
         return collect_feedback(batch, read_batches(spark, out, schema, before=batch_id), file)
 
-    each_batch(scores, added, out, checkpoint)
+    return each_batch(scores, added, out, checkpoint, every=every)
 
 
 def feedback_trigger(feedback: DataFrame, out: str, checkpoint: str, has_champion: bool = True,

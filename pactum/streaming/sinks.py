@@ -8,26 +8,31 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from pactum.plans.session import run_dir
 
 BATCH = "batch_id"
 
 
-def drain(writer: DataStreamWriter, checkpoint: str) -> None:
-    """Process everything available now, then stop."""
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Start a query. With `every` ('30 seconds') it keeps running and is returned as it is;
+    without, it processes everything available now and is returned once it has ended."""
+    writer = writer.option("checkpointLocation", checkpoint)
+    if every is not None:
+        return writer.trigger(processingTime=every).start()
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
+    return query
 
 
-def append_to(stream: DataFrame, out: str, checkpoint: str) -> None:
+def append_to(stream: DataFrame, out: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Append a stream's final rows to Parquet; the file sink commits each batch once."""
-    drain(stream.writeStream.format("parquet").option("path", out).outputMode("append"), checkpoint)
+    return run(stream.writeStream.format("parquet").option("path", out).outputMode("append"), checkpoint, every)
 
 
 def each_batch(stream: DataFrame, make: Callable[[DataFrame, int], DataFrame], out: str, checkpoint: str,
-               mode: str = "append") -> None:
+               mode: str = "append", every: str | None = None) -> StreamingQuery:
     """Write `make(batch, id)` to the batch's own folder.
 
     A batch that runs again after a failure replaces its folder, so nothing is
@@ -36,7 +41,7 @@ def each_batch(stream: DataFrame, make: Callable[[DataFrame, int], DataFrame], o
     def write(batch: DataFrame, batch_id: int) -> None:
         make(batch, batch_id).write.mode("overwrite").parquet(f"{out}/{BATCH}={batch_id}")
 
-    drain(stream.writeStream.foreachBatch(write).outputMode(mode), checkpoint)
+    return run(stream.writeStream.foreachBatch(write).outputMode(mode), checkpoint, every)
 
 
 def read_batches(spark: SparkSession, out: str, schema: T.StructType, before: int | None = None) -> DataFrame:
