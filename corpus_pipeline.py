@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pactum.llm.common import fold, table
 from pactum.llm.decontamination import decontaminate
 from pactum.llm.language import with_known_language
-from pactum.llm.mixing import mixed_documents
+from pactum.llm.mixing import mixed_copies
 from pactum.llm.ngram_join import distinct_documents
 from pactum.llm.sharding import sharded_documents
 from pactum.plans.session import materialize
@@ -34,8 +34,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the source mix takes at least once."""
-    return mixed_documents(docs)
+    """Each document as many times as the source mix takes it."""
+    return mixed_copies(docs)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactum.llm.common import hash60, nested_cuts, table, with_ordinal, word_count
+from pactum.llm.common import hash60, nested_cuts, repeat_copies, table, with_ordinal, word_count
 from pactum.plans.session import materialize
 
 PERIOD = (1, 2, 3)
@@ -49,6 +49,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     Null text has size 0; a null source is a source of its own; rows equal in id, source and text share
     a hash and are taken alike; an empty table gives no rows. Other columns are ignored.
     """
+    narrow, plan = _plan(docs, id_col, text_col, source_col, size, **targets)
+    return (narrow.join(plan, F.col("source").eqNullSafe(F.col("s")))
+            .withColumn("times", F.col("whole") + (F.col("place") < F.col("cut")).cast("bigint"))
+            .select(id_col, "size", "source", "source_size", "target", "times",
+                    (F.col("size") * F.col("times")).alias("taken"), "place"))
+
+
+def _plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, size: Column | None = None,
+          **targets: object) -> tuple[DataFrame, DataFrame]:
+    """(id, source, size, place) of each document, and (s, source_size, target, whole, cut) of each source."""
     measured = size if size is not None else word_count(F.col(text_col))
     narrow = materialize(docs.select(
         F.col(id_col).alias(id_col), F.col(source_col).cast("string").alias("source"), measured.alias("size"),
@@ -60,11 +70,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     goals = shares.select("source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("goal"))
     cuts = nested_cuts(narrow, ["source"], "place", "size", goals, "mix-cuts")
     plan = shares.join(cuts.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    plan = plan.withColumnRenamed("source", "s")
-    return (narrow.join(plan, F.col("source").eqNullSafe(F.col("s")))
-            .withColumn("times", F.col("whole") + (F.col("place") < F.col("cut")).cast("bigint"))
-            .select(id_col, "size", "source", "source_size", "target", "times",
-                    (F.col("size") * F.col("times")).alias("taken"), "place"))
+    return narrow, plan.withColumnRenamed("source", "s")
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -79,6 +85,22 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return docs.join(taken, place == taken["taken_place"], "left_semi")
 
 
+def mixed_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                 **targets: object) -> DataFrame:
+    """Each document as many times as the mix takes it, all columns as they are.
+
+    Only the table of sources is joined, so no text is shuffled. Empty documents weigh nothing, but are
+    repeated like all others of their source.
+    """
+    _, plan = _plan(docs, id_col, text_col, source_col, **targets)
+    plan = materialize(plan.select(F.col("s").alias("mix_source"), F.col("whole").alias("mix_whole"), F.col("cut").alias("mix_cut")), "mix-plan")
+    place = hash60(docs[id_col], docs[source_col], docs[text_col])
+    times = plan["mix_whole"] + (place < plan["mix_cut"]).cast("bigint")
+    joined = docs.join(plan, docs[source_col].cast("string").eqNullSafe(plan["mix_source"]))
+    taken = joined.select(*[docs[c] for c in docs.columns], times.alias("mix_times")).filter("mix_times > 0")
+    return repeat_copies(taken, "mix_times")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("source", "times", "place")
 
