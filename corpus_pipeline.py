@@ -14,6 +14,8 @@ from pactum.llm.sharding import sharded_documents
 from pactum.plans.session import materialize
 
 SHARDS = 16
+#: Stages on word shingles take five words and 80 percent; 4 and 85 are op3's own contract.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 #: The stages learn and sample, so SQL cannot restate the run; tests compare it with plain Python.
 ORACLE_SQL = None
 
@@ -24,8 +26,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by word 4-grams, that of the least id."""
-    return distinct_documents(docs)
+    """One document of each group linked by word 5-grams at 80 percent, that of the least id."""
+    return distinct_documents(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

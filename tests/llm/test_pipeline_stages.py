@@ -1,9 +1,42 @@
+import random
 from collections import Counter
 
 import corpus_pipeline
 from pactum.llm.mixing import mix, mixed_copies
 
+from .conftest import SCHEMA, rows_of
 from .test_mixing import water_fill
+from .test_ngram_join import shingles
+
+
+def jaccard(a, b, size):
+    x, y = shingles(a, size), shingles(b, size)
+    return len(x & y) / len(x | y)
+
+
+def test_near_duplicate_stage_takes_five_words_and_80_percent(spark):
+    def fresh(k, n):
+        rng = random.Random(k)
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    pairs = []
+    for k in range(4):  # scattered words, an inserted passage, a deleted passage, and one pair too far apart
+        base = fresh(k, 412)
+        other = [f"new{i}" if i % 45 == 20 else w for i, w in enumerate(base)]
+        if k == 1:
+            other = base[:200] + fresh(50, 84) + base[200:]
+        elif k == 2:
+            other = base[:150] + base[218:]
+        elif k == 3:
+            other = [f"new{i}" if i % 30 == 20 else w for i, w in enumerate(base)]
+        pairs.append((" ".join(base), " ".join(other)))
+    near = [jaccard(a, b, 5) for a, b in pairs]
+    assert all(0.8 <= x < 0.85 for x in near[:3]) and near[3] < 0.8
+    assert all(jaccard(a, b, 4) < 0.85 for a, b in pairs)
+    rows = [(10 * k + side, text) for k, pair in enumerate(pairs) for side, text in enumerate(pair)]
+    docs = spark.createDataFrame(rows_of(rows), SCHEMA).repartition(3)
+    kept = dict(corpus_pipeline.STAGES)["ngram_join"](spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 10, 20, 30, 31]
 
 
 def test_mixing_stage_meets_the_targets(odd, nothing):
