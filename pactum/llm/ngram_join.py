@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactum.llm.common import table
@@ -103,7 +103,7 @@ def common_terms(texts: DataFrame, size: int) -> tuple[tuple[np.ndarray, np.ndar
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(id, n, node, sig, keys, short): each set's first shingles in one order for all, rarest words first."""
+    """(id, hash, n, node, sig, keys, short): each set's first shingles in one order for all, rarest words first."""
     shared = docs.sparkSession.sparkContext.broadcast(common_terms(docs.select("text"), size))
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,11 +131,11 @@ def _prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 keys.append(ordered.view(np.int64))
                 shorts.append(n - -(-2 * percent * n // (100 + percent)) + 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sigs, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(shorts, pa.int32())], ["id", "n", "node", "sig", "keys", "short"])
+                [batch.column(0), batch.column(2), pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sigs, pa.binary()),
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(shorts, pa.int32())], ["id", "hash", "n", "node", "sig", "keys", "short"])
 
     id_type = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(make, f"id {id_type}, n bigint, node bigint, sig binary, keys array<bigint>, short int")
+    return docs.mapInArrow(make, f"id {id_type}, hash bigint, n bigint, node bigint, sig binary, keys array<bigint>, short int")
 
 
 def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -312,7 +312,17 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     document is its own component. Null ids stay (a component of null ids alone has a null id); rows
     equal in id and text give equal rows; an empty table gives none; other columns are ignored.
     """
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sets, parts, more = _links(docs, id_col, text_col, size, percent)
+    sets = sets.select("id", "n", "node")
+    named = _representatives(sets, parts, more, F.min("id"))
+    full = sets.filter("node is not null").join(named, "node").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("kept").alias("component_id"))
+    empty = sets.filter("node is null").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
+    return full.union(empty)
+
+
+def _links(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sets of the documents, the parts that the first tries connect, and the links found between parts."""
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("hash"))
     sets = materialize(_prefixes(texts, size, percent), "shingle-prefixes")
     keyed = sets.filter("keys is not null").select("node", "n", "short", F.posexplode("keys").alias("at", "key"))
     dealt = keyed.select("key", "node", "n", (F.col("at") < F.col("short")).alias("lead")).repartition("key").sortWithinPartitions("key")
@@ -333,37 +343,47 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     unseen = materialize(_ends(near).join(members.select("node"), "node", "left_anti"), "shingle-unseen")
     if not unseen.isEmpty():
         members = members.union(materialize(_set_members(texts, unseen, size), "shingle-members"))
-    return _by_document(sets.select("id", "n", "node"), parts, _linking(near, members, percent, "shingle-links"), id_col)
+    return sets, parts, _linking(near, members, percent, "shingle-links")
 
 
-def _by_document(docs: DataFrame, parts: DataFrame, more: DataFrame, id_col: str) -> DataFrame:
-    """Join the parts by the further links and name each component by its least id."""
+def _representatives(docs: DataFrame, parts: DataFrame, more: DataFrame, least: Column) -> DataFrame:
+    """(node, kept): the parts joined by the further links, `kept` being the least of each component by the aggregate `least`."""
     def place(links: DataFrame, side: str) -> DataFrame:
         named = parts.select(F.col("node").alias(side), "component")
         return links.join(named, side, "left").withColumn(side, F.coalesce("component", side)).drop("component")
 
     merged = components(place(place(more, "a"), "b"), "shingle-merged")
-    nodes = docs.filter("node is not null").groupBy("node").agg(F.min("id").alias("first"))
+    nodes = docs.filter("node is not null").groupBy("node").agg(least.alias("first"))
     nodes = nodes.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
     nodes = nodes.join(merged.select(F.col("node").alias("part"), "component"), "part", "left").withColumn("part", F.coalesce("component", "part"))
     nodes = materialize(nodes.select("node", "part", "first"), "shingle-classes")
-    least = nodes.groupBy("part").agg(F.min("first").alias("component_id"))
-    named = materialize(nodes.join(least, "part").select("node", "component_id"), "shingle-named")
-    full = docs.filter("node is not null").join(named, "node").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
-    empty = docs.filter("node is null").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
-    return full.union(empty)
+    kept = nodes.groupBy("part").agg(F.min("first").alias("kept"))
+    return materialize(nodes.join(kept, "part").select("node", "kept"), "shingle-named")
 
 
-def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
-    """The documents with the least id of each group, all columns as they are.
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One document of each group, that of the least (id, text hash), all columns as they are.
 
-    Documents without words stay. Of rows with one id, those of the kept id stay once per different text.
+    Null ids come last, so the least id stays. What goes is decided by id and text: rows that share an id
+    with a copy stay if their own text is no copy. Of rows equal in id and text one stays. Documents
+    without words all stay.
     """
-    groups = ngram_components(docs, id_col, text_col, **options)
-    gone = groups.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("gone_id")).distinct()
-    kept = docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]), "left_anti")
-    twice = groups.groupBy(id_col).count().filter("count > 1").isEmpty()
-    return kept if twice else kept.dropDuplicates([id_col, text_col])
+    sets, parts, more = _links(docs, id_col, text_col, size, percent)
+    rows = sets.filter("node is not null").select("id", "hash", "node")
+    row = F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("id"), F.col("hash").alias("hash"))
+    named = _representatives(rows, parts, more, F.min(row))
+    seen = rows.join(named, "node").withColumn("goes", ~(F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("hash") == F.col("kept.hash"))))
+    seen = materialize(seen.groupBy(F.col("id").alias("seen_id"), F.col("hash").alias("seen_hash")).agg(F.max("goes").alias("goes"), F.count("*").alias("n"))
+                       .filter("goes or n > 1"), "shingle-gone")
+
+    def among(marked: DataFrame, df: DataFrame, how: str) -> DataFrame:
+        return df.join(marked, df[id_col].eqNullSafe(marked["seen_id"]) & (F.xxhash64(df[text_col]) == marked["seen_hash"]), how)
+
+    kept = among(seen.filter("goes"), docs, "left_anti")
+    again = seen.filter("not goes")
+    if again.isEmpty():
+        return kept
+    return among(again, kept, "left_anti").union(among(again, kept, "left_semi").dropDuplicates([id_col, text_col]))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,9 @@ from collections import Counter
 
 import corpus_pipeline
 from pactum.llm.mixing import mix, mixed_copies
+from pactum.llm.ngram_join import distinct_documents
 
-from .conftest import SCHEMA, rows_of
+from .conftest import SCHEMA, prose, rows_of
 from .test_mixing import water_fill
 from .test_ngram_join import shingles
 
@@ -59,3 +60,25 @@ def test_mixing_stage_meets_the_targets(odd, nothing):
     for s, target in targets.items():
         assert abs(taken[s] - target) <= max(words(r) for r in docs if r["source"] == s)
     assert mixed_copies(nothing).count() == 0
+
+
+def test_distinct_documents_decide_by_id_and_text(spark):
+    def near(text):
+        return text + " tail"
+
+    a, b, c, d = (prose(70 + k, 120) for k in range(4))
+    alone = [prose(80 + k, 60) for k in range(6)]
+    rows = [(1, a), (None, near(a)), (None, alone[0]), (None, alone[1]),  # a null id is a copy, others are not
+            (2, b), (3, near(b)), (3, alone[2]),  # of one id a text is a copy and one is not
+            (4, c), (4, near(c)), (4, alone[3]),  # one id has both linked texts
+            (None, d), (None, near(d)), (None, alone[4]),  # null ids alone
+            (5, alone[5]), (5, alone[5]), (None, None), (None, None), (6, "")]
+    docs = spark.createDataFrame(rows_of(rows), SCHEMA).repartition(3)
+    kept = distinct_documents(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    one_of = [{(4, c), (4, near(c))}, {(None, d), (None, near(d))}]
+    for group in one_of:
+        assert sum(got.pop(x, 0) for x in group) == 1
+    assert got == Counter([(1, a), (None, alone[0]), (None, alone[1]), (2, b), (3, alone[2]), (4, alone[3]), (None, alone[4]),
+                           (5, alone[5]), (None, None), (None, None), (6, "")])
