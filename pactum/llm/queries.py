@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from pactum.llm import chat, decontamination, fingerprints, hidden_markov, language, mixing, ngram_join, quality, sharding, token_counts
+from pactum.llm import chat, decontamination, fingerprints, hidden_markov, language, mixing, ngram_join, quality, sharding, simhash, token_counts
 
 QUERIES = {
     "op1_decontamination": (decontamination.op1_decontamination, decontamination.OP1_SQL),
@@ -16,5 +16,6 @@ QUERIES = {
     "op8_token_counts": (token_counts.op8_token_counts, None),
     "op9_sharding": (sharding.op9_sharding, None),
     "op10_chat_formatting": (chat.op10_chat_formatting, chat.OP10_SQL),
+    "op13_simhash": (simhash.op13_simhash, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
