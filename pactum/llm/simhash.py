@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 
@@ -15,31 +14,19 @@ from pyspark.sql.window import Window
 
 from pactum.llm.common import table
 from pactum.llm.components import components
+from pactum.llm.terms import word_blocks
 from pactum.plans.session import materialize
 
 SHINGLE = 3
 RADIUS = 2
 SEED = 42
 BITS = 64
-#: Bytes of a text that are cut into words at a time; a longer one is cut between words.
-BLOCK = 1 << 20
-_BLANK = re.compile(rb"[\x20\x09-\x0D]")
-
-
-def _word_blocks(raw: bytes) -> Iterator[list[bytes]]:
-    """The words between white space, a block of bytes at a time; no block ends inside a word."""
-    at = 0
-    while at < len(raw):
-        end = _BLANK.search(raw, at + BLOCK)
-        stop = end.start() if end else len(raw)
-        yield raw[at:stop].split()
-        at = stop
 
 
 def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     """Each bit is 1 if over half of the shingles' hashes have it; 0 without words. Unsigned."""
     ones, total, tail = np.zeros(BITS, np.int64), 0, []
-    for words in _word_blocks(text.encode().lower() if text else b""):
+    for words in word_blocks(text.encode().lower() if text else b""):
         words = tail + words
         hashes = np.array([xxhash.xxh64_intdigest(b" ".join(words[i:i + size]), SEED) for i in range(len(words) - size + 1)], "<u8")
         if len(hashes):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
@@ -12,6 +13,10 @@ from pyspark.sql import functions as F
 #: Terms counted in a worker before they are handed on.
 CHUNK = 500_000
 
+#: Bytes of a text that are cut into words at a time; a longer one is cut between words.
+BLOCK = 1 << 20
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
 Split = Callable[[str], list[bytes]]
 
 
@@ -20,6 +25,16 @@ def words_lower(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def word_blocks(raw: bytes) -> Iterator[list[bytes]]:
+    """The words between white space, a block of bytes at a time; no block ends inside a word."""
+    at = 0
+    while at < len(raw):
+        end = _BLANK.search(raw, at + BLOCK)
+        stop = end.start() if end else len(raw)
+        yield raw[at:stop].split()
+        at = stop
+
+
 def count_terms(texts: DataFrame, text_col: str, split: Split) -> DataFrame:
     """(term, n) over all whole texts, combined in the workers before the shuffle."""
 

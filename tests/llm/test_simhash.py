@@ -3,7 +3,8 @@ import random
 import pytest
 import xxhash
 
-from pactum.llm.simhash import BLOCK, fingerprint, fingerprint_links, simhash_components
+from pactum.llm.simhash import fingerprint, fingerprint_links, simhash_components
+from pactum.llm.terms import BLOCK
 
 from .conftest import SCHEMA, odd_texts, prose, rows_of
 
