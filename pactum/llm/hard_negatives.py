@@ -74,7 +74,7 @@ def _best(rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, nulls: np.ndarr
     return np.lexsort((rows, ids[rows], nulls[rows], -scores))[:k]
 
 
-def _blocks(scale: int):
+def _blocks(most_rows: int):
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows cut into blocks, their vectors turned into columns; shorter vectors end in zeros."""
         first = TaskContext.get().partitionId() << 40
@@ -82,7 +82,7 @@ def _blocks(scale: int):
             ids, vectors, labels, anchors = batch.columns
             at = 0
             while at < batch.num_rows:
-                take = BLOCK_ROWS
+                take = most_rows
                 while True:  # by the longest vector of those taken
                     lists = vectors.slice(at, take)
                     offsets = lists.offsets.to_numpy()
@@ -119,22 +119,24 @@ def _anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([columns[:, k].tobytes() for k in at], pa.binary())], ["anchor", "anchor_id", "label", "vector"])
 
 
-def _packs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Up to PACK anchors in one row."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, PACK):
-            part = batch.slice(at, PACK)
-            yield pa.RecordBatch.from_arrays([pa.array([part["anchor"][0].as_py()], pa.int64())] + [
-                pa.array([part[c].to_pylist()], t) for c, t in (
-                    ("anchor", pa.list_(pa.int64())), ("label", pa.list_(pa.int64())), ("vector", pa.list_(pa.binary())), ("tops", pa.list_(pa.list_(pa.int64()))))],
-                ["pack", "anchor", "label", "vector", "tops"])
+def _packs(most: int):
+    def packs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Up to `most` anchors in one row."""
+        for batch in batches:
+            for at in range(0, batch.num_rows, most):
+                part = batch.slice(at, most)
+                yield pa.RecordBatch.from_arrays([pa.array([part["anchor"][0].as_py()], pa.int64())] + [
+                    pa.array([part[c].to_pylist()], t) for c, t in (
+                        ("anchor", pa.list_(pa.int64())), ("label", pa.list_(pa.int64())), ("vector", pa.list_(pa.binary())), ("tops", pa.list_(pa.list_(pa.int64()))))],
+                    ["pack", "anchor", "label", "vector", "tops"])
+    return packs
 
 
 def _meet(blocks: DataFrame, anchors: DataFrame, purpose: str) -> DataFrame:
     """Each block with each pack of anchors, dealt into cells of a bounded number of both."""
     many = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packs = materialize(anchors.repartition(max(1, anchors.count() // PACK), "anchor").mapInArrow(
-        _packs, "pack bigint, anchor array<bigint>, label array<bigint>, vector array<binary>, tops array<array<bigint>>"), purpose)
+        _packs(PACK), "pack bigint, anchor array<bigint>, label array<bigint>, vector array<binary>, tops array<array<bigint>>"), purpose)
     n_blocks, n_packs = blocks.count(), packs.count()
     across, down = -(-n_packs // CELL) or 1, min(n_blocks, max(-(-n_blocks // CELL), many)) or 1
     left = blocks.drop("anchors").withColumn("down", F.pmod(F.xxhash64("first"), F.lit(down))).withColumn("across", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
@@ -240,7 +242,7 @@ def hard_negatives(
     narrow = rows.select(F.col(id_col).cast("bigint").alias("id"), vector.alias("vector"), F.col(label_col).cast("bigint").alias("label"),
                          F.coalesce(anchors, F.lit(False)).alias("is_anchor"), sound.alias("sound"))
     narrow = narrow.filter("label is not null and vector is not null and sound").drop("sound")
-    blocks = materialize(narrow.mapInArrow(_blocks(scale), BLOCK_SCHEMA), "negatives-blocks")
+    blocks = materialize(narrow.mapInArrow(_blocks(BLOCK_ROWS), BLOCK_SCHEMA), "negatives-blocks")
     chosen = materialize(blocks.mapInArrow(_anchors, "anchor bigint, anchor_id bigint, label bigint, vector binary"), "negatives-anchors")
     first = F.col("score").desc(), F.col("id").asc_nulls_last(), F.col("row")
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from pactum.llm import chat, decontamination, fingerprints, hard_negatives, hidden_markov, language, mixing, ngram_join, quality, sharding, simhash, token_counts
+from pactum.llm import chat, collocations, decontamination, fingerprints, hard_negatives, hidden_markov, language, mixing, ngram_join, quality, sharding, simhash, token_counts
 
 QUERIES = {
     "op1_decontamination": (decontamination.op1_decontamination, decontamination.OP1_SQL),
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_sharding": (sharding.op9_sharding, None),
     "op10_chat_formatting": (chat.op10_chat_formatting, chat.OP10_SQL),
     "op11_hard_negatives": (hard_negatives.op11_hard_negatives, hard_negatives.OP11_SQL),
+    "op12_collocations": (collocations.op12_collocations, collocations.OP12_SQL),
     "op13_simhash": (simhash.op13_simhash, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
