@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.shared import CODE_CTE, code_corpus, key_hash_sql, lcg_sql, read
-from pactum.functions.predicates import floor_div, lenient
+from pactum.functions.predicates import bind_clauses, floor_div
 from pactum.operators import contracts as D
 from pactum.operators import state as S
 from pactum.operators import trials as T
@@ -17,12 +17,15 @@ PRICE = Contract("disc_price", "l_extendedprice * (1 - l_discount)", ["l_quantit
                  ["result <= l_extendedprice", "result >= 0"])
 TAXED = Contract("taxed_price", "l_extendedprice * (1 - l_discount) * (1 + l_tax)", ["l_quantity > 0"],
                  ["result <= l_extendedprice"])
-RATIO = Contract("tax_per_discount", "try_divide(l_tax, l_discount)", ["l_tax > 0"], ["result < 1"])
+# A zero divisor, a bad cast and a missing element: a transform that fails is an error, a clause that fails is false.
+RATIO = Contract("tax_per_discount", "l_tax / l_discount", ["l_tax > 0"], ["result < 1"])
+BAD_CAST = Contract("flag_as_number", "CAST(l_returnflag AS INT)", ["l_quantity > 40"], ["result > 0"])
+NO_ELEMENT = Contract("fifth_of_three", "array(l_tax, l_discount, l_quantity)", ["l_quantity > 30"], ["result[l_linenumber] >= 0", "result[1] >= 0"])
 # Whether clauses bind is part of the semantics: these three do not.
 UNBOUND_PRE = Contract("unbound_requires", "l_tax", ["no_such_column > 1"], ["result < 1"])
 UNBOUND_BODY = Contract("unbound_transform", "no_such_column", ["l_quantity > 10"], ["result < 1"])
 UNBOUND_POST = Contract("unbound_ensures", "l_tax", ["l_quantity > 20"], ["size(result) > 0"])
-LINE_CONTRACTS = [PRICE, TAXED, RATIO, UNBOUND_PRE, UNBOUND_BODY, UNBOUND_POST]
+LINE_CONTRACTS = [PRICE, TAXED, RATIO, BAD_CAST, NO_ELEMENT, UNBOUND_PRE, UNBOUND_BODY, UNBOUND_POST]
 
 _DISC = "l_extendedprice * (1 - l_discount)"
 _TAXED = f"{_DISC} * (1 + l_tax)"
@@ -30,15 +33,15 @@ _TAXED = f"{_DISC} * (1 + l_tax)"
 
 def d1_lenient(spark, d):
     li = read(spark, d, "lineitem")
-    tests = {"quotient": "try_divide(l_tax, l_discount) < 1",
-             "element": "try_element_at(array(l_tax, l_discount), l_linenumber) >= 0.05",
-             "cast": "try_cast(l_returnflag AS INT) > 0"}
-    return li.select(*[lenient(sql).alias(n) for n, sql in tests.items()]).groupBy(*tests).agg(F.count("*").alias("n"))
+    tests = {"quotient": "l_tax / l_discount < 1", "element": "array(l_tax, l_discount)[l_linenumber] >= 0.05",
+             "cast": "CAST(l_returnflag AS INT) > 0", "unknown": "nullif(l_tax, 0.02) < 0.05"}
+    bound = bind_clauses(li, list(tests.values())).select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(tests)])
+    return bound.groupBy(*tests).agg(F.count("*").alias("n"))
 
 
 D1 = """SELECT coalesce(CASE WHEN l_discount <> 0 THEN l_tax / l_discount < 1 END, false) AS quotient,
- coalesce(CASE l_linenumber WHEN 1 THEN l_tax WHEN 2 THEN l_discount END >= 0.05, false) AS element,
- coalesce(try_cast(l_returnflag AS INT) > 0, false) AS "cast", count(*) AS n FROM lineitem GROUP BY ALL"""
+ coalesce(CASE l_linenumber WHEN 0 THEN l_tax WHEN 1 THEN l_discount END >= 0.05, false) AS element,
+ coalesce(try_cast(l_returnflag AS INT) > 0, false) AS "cast", coalesce(nullif(l_tax, 0.02) < 0.05, false) AS "unknown", count(*) AS n FROM lineitem GROUP BY ALL"""
 
 
 def d2_precondition_gate(spark, d):
@@ -81,6 +84,8 @@ _OUTCOMES = f"""o AS (
   NOT ({_TAXED} <= l_extendedprice) FROM lineitem
  UNION ALL SELECT 'tax_per_discount', l_orderkey, l_linenumber, l_partkey, l_tax, l_tax > 0, l_discount = 0,
   l_discount = 0 OR NOT (l_tax / l_discount < 1) FROM lineitem
+ UNION ALL SELECT 'flag_as_number', l_orderkey, l_linenumber, l_partkey, l_tax, l_quantity > 40, true, true FROM lineitem
+ UNION ALL SELECT 'fifth_of_three', l_orderkey, l_linenumber, l_partkey, l_tax, l_quantity > 30, false, l_linenumber > 2 FROM lineitem
  UNION ALL SELECT 'unbound_requires', l_orderkey, l_linenumber, l_partkey, l_tax, false, false, false FROM lineitem
  UNION ALL SELECT 'unbound_transform', l_orderkey, l_linenumber, l_partkey, l_tax, l_quantity > 10, true, true FROM lineitem
  UNION ALL SELECT 'unbound_ensures', l_orderkey, l_linenumber, l_partkey, l_tax, l_quantity > 20, false, true FROM lineitem)"""

@@ -1,21 +1,21 @@
 """Predicates and the contract vocabulary.
 
-`lenient` is the one non-standard semantic: a predicate that is NULL is false.
-Contracts run under ANSI mode, so clauses must be written with expressions that
-yield NULL instead of raising. The text builders below cover the operations whose
-Spark spelling raises or means something else than in the contract language.
+`lenient` is the one non-standard semantic: a predicate that is NULL, or whose evaluation fails, is false.
+Clauses whose integer arithmetic may overflow are bound under ANSI mode, where an overflow is an error and never a
+plausible value; all others are bound without it, so a zero divisor, a bad cast or a missing element
+is NULL. The text builders below cover operations whose Spark spelling means something else than in the contract language.
 """
 
 from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.logger import PySparkLogger
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,21 +85,95 @@ def clause_types(df: DataFrame, clauses: list[str]) -> dict[str, T.DataType | No
             return {t: one(t) for t in unique}
 
 
-_TOKEN = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|[A-Za-z_][A-Za-z_0-9]*|\s+|.", re.S)
+_TOKEN = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|[A-Za-z_][A-Za-z_0-9]*|\d[\d.]*(?:[eE]-?\d+)?\w*|->|::|\s+|.", re.S)
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+_WHOLE_NAMES = {"tinyint", "smallint", "int", "integer", "bigint", "long", "short", "byte"}
+# Calls that neither overflow nor turn fractions into whole numbers.
+_SAFE_CALLS = {"try_divide", "try_add", "try_subtract", "try_multiply", "try_mod", "coalesce", "nullif", "greatest", "least", "sqrt",
+               "exp", "log", "and", "or", "not", "in", "when", "then", "else", "between", "case", "array", "try_element_at", "element_at"}
+_BEFORE_SIGN = {"", "(", ",", "<", ">", "=", "and", "or", "not", "then", "when", "else", "between", "in", "->", "["}
 
 
-def rename_identifier(sql: str, name: str, to: str) -> str:
-    """Replace a bare column name in SQL text, leaving strings and fields alone."""
-    out: list[str] = []
-    prev = ""
-    for tok in _TOKEN.findall(sql):
-        hit = tok.lower() == name.lower() and prev != "."
-        out.append(to if hit else tok)
-        if not tok.isspace():
-            prev = tok
+def may_overflow(sql: str, columns: dict[str, T.DataType]) -> bool:
+    """Could whole numbers wrap in this clause, were it evaluated without ANSI mode? When in doubt, yes.
+
+    Only arithmetic over fractional columns and small literals, and casts of text, are known not to.
+    """
+    words = [w for w in _TOKEN.findall(sql) if not w.isspace() and w[0] not in "'\""]
+    lower = [w.strip("`").lower() for w in words]
+    known = {name.lower(): kind for name, kind in columns.items()}
+    kinds = [known[w] for w in lower if w in known]
+    signs = [w for before, w, after in zip(["", *lower], lower, [*lower[1:], ""], strict=False)
+             if w in ("+", "-", "*") and not (w == "-" and after[:1].isdigit() and before in _BEFORE_SIGN) and not (w == "*" and before == "(")]
+    calls = {w for w, after in zip(lower, lower[1:], strict=False) if after == "(" and (w[:1].isalpha() or w[:1] == "_")} - _SAFE_CALLS
+    cast_to_whole = "::" in words or bool(calls & _WHOLE_NAMES) or ("cast" in lower and not _WHOLE_NAMES.isdisjoint(lower))
+    if cast_to_whole and (signs or any(isinstance(k, T.NumericType) for k in kinds)):
+        return True
+    if not cast_to_whole:
+        calls -= {"cast", "try_cast"}
+    if not signs and "div" not in lower:
+        return bool(calls & {"abs", "negative", "sum", "aggregate", "reduce", "shiftleft", "factorial", "floor", "ceil", "ceiling", "round", "bround", "conv"})
+    small = all(not w[:1].isdigit() or "." in w or "e" in w or len(w) < 5 for w in lower)
+    return bool(calls) or not small or not kinds or any(not isinstance(k, _FRACTIONAL) for k in kinds)
+
+
+# Each use of these gives another value.
+_VOLATILE = {"rand", "randn", "random", "uuid", "shuffle", "uniform", "randstr", "monotonically_increasing_id", "java_method", "reflect", "try_reflect"}
+
+
+def volatile(sql: str) -> bool:
+    return not _VOLATILE.isdisjoint(w.lower() for w in _TOKEN.findall(sql))
+
+
+def spelled_out(sql: str, name: str, value: str) -> str | None:
+    """`sql` with the bare column `name` written as the expression `value`, or None where that would not mean the same.
+
+    A function over `name` always means the same, but is interpreted row by row; spelled out,
+    generated code evaluates a repeated expression once. A clause with functions of its own, or a
+    value that changes with each use, is not spelled out.
+    """
+    words = _TOKEN.findall(sql)
+    if "->" in words or volatile(value):
+        return None
+    out, before = [], ""
+    for w in words:
+        own = w.strip("`").lower() == name and before not in (".", "as")
+        out.append(value if own and (w[0] == "`" or w.lower() == name) else w)
+        before = before if w.isspace() else w.lower()
     return "".join(out)
 
 
+@contextmanager
+def errors_as_null(spark: SparkSession, active: bool = True) -> Iterator[None]:
+    """Expressions bound inside give NULL where evaluating them fails; the session is as before afterwards."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    if active:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def column_types(df: DataFrame) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
+def bind_clauses(df: DataFrame, clauses: Sequence[str]) -> DataFrame:
+    """A column `c0`, `c1`, ... for each clause: true where it holds, false where it does not, is NULL, or fails.
+
+    Other columns stay. A clause in which whole numbers may overflow still raises.
+    """
+    strict = [may_overflow(s, column_types(df)) for s in clauses]
+    names = [f"c{i}" for i in range(len(clauses))]
+    out = df
+    for mode in (False, True):
+        with errors_as_null(df.sparkSession, not mode):
+            types = clause_types(df, [s for s, hard in zip(clauses, strict, strict=True) if hard == mode])
+            out = out.selectExpr("*", *[f"{truthy(s, types[s])} AS {n}" for s, n, hard in zip(clauses, names, strict, strict=True) if hard == mode])
+    return out.select(*df.columns, *names)
+
+
 # -- contract vocabulary, as SQL text ---------------------------------------
 
 def floor_div(a: str, b: str) -> str:

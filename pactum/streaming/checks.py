@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactum.functions.predicates import lenient, rename_identifier
+from pactum.functions.predicates import lenient
 from pactum.operators.contracts import Contract, check_contracts
 from pactum.operators.state import running_state
 from pactum.operators.trials import OBJECT_START

@@ -3,8 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pactum.functions.predicates import (floor_div, is_upper, item_at, lenient, prefix, rename_identifier, total,
-                                         with_entry)
+from pactum.functions.predicates import bind_clauses, floor_div, is_upper, item_at, lenient, prefix, total, with_entry
 from pactum.functions.sql import register
 from pactum.operators import contracts as C
 from pactum.operators.contracts import Contract, check_contracts
@@ -99,9 +98,44 @@ def test_first_violation_and_bad_rows(table):
     assert C.first_violation(table, [c], ["id"], ["a"]).first()["id"] == want[0][0]
 
 
-def test_result_is_renamed_only_as_a_bare_column():
-    assert rename_identifier("result > 'result' AND x.result = `result` + Result", "result", "(r)") == \
-        "(r) > 'result' AND x.result = `result` + (r)"
+def test_result_means_what_the_analyser_says(table):
+    """A lambda's own `result`, strings and fields stay what they are; the transform is computed once."""
+    v = verdicts(table, Contract("lambda", "array(a, id)", [], ["exists(result, result -> result > -1)"]),
+                 Contract("string", "s", ["s = 'a'"], ["result <> 'result'", "named_struct('result', 1).result = 1"]),
+                 Contract("once", "rand()", [], ["result = result", "result < 1"]), Contract("column", "a", [], ["`result` = a"]))
+    assert [v[t]["n_failed"] for t in ("lambda", "string", "once", "column")] == [0, 0, 0, 0] and v["string"]["n_checked"] > 0
+    rows = C.row_verdicts(table.withColumn("result", F.lit("old")), Contract("once", "rand()", ["a > 0"], ["result < 1"])).collect()
+    assert all(r["pre"] == (r["a"] > 0) and not r["bad"] and (r["result"] is not None) == r["pre"] for r in rows)
+
+
+def test_errors_are_false_and_failing_transforms_are_errors(table):
+    rows = table.withColumn("v", F.array("a", "b")).collect()
+    df = table.withColumn("v", F.array("a", "b"))
+    v = verdicts(df, Contract("quotient", "id", ["id / b > 1"], ["id / b < 100"]), Contract("body", "a / b"), Contract("cast", "CAST(s AS INT)"),
+                 Contract("element", "v[4]", [], ["result > 0"]), Contract("post", "a", [], ["v[9] > 0"]), Contract("date", "CAST(s AS DATE)"),
+                 order=["id"])
+    fits = [r for r in rows if r["b"] and r["id"] / r["b"] > 1]
+    assert v["quotient"]["n_checked"] == len(fits) and v["quotient"]["n_failed"] == sum(r["id"] / r["b"] >= 100 for r in fits)
+    assert v["body"]["n_errors"] == sum(not r["b"] for r in rows)
+    assert [v[t]["n_errors"] for t in ("cast", "element", "post", "date")] == [300, 300, 0, 300] and v["post"]["n_failed"] == 300
+    assert C.row_verdicts(df, Contract("body", "a / b")).filter("err").count() == v["body"]["n_errors"]
+    assert C.precondition_gate(df, ["id / b > 1"]).count() == len(fits)
+    held = bind_clauses(df, ["id / b > 1", "b + 1 > 0", "v[4] > 0"]).agg(F.count_if("c0"), F.count_if("c1"), F.count_if("c2")).first()
+    assert tuple(held) == (len(fits), sum(r["b"] is not None for r in rows), 0)
+    assert df.sparkSession.conf.get("spark.sql.ansi.enabled") == "true"
+
+
+def test_overflow_is_never_a_value(spark):
+    from pyspark.errors import ArithmeticException
+
+    big = spark.createDataFrame([(2**63 - 1, 2**31 - 1, 1e300, "3")], "a bigint, i int, x double, s string")
+    for clause in ("a + 1 < 0", "i * 2 < 0", "-a - 2 > 0", "abs(a) + 1 < 0", "CAST(x AS INT) > 0", "int(a) < 0", "CAST(s AS INT) + 2147483647 < 0"):
+        with pytest.raises(ArithmeticException):
+            check_contracts(big, [Contract("t", "a", [clause])]).collect()
+    with pytest.raises(ArithmeticException):
+        check_contracts(big, [Contract("t", "a", [], ["result + 1 < 0"])]).collect()
+    safe = verdicts(big, Contract("t", "x * (1 - x) / 0"), Contract("u", "a", ["CAST(s AS INT) = 3", "a > -1"], ["result > -5"]))
+    assert safe["t"]["n_errors"] == 1 and safe["u"]["n_checked"] == 1 and safe["u"]["n_failed"] == 0
 
 
 def test_contract_rows(spark, table):
