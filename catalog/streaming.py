@@ -8,6 +8,7 @@ from catalog.checking import LINE_CONTRACTS, _MOVE, _OUTCOMES, _START
 from catalog.shared import FILES_SQL, INTERCEPT_A, POOL_SQL, SCORED_CTE, WEIGHTS_A, read, write_code_files
 from pactum.functions.metrics import linear_score
 from pactum.operators import risk as H
+from pactum.operators.contracts import check_contracts
 from pactum.operators.features import text_features
 from pactum.plans.session import run_dir
 from pactum.sources.corpus import stream_corpus, stream_table
@@ -38,26 +39,49 @@ def _score(batch):
     return H.band(feats.select("doc_id", "source", "pool", linear_score(WEIGHTS_A, INTERCEPT_A).alias("score")))
 
 
-def _scored_stream(spark, d):
-    """Run I1 and return (folder, schema) of its risk records."""
-    out, ckpt = sinks.fresh(spark, "stream-score")
-    loop.stream_score(stream_table(spark, _path(d, "documents")), _score, out, ckpt)
+ARRIVALS = 4
+
+
+def _arriving(spark, df, slice_of, purpose, start):
+    """Rows arrive in four parts; after each the query is started again from its checkpoint. Its output folder.
+
+    So each part is a batch of its own at every size, and what is carried from one to the next is what a restart finds.
+    """
+    source = run_dir(spark, f"{purpose}-arriving")
+    out, ckpt = sinks.fresh(spark, purpose)
+    for k in range(ARRIVALS):
+        df.filter(slice_of == k).write.mode("append").parquet(source)
+        start(stream_table(spark, source, files_per_trigger=1_000_000), out, ckpt)
     return out
 
 
+def _batches(spark, out):
+    return spark.read.parquet(out).select(sinks.BATCH).distinct().count()
+
+
+def _scored_stream(spark, d):
+    """Run I1 and return the folder of its risk records."""
+    return _arriving(spark, read(spark, d, "documents"), F.pmod("doc_id", F.lit(ARRIVALS)), "stream-score",
+                     lambda stream, out, ckpt: loop.stream_score(stream, _score, out, ckpt))
+
+
 def i1_stream_score(spark, d):
     out = _scored_stream(spark, d)
-    return spark.read.parquet(out).select("doc_id", "source", "pool", F.round("score", 6).alias("score"), "level")
+    return spark.read.parquet(out).select("doc_id", "source", "pool", F.round("score", 6).alias("score"), "level",
+                                          F.lit(_batches(spark, out)).alias("n_batches"))
 
 
-I1 = f"WITH {SCORED_CTE} SELECT doc_id, source, pool, round(score, 6) AS score, level FROM sc"
+I1 = f"WITH {SCORED_CTE} SELECT doc_id, source, pool, round(score, 6) AS score, level, 4 AS n_batches FROM sc"
+
+
+def _scores(spark, d):
+    """The risk records, in the part their document arrived in."""
+    return spark.read.parquet(_scored_stream(spark, d)).drop(sinks.BATCH), F.pmod("doc_id", F.lit(ARRIVALS))
 
 
 def i2_stream_feedback(spark, d):
-    scores = _scored_stream(spark, d)
-    out, ckpt = sinks.fresh(spark, "stream-feedback")
-    stream = stream_table(spark, scores).withColumn("file", F.expr("concat(source, '-', doc_id % 53)"))
-    loop.stream_feedback(stream, out, ckpt)
+    scores, part = _scores(spark, d)
+    out = _arriving(spark, scores.withColumn("file", F.expr("concat(source, '-', doc_id % 53)")), part, "stream-feedback", loop.stream_feedback)
     return spark.read.parquet(out).select("file")
 
 
@@ -65,18 +89,17 @@ I2 = f"WITH {SCORED_CTE} SELECT DISTINCT concat(source, '-', doc_id % 53) AS fil
 
 
 def i3_stream_contract_check(spark, d):
-    out, ckpt = sinks.fresh(spark, "stream-check")
-    checks.stream_contract_check(stream_table(spark, _path(d, "lineitem")), LINE_CONTRACTS, out, ckpt)
-    from pactum.operators.contracts import check_contracts
-
-    schema = check_contracts(read(spark, d, "lineitem"), LINE_CONTRACTS).schema
-    return sinks.last_batch(spark, out, schema)
+    lines = read(spark, d, "lineitem")
+    out = _arriving(spark, lines, F.pmod("l_orderkey", F.lit(ARRIVALS)), "stream-check",
+                    lambda stream, out, ckpt: checks.stream_contract_check(stream, LINE_CONTRACTS, out, ckpt))
+    schema = check_contracts(lines, LINE_CONTRACTS).schema
+    return sinks.last_batch(spark, out, schema).withColumn("n_batches", F.lit(_batches(spark, out)))
 
 
 I3 = f"""WITH {_OUTCOMES} SELECT target, count(*) AS n_rows, count(*) FILTER (pre) AS n_checked,
  count(*) FILTER (NOT pre) AS n_skipped, count(*) FILTER (pre AND bad) AS n_failed,
  count(*) FILTER (pre AND err) AS n_errors, CAST(coalesce(bool_or(pre AND bad), false) AS INT) AS label,
- count(*) FILTER (pre) = 0 AS vacuous FROM o GROUP BY 1"""
+ count(*) FILTER (pre) = 0 AS vacuous, 4 AS n_batches FROM o GROUP BY 1"""
 
 
 def i4_stream_surge(spark, d):
@@ -132,36 +155,37 @@ I6 = "SELECT event_id, user_id, event_type FROM events"
 
 
 def i7_stream_state_check(spark, d):
-    """Balances carried over batches, additive: the events arrive as a sequence of files by time."""
-    root = run_dir(spark, "ordered-events")
+    """Balances carried by the engine over four batches, each a restart: the events arrive in order of time."""
     moves = read(spark, d, "events").select("user_id", "ts", "event_id", F.expr(_MOVE).alias("move"), "event_type")
-    moves.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(root)
-    out, ckpt = sinks.fresh(spark, "state-check")
-    checks.stream_state_check(stream_table(spark, root, files_per_trigger=1000), ["user_id"], ["ts", "event_id"], "move",
-                              "balance >= 0", out, ckpt, requires="event_type <> 'view'", start=_START)
+    first, last = moves.agg(F.min("ts"), F.max("ts")).first()
+    part = F.floor(ARRIVALS * (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp")))
+                   / (F.unix_micros(F.lit(last).cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp")) + 1))
+    out = _arriving(spark, moves, part, "state-check", lambda stream, out, ckpt: checks.stream_state_check(
+        stream, ["user_id"], ["ts", "event_id"], "move", "balance >= 0", out, ckpt, requires="event_type <> 'view'", start=_START))
     return (spark.read.parquet(out).groupBy("user_id")
-            .agg(F.sum("n_rows").alias("n_rows"), F.sum("n_checked").alias("n_checked"),
-                 F.sum("n_failed").alias("n_failed"), F.max_by("balance", "batch_id").cast("bigint").alias("balance")))
+            .agg(F.sum("n_rows").alias("n_rows"), F.sum("n_checked").alias("n_checked"), F.sum("n_failed").alias("n_failed"),
+                 F.sum("n_late").alias("n_late"), F.max_by("balance", sinks.BATCH).alias("balance"))
+            .withColumn("n_batches", F.lit(_batches(spark, out))))
 
 
 I7 = f"""WITH m AS (SELECT user_id, ts, event_id, event_type <> 'view' AS ok, {_START} +
  sum(CASE WHEN event_type <> 'view' THEN {_MOVE} ELSE 0 END)
  OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS balance FROM events)
 SELECT user_id, count(*) AS n_rows, count(*) FILTER (ok) AS n_checked, count(*) FILTER (ok AND balance < 0) AS n_failed,
- CAST(arg_max(balance, (ts, event_id)) AS BIGINT) AS balance FROM m GROUP BY 1"""
+ CAST(0 AS BIGINT) AS n_late, CAST(arg_max(balance, (ts, event_id)) AS BIGINT) AS balance, 4 AS n_batches FROM m GROUP BY 1"""
 
 
 def i8_feedback_trigger(spark, d):
-    scores = _scored_stream(spark, d)
-    out, ckpt = sinks.fresh(spark, "trigger")
-    stream = stream_table(spark, scores).filter("level = 'HIGH' AND pool = 'unseen'")
-    loop.feedback_trigger(stream, out, ckpt)
-    decisions = spark.read.parquet(out)
-    return decisions.agg(F.max_by(F.struct("n_feedback", "retrain", "reason"), "batch_id").alias("r")).select("r.*")
+    scores, part = _scores(spark, d)
+    out = _arriving(spark, scores, part, "trigger", lambda stream, out, ckpt: loop.feedback_trigger(
+        stream.filter("level = 'HIGH' AND pool = 'unseen'"), out, ckpt))
+    last = spark.read.parquet(out).agg(F.max_by(F.struct("n_feedback", "retrain", "reason"), sinks.BATCH).alias("r"), F.count_distinct(sinks.BATCH).alias("n_batches"))
+    return last.select("r.*", "n_batches")
 
 
 I8 = f"""WITH {SCORED_CTE} SELECT count(*) AS n_feedback, count(*) >= 2 AS retrain,
- CASE WHEN count(*) >= 2 THEN 'feedback' ELSE 'none' END AS reason FROM sc WHERE level = 'HIGH' AND pool = 'unseen'"""
+ CASE WHEN count(*) >= 2 THEN 'feedback' ELSE 'none' END AS reason, CAST(4 AS BIGINT) AS n_batches
+FROM sc WHERE level = 'HIGH' AND pool = 'unseen'"""
 
 
 QUERIES = {

@@ -2,64 +2,111 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from pactum.functions.predicates import lenient
 from pactum.operators.contracts import Contract, check_contracts
-from pactum.operators.state import running_state
 from pactum.operators.trials import OBJECT_START
-from pactum.streaming.sinks import BATCH, each_batch, read_batches
+from pactum.streaming.sinks import each_batch
 
-SNAPSHOT_EVERY = 20
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def stream_contract_check(stream: DataFrame, contracts: Sequence[Contract], out: str, checkpoint: str) -> None:
+def stream_contract_check(stream: DataFrame, contracts: Sequence[Contract], out: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Verdicts over everything seen so far, rewritten with every batch.
 
     The same aggregate as in batch; its state is one row of counters.
     """
-    each_batch(check_contracts(stream, contracts), lambda batch, _: batch, out, checkpoint, mode="complete")
+    return each_batch(check_contracts(stream, contracts), lambda batch, _: batch, out, checkpoint, mode="complete", every=every)
+
+
+def _null_first(place: tuple) -> list[tuple]:
+    return [(v is not None, v) for v in place]
+
+
+class _Balance(StatefulProcessor):
+    """The balance of a key after each of its rows, carried by the engine from batch to batch."""
+
+    def __init__(self, state: T.StructType, order: Sequence[str], start: Any, clamped: bool, whole: bool) -> None:
+        self.schema, self.order, self.start, self.clamped, self.whole = state, list(order), start, clamped, whole
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("balance", self.schema)
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        held = self.state.get() if self.state.exists() else None
+        balance, last = (held[0], tuple(held[1:])) if held else (self.start, None)
+        batch = pd.concat(list(rows), ignore_index=True)
+        at = [batch[f"state_at{i}"].to_list() for i in range(len(self.order))]
+        gone = [batch[f"state_null{i}"].to_list() for i in range(len(self.order))]
+        places = [tuple(None if n else v for v, n in zip(p, g, strict=True)) for p, g in zip(zip(*at, strict=True), zip(*gone, strict=True), strict=True)]
+        by_place = sorted(range(len(batch)), key=lambda k: _null_first(places[k]))
+        batch, places = batch.iloc[by_place].reset_index(drop=True), [places[k] for k in by_place]
+        batch["state_late"] = [last is not None and _null_first(p) < _null_first(last) for p in places]
+        change = batch["state_change"].to_numpy(object if self.whole else None)
+        # Python's own whole numbers and decimals do not wrap; a balance that leaves the type is refused when it is written.
+        totals = np.add.accumulate(np.concatenate([np.array([balance], change.dtype), change]))
+        if self.clamped:
+            totals = totals - np.minimum(np.minimum.accumulate(totals), 0)
+        batch["state_balance"] = totals[1:]
+        top = max([p for p, late in zip(places, batch["state_late"], strict=True) if not late], key=_null_first, default=last)
+        self.state.update((totals[-1], *[v.to_pydatetime() if isinstance(v, pd.Timestamp) else v for v in top]))
+        yield batch
+
+    def close(self) -> None:
+        pass
 
 
 def stream_state_check(
     stream: DataFrame, keys: Sequence[str], order: Sequence[str], change: str, ensures: str, out: str,
-    checkpoint: str, requires: str = "true", start: float = OBJECT_START, clamped: bool = False,
-) -> None:
-    """Per key and batch: rows, failures and the balance carried to the next batch.
-
-    The balances written by earlier batches are the state. Every SNAPSHOT_EVERY
-    batches they are folded into a snapshot, so a batch reads one snapshot and at
-    most that many batches, however long the stream has run. Each batch is scanned
-    with the block-wise running sum, so a hot key does not land in one task. A
-    repeated batch reads only what came before it and gives the same result.
-    `order` must be unique within a key; batches must arrive in that order.
+    checkpoint: str, requires: str = "true", start: float = OBJECT_START, clamped: bool = False, every: str | None = None,
+) -> StreamingQuery:
+    """Per key and batch: rows, checked, failed, late, and the balance after the batch.
+
+    The balance and the last place in `order` of each key are the engine's own state (RocksDB), kept by the checkpoint: a
+    restart goes on from there, a repeated batch starts from the same state and replaces its own folder, and no
+    batch reads what earlier ones wrote. Balances keep the type of `change`: whole numbers and decimals are
+    exact. Rows of a batch are taken in `order`, NULL first. A row that comes before one its key has seen in an earlier batch
+    is late: it changes the balance when it arrives and is counted in `n_late`. `ensures` sees the row's columns and `balance`.
+    A NULL key is a key. Rows of one key in a batch are held together, so `maxFilesPerTrigger` bounds the memory.
     """
     spark = stream.sparkSession
-    snapshots = f"{out}-snapshots"
-    state = stream.select(*keys, F.lit(0.0).alias("balance")).schema
-
-    def balances(upto: int) -> DataFrame:
-        """Balance per key before batch `upto`."""
-        base = (upto - 1) // SNAPSHOT_EVERY * SNAPSHOT_EVERY
-        folded = read_batches(spark, snapshots, state).filter(F.col(BATCH) == base).withColumn(BATCH, F.lit(-1))
-        recent = read_batches(spark, out, state, before=upto).filter(F.col(BATCH) >= base)
-        return folded.unionByName(recent).groupBy(*keys).agg(F.max_by("balance", BATCH).alias("balance"))
-
-    def step(batch: DataFrame, batch_id: int) -> DataFrame:
-        if batch_id and batch_id % SNAPSHOT_EVERY == 0:
-            balances(batch_id).write.mode("overwrite").parquet(f"{snapshots}/{BATCH}={batch_id}")
-            past = read_batches(spark, snapshots, state).filter(F.col(BATCH) == batch_id).drop(BATCH)
-        else:
-            past = balances(batch_id)
-        opened = (batch.join(past.withColumnRenamed("balance", "_from"), list(keys), "left")
-                  .withColumn("_from", F.coalesce("_from", F.lit(float(start)))))
-        levels = running_state(opened, keys, order, change, requires, F.col("_from"), clamped, "_level")
-        return levels.groupBy(*keys).agg(
-            F.count("*").alias("n_rows"), F.count_if("admitted").alias("n_checked"),
-            F.count_if(F.col("admitted") & ~lenient(rename_identifier(ensures, "balance", "_level"))).alias("n_failed"),
-            F.max_by(F.col("_level").cast("double"), F.struct(*order)).alias("balance"))
-
-    each_batch(stream, step, out, checkpoint)
+    admitted = F.coalesce(F.expr(requires), F.lit(False))
+    staged = stream.withColumn("state_admitted", admitted).withColumn("state_change", F.when(F.col("state_admitted"), F.coalesce(F.expr(change), F.lit(0))).otherwise(F.lit(0)))
+    kind = staged.schema["state_change"].dataType
+    whole = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    if whole:
+        kind = T.LongType()
+    elif isinstance(kind, T.DecimalType):
+        kind = T.DecimalType(38, kind.scale)
+    staged = staged.withColumn("state_change", F.col("state_change").cast(kind))
+    zero = spark.range(1).select(F.lit(start).cast(kind)).first()[0]
+    for i, c in enumerate(order):  # whole numbers stay whole in pandas only without NULL
+        at = F.coalesce(F.col(c), F.lit(0).cast(staged.schema[c].dataType)) if isinstance(staged.schema[c].dataType, T.IntegralType) else F.col(c)
+        staged = staged.withColumn(f"state_at{i}", at).withColumn(f"state_null{i}", F.col(c).isNull())
+    state = T.StructType([T.StructField("balance", kind), *[T.StructField(c, staged.schema[c].dataType) for c in order]])
+    shape = T.StructType([*staged.schema.fields, T.StructField("state_late", T.BooleanType()), T.StructField("state_balance", kind)])
+    moved = staged.groupBy(*keys).transformWithStateInPandas(_Balance(state, order, zero, clamped, whole), shape, "Append", "None")
+    seen = moved.drop("balance").withColumnRenamed("state_balance", "balance").withColumn("state_held", lenient(ensures))
+
+    def told(batch: DataFrame, _: int) -> DataFrame:
+        place = F.struct(*[F.struct(~F.col(f"state_null{i}"), F.col(f"state_at{i}")) for i in range(len(order))])
+        return batch.groupBy(*keys).agg(
+            F.count("*").alias("n_rows"), F.count_if("state_admitted").alias("n_checked"), F.count_if(F.col("state_admitted") & ~F.col("state_held")).alias("n_failed"),
+            F.count_if("state_late").alias("n_late"), F.max_by("balance", place).alias("balance"))
+
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)  # read when the query starts
+    try:
+        return each_batch(seen, told, out, checkpoint, every=every)
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pactum.operators.promotion import decide_retraining
-from pactum.operators.risk import collect_feedback
 from pactum.policy import Policy
-from pactum.streaming.sinks import each_batch, read_batches
+from pactum.streaming.sinks import each_batch
 
 
 def stream_score(stream: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
@@ -26,26 +25,19 @@ def stream_score(stream: DataFrame, score: Callable[[DataFrame], DataFrame], out
 
 def stream_feedback(scores: DataFrame, out: str, checkpoint: str, file: str = "file",
                     every: str | None = None) -> StreamingQuery:
-    """Add files with a HIGH score to the feedback pool, each once over all batches."""
-    spark = scores.sparkSession
-    schema = scores.select(file).schema
+    """Add files with a HIGH score to the feedback pool, each once over all batches.
 
-    def added(batch: DataFrame, batch_id: int) -> DataFrame:
-        return collect_feedback(batch, read_batches(spark, out, schema, before=batch_id), file)
-
-    return each_batch(scores, added, out, checkpoint, every=every)
+    Which files were taken is the engine's state, one row a file, so no batch reads what earlier ones wrote.
+    """
+    new = scores.filter(F.col("level") == "HIGH").select(file).filter(F.col(file).isNotNull()).dropDuplicates([file])
+    return each_batch(new, lambda batch, _: batch, out, checkpoint, every=every)
 
 
 def feedback_trigger(feedback: DataFrame, out: str, checkpoint: str, has_champion: bool = True,
-                     policy: Policy = Policy()) -> None:
-    """Count feedback rows over all batches and write a retraining decision per batch."""
-    spark = feedback.sparkSession
-    counts_out = f"{out}-counts"
-
-    def decide(batch: DataFrame, batch_id: int) -> DataFrame:
-        counted = batch.agg(F.count("*").alias("n_feedback"))
-        counted.write.mode("overwrite").parquet(f"{counts_out}/batch_id={batch_id}")
-        upto = read_batches(spark, counts_out, counted.schema, before=batch_id + 1)
-        return decide_retraining(upto.agg(F.sum("n_feedback").alias("n_feedback")), has_champion, policy)
-
-    each_batch(feedback, decide, out, checkpoint)
+                     policy: Policy = Policy(), every: str | None = None) -> StreamingQuery:
+    """Count feedback rows over all batches and write a retraining decision per batch.
+
+    The count is the engine's state: one number, whatever came before.
+    """
+    counted = feedback.agg(F.count("*").alias("n_feedback"))
+    return each_batch(counted, lambda batch, _: decide_retraining(batch, has_champion, policy), out, checkpoint, mode="complete", every=every)

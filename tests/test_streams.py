@@ -35,25 +35,55 @@ def test_contract_check_equals_batch_after_every_run(spark, tmp_path, events):
         assert sorted(map(tuple, sinks.last_batch(spark, out, schema).collect())) == sorted(map(tuple, batch.collect()))
 
 
-@pytest.mark.parametrize("clamped", [False, True])
-@pytest.mark.parametrize("snapshot_every", [1, 2, 20])
-def test_state_is_carried_between_batches(spark, tmp_path, events, clamped, snapshot_every, monkeypatch):
-    monkeypatch.setattr(checks, "SNAPSHOT_EVERY", snapshot_every)
+@pytest.mark.parametrize(("clamped", "kind"), [(False, "BIGINT"), (True, "BIGINT"), (True, "DECIMAL(12,2)")])
+def test_state_is_carried_by_the_engine_over_restarts(spark, tmp_path, events, clamped, kind):
     src, out, ckpt = _paths(tmp_path)
     moves = events.select("user_id", "ts", "event_id", F.expr(
-        "CAST(value AS BIGINT) * CASE WHEN event_type = 'error' THEN -3 ELSE 1 END").alias("move"), "event_type")
+        f"CAST(value AS {kind}) * CASE WHEN event_type = 'error' THEN -3 ELSE 1 END").alias("move"), "event_type")
     days = [("2024-01-01", "2024-01-08"), ("2024-01-08", "2024-01-20"), ("2024-01-20", "2024-01-21"), ("2024-01-21", "2024-03-01")]
+
+    def check():
+        checks.stream_state_check(stream_table(spark, src, files_per_trigger=1), ["user_id"], ["ts", "event_id"], "move", "balance >= 50",
+                                  out, ckpt, "event_type <> 'view'", 10, clamped)
+
     for lo, hi in days:
         moves.filter((F.col("ts") >= lo) & (F.col("ts") < hi)).coalesce(1).write.mode("append").parquet(src)
-        checks.stream_state_check(stream_table(spark, src), ["user_id"], ["ts", "event_id"], "move", "balance >= 50",
-                                  out, ckpt, "event_type <> 'view'", 10, clamped)
-    got = (spark.read.parquet(out).groupBy("user_id").agg(
-        F.sum("n_rows"), F.sum("n_checked"), F.sum("n_failed"), F.max_by("balance", "batch_id")))
+        check()
+    told = spark.read.parquet(out)
+    assert told.select("batch_id").distinct().count() == 4 and told.schema["balance"].dataType.simpleString().startswith(kind[:6].lower())
+    got = told.groupBy("user_id").agg(F.sum("n_rows"), F.sum("n_checked"), F.sum("n_failed"), F.sum("n_late"), F.max_by("balance", "batch_id"))
     levels = running_state(moves, ["user_id"], ["ts", "event_id"], "move", "event_type <> 'view'", 10, clamped)
     want = levels.groupBy("user_id").agg(
-        F.count("*"), F.count_if("admitted"), F.count_if(F.col("admitted") & (F.col("balance") < 50)),
-        F.max_by(F.col("balance").cast("double"), F.struct("ts", "event_id")))
+        F.count("*"), F.count_if("admitted"), F.count_if(F.col("admitted") & (F.col("balance") < 50)), F.lit(0),
+        F.max_by(F.col("balance"), F.struct("ts", "event_id")))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    check()  # nothing new has come
+    assert spark.read.parquet(out).count() == told.count()
+
+
+def test_late_rows_null_keys_and_exact_balances(spark, tmp_path):
+    src, out, ckpt = _paths(tmp_path)
+    big = 2**62
+    parts = [[("a", 2, big), ("a", 1, 1), (None, 1, 5), (None, None, 7)], [("a", 1, -1), ("b", 9, None), (None, 3, 1)], [("a", 3, -big), ("b", 9, 4)]]
+    for part in parts:
+        spark.createDataFrame(part, "k string, t int, move long").coalesce(1).write.mode("append").parquet(src)
+        checks.stream_state_check(stream_table(spark, src), ["k"], ["t"], "move", "balance >= 0", out, ckpt, start=0)
+    rows = {(r["batch_id"], r["k"]): (r["n_rows"], r["n_late"], r["balance"]) for r in spark.read.parquet(out).collect()}
+    assert rows == {(0, "a"): (2, 0, big + 1), (0, None): (2, 0, 12), (1, "a"): (1, 1, big), (1, "b"): (1, 0, 0), (1, None): (1, 0, 13),
+                    (2, "a"): (1, 0, 0), (2, "b"): (1, 0, 4)}
+
+
+def test_no_batch_reads_what_earlier_ones_wrote(spark, tmp_path, monkeypatch):
+    src, out, ckpt = _paths(tmp_path)
+    monkeypatch.setattr(sinks, "read_batches", None)
+    rows = spark.range(30).selectExpr("concat('f', id % 7) AS file", "'HIGH' AS level", "id")
+    for k in range(30):
+        rows.filter(F.col("id") == k).coalesce(1).write.mode("append").parquet(src)
+    loop.stream_feedback(stream_table(spark, src, files_per_trigger=1), out, ckpt)
+    loop.feedback_trigger(stream_table(spark, src, files_per_trigger=1), f"{out}2", f"{ckpt}2")
+    assert sorted(r["file"] for r in spark.read.parquet(out).collect()) == [f"f{k}" for k in range(7)]
+    decisions = spark.read.parquet(f"{out}2")
+    assert decisions.count() >= 30 and decisions.agg(F.max("n_feedback")).first()[0] == 30
 
 
 def test_feedback_is_taken_once(spark, tmp_path):
