@@ -26,8 +26,9 @@ TOP = 2000
 SCORE_SCALE = 2_000_000
 #: Words a worker counts at a time.
 CHUNK = 2_000_000
-#: Bit set of frequent phrases: fixed in size, it only spares rows; what it lets through is counted exactly.
-SET_BITS = 1 << 26
+#: Buckets that all pairs of words are counted in first, 65,536 to a shard. Their number is fixed, so they only
+#: spare rows; what they let through is counted exactly.
+SHARDS = 1024
 #: Parts a group is cut into before its first rows are chosen.
 SALTS = 64
 #: Ends of pieces become line feeds; inside a piece only space and tab are left between words.
@@ -51,94 +52,131 @@ class _Chunk:
                 self.codes.extend(map(number, words))
             self.codes.append(-1)
 
-    def grams(self, size: int, often: np.ndarray | None) -> Iterator[tuple[list[str], list[bytes], np.ndarray, np.ndarray]]:
-        """(groups, phrases, counts, hashes) of the phrases of `size` words whose parts one word shorter are `often`."""
-        total = sum(map(len, self.groups.values()))
-        words: list[bytes] = [b""] * total
-        of: list[str] = [""] * total
-        for group, own in self.groups.items():
-            for word, n in own.items():
-                words[n], of[n] = word, group
-        hashes = np.array([xxhash.xxh64_intdigest(w, len(g)) ^ xxhash.xxh64_intdigest(g) for w, g in zip(words, of, strict=True)], np.uint64)
+    def named(self) -> tuple[list[str], list[bytes]]:
+        """Group and text of each number."""
+        of = [g for g, own in self.groups.items() for _ in own]
+        order = np.argsort(np.array([n for own in self.groups.values() for n in own.values()], np.int64), kind="stable")
+        words = [w for own in self.groups.values() for w in own]
+        return [of[k] for k in order], [words[k] for k in order]
+
+    def pairs(self, of: list[str], words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(codes, places where a pair of words begins, their buckets)."""
         codes = np.frombuffer(self.codes, np.int64)
-        # At each place the number of the phrase that begins there, its hash, and a place where each phrase occurs.
-        start = np.flatnonzero(codes >= 0)
-        kind, which = codes[start], np.arange(total)
-        first = np.zeros(total, np.int64)
-        first[kind] = start
+        seed = {g: xxhash.xxh64_intdigest(g) for g in self.groups}
+        hashes = np.array([xxhash.xxh64_intdigest(w, seed[g]) for g, w in zip(of, words, strict=True)], np.uint64)
+        at = np.flatnonzero((codes[:-1] >= 0) & (codes[1:] >= 0))
+        with np.errstate(over="ignore"):
+            mixed = mix(hashes[codes[at]] * np.uint64(0x9E3779B97F4A7C15) + hashes[codes[at + 1]])
+        return codes, at, mixed
+
+    def grams(self, size: int, often: np.ndarray) -> Iterator[tuple[list[str], list[bytes], np.ndarray]]:
+        """(groups, phrases, counts) of the phrases of 2 to `size` words all of whose pairs are in `often` buckets."""
+        of, words = self.named()
+        codes, start, mixed = self.pairs(of, words)
+        bucket = mixed & np.uint64(len(often) * 8 - 1)
+        start = start[(often[(bucket >> np.uint64(3)).astype(np.int64)] >> (bucket & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
+        # Number of the phrase that begins at each place, first that of its word.
+        known = codes
         for k in range(2, size + 1):
+            if k > 2:  # a phrase of k words: one of k-1 words here and one at the next place
+                start = start[(known[start + 1] >= 0)]
+            _, first, kind, n = np.unique(known[start] * np.int64(len(codes) + 1) + known[start + 1], return_index=True, return_inverse=True, return_counts=True)
+            for low in range(0, len(first), 100_000):
+                places = start[first[low:low + 100_000]].tolist()
+                yield ([of[self.codes[p]] for p in places], [b" ".join([words[c] for c in self.codes[p:p + k]]) for p in places], n[low:low + 100_000])
             known = np.full(len(codes) + 1, -1, np.int64)
             known[start] = kind
-            # A phrase of k words: one of k-1 words here, one of k-1 words at the next place. Both have been seen, so neither is a word's end.
-            both = start[(known[start] >= 0) & (known[start + 1] >= 0)]
-            if k == size and often is not None:
-                mark = (hashes & np.uint64(64 * len(often) - 1)).astype(np.int64)
-                able = (often[mark >> 6] >> (mark & 63) & 1).astype(bool)
-                both = both[able[known[both]] & able[known[both + 1]]]
-            pairs = known[both] * np.int64(max(1, len(which))) + known[both + 1]
-            _, at, kind = np.unique(pairs, return_index=True, return_inverse=True)
-            start = both
-            first = both[at]
-            with np.errstate(over="ignore"):
-                hashes = mix(hashes[known[first]] * np.uint64(0x9E3779B97F4A7C15) + hashes[known[first + 1]])
-            which = np.arange(len(first))
-        counts = np.bincount(kind, minlength=len(which))
-        for low in range(0, len(which), 100_000):
-            places = first[low:low + 100_000].tolist()
-            yield ([of[self.codes[p]] for p in places], [b" ".join([words[c] for c in self.codes[p:p + size]]) for p in places],
-                   counts[low:low + 100_000], hashes[low:low + 100_000])
-
-
-def _counts(docs: DataFrame, size: int, often: np.ndarray | None) -> DataFrame:
-    """(group, phrase, n, hash) of all phrases of `size` words that may be frequent, over all whole texts."""
-    shared, most = docs.sparkSession.sparkContext.broadcast(often), CHUNK
+
+
+def _rows(groups: list[str | None], phrases: list[bytes | None], n: np.ndarray) -> list[pa.Array]:
+    return [pa.array(groups, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())]
+
+
+def _chunks(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[_Chunk]:
+    chunk = _Chunk()
+    for batch in batches:
+        for group, text in zip(*batch.columns, strict=True):
+            chunk.add(group.as_py(), text.as_py())
+            if len(chunk.codes) > most:
+                yield chunk
+                chunk = _Chunk()
+    yield chunk
+
+
+def _words_and_pairs(texts: DataFrame) -> DataFrame:
+    """Counts of words (group, phrase, n) and, in other rows, (shard, places): the buckets that pairs of words fall into."""
+    most, shards = CHUNK, SHARDS
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = _Chunk()
+        names = ["group", "phrase", "n", "shard", "places"]
+        for chunk in _chunks(batches, most):
+            of, words = chunk.named()
+            codes, _, mixed = chunk.pairs(of, words)
+            n = np.bincount(codes[codes >= 0], minlength=len(words))
+            yield pa.RecordBatch.from_arrays([*_rows(of, words, n), pa.nulls(len(of), pa.int32()), pa.nulls(len(of), pa.binary())], names)
+            bucket = np.sort((mixed & np.uint64((shards << 16) - 1)).astype(np.uint32))
+            cuts = np.searchsorted(bucket, np.arange(shards + 1, dtype=np.uint64) << np.uint64(16))
+            held = [k for k in range(shards) if cuts[k] < cuts[k + 1]]
+            places = [bucket[cuts[k]:cuts[k + 1]].astype(np.uint16).tobytes() for k in held]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(held), t) for t in (pa.string(), pa.string(), pa.int64())]
+                                             + [pa.array(held, pa.int32()), pa.array(places, pa.binary())], names)
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for groups, phrases, n, hashes in chunk.grams(size, shared.value):
-                yield pa.RecordBatch.from_arrays([pa.array(groups, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()),
-                                                  pa.array(hashes.view(np.int64))], ["group", "phrase", "n", "hash"])
+    return materialize(texts.mapInArrow(make, "group string, phrase string, n bigint, shard int, places binary"), "phrases-words")
 
-        for batch in batches:
-            for group, text in zip(*batch.columns, strict=True):
-                chunk.add(group.as_py(), text.as_py())
-                if len(chunk.codes) > most:
-                    yield from flush()
-                    chunk = _Chunk()
-        yield from flush()
 
-    return (docs.mapInArrow(make, "group string, phrase string, n bigint, hash bigint")
-            .groupBy("group", "phrase").agg(F.sum("n").alias("n"), F.first("hash").alias("hash")))
+def _often(pairs: DataFrame, least: int) -> np.ndarray:
+    """Bit set of the buckets that hold `least` pairs of words or more; SHARDS times 8 KB."""
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, n = None, np.zeros(1 << 16, np.int64)
+
+        def full() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([np.packbits(n >= least, bitorder="little").tobytes()])], ["shard", "bits"])
 
+        for batch in batches:
+            for k, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if k != shard:
+                    if shard is not None:
+                        yield full()
+                    shard, n = k, np.zeros(1 << 16, np.int64)
+                n += np.bincount(np.frombuffer(places, np.uint16), minlength=1 << 16)
+        if shard is not None:
+            yield full()
+
+    bits = np.zeros(SHARDS << 13, np.uint8)
+    dealt = pairs.select("shard", "places").repartition("shard").sortWithinPartitions("shard")
+    for r in dealt.mapInArrow(add, "shard int, bits binary").collect():
+        bits[r["shard"] << 13:(r["shard"] + 1) << 13] = np.frombuffer(r["bits"], np.uint8)
+    return bits
+
+
+def _longer_counts(texts: DataFrame, size: int, often: np.ndarray) -> DataFrame:
+    """(group, phrase, n) of all phrases of 2 to `size` words that may be frequent."""
+    shared, most = texts.sparkSession.sparkContext.broadcast(often), CHUNK
+
+    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches, most):
+            for found in chunk.grams(size, shared.value):
+                yield pa.RecordBatch.from_arrays(_rows(*found), ["group", "phrase", "n"])
 
-def _bits(frequent: DataFrame) -> np.ndarray:
-    """Bit set of the phrases' hashes, at most SET_BITS bits."""
-    place = F.col("hash").bitwiseAND(F.lit(SET_BITS - 1))
-    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
-    found = frequent.groupBy(F.shiftright(place, 6).cast("int").alias("at")).agg(F.bit_or(one).alias("bits")).toArrow()
-    words = np.zeros(SET_BITS // 64, np.int64)
-    words[found["at"].to_numpy()] = found["bits"].to_numpy()
-    return words
+    return texts.mapInArrow(make, "group string, phrase string, n bigint").groupBy("group", "phrase").agg(F.sum("n").alias("n"))
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", group_col: str = "lang", size: int = WORDS, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(group, words, f) of all phrases of 1 to `size` words that occur `least` times or more, and (group, n).
 
-    One scan of the texts for each length. A phrase can be frequent only if both its parts one word shorter are;
-    a bit set of those spares the others, and what passes is counted by its words.
+    Two scans of the texts. The first counts words, and pairs of words in a fixed number of buckets. A phrase can be
+    frequent only if the buckets of all its pairs are; the second scan counts what passes, by its words. A large corpus fills the
+    buckets: then more rows are counted, and the result is the same.
     """
     texts = docs.select(F.coalesce(F.col(group_col).cast("string"), F.lit("und")).alias("group"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    all_words = materialize(_counts(texts, 1, None), "phrases-words")
-    totals = materialize(all_words.groupBy("group").agg(F.sum("n").alias("n")), "phrases-totals")
-    found = [all_words.filter(F.col("n") >= least)]
-    for k in range(2, size + 1):
-        found.append(materialize(_counts(texts, k, _bits(found[-1])).filter(F.col("n") >= least), "phrases-frequent"))
-    phrases = found[0]
-    for more in found[1:]:
-        phrases = phrases.union(more)
-    return phrases.select("group", F.split("phrase", " ", -1).alias("words"), F.col("n").alias("f")), totals
+    first = _words_and_pairs(texts)
+    words = materialize(first.filter("shard is null").groupBy("group", "phrase").agg(F.sum("n").alias("n")), "phrases-counts")
+    often = _often(first.filter("shard is not null"), least)
+    longer = materialize(_longer_counts(texts, size, often).filter(F.col("n") >= least), "phrases-frequent")
+    phrases = words.filter(F.col("n") >= least).union(longer)
+    return (phrases.select("group", F.split("phrase", " ", -1).alias("words"), F.col("n").alias("f")),
+            materialize(words.groupBy("group").agg(F.sum("n").alias("n")), "phrases-totals"))
 
 
 def _lockstep(phrases: DataFrame, backwards: bool, size: int) -> DataFrame:
