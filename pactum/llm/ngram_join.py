@@ -103,21 +103,21 @@ def common_terms(texts: DataFrame, size: int) -> tuple[tuple[np.ndarray, np.ndar
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(id, hash, n, node, sig, keys, short): each set's first shingles in one order for all, rarest words first."""
+    """(id, hash, n, node, sig, keys): each set's first shingles in one order for all, rarest words first."""
     shared = docs.sparkSession.sparkContext.broadcast(common_terms(docs.select("text"), size))
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, common = shared.value
         seen: set[int] = set()
         for batch in batches:
-            ns, nodes, sigs, keys, shorts = [], [], [], [], []
+            ns, nodes, sigs, keys = [], [], [], []
             for shingles, rank, _ in shingle_sets(batch.column(1).to_pylist(), size, levels):
                 n = len(shingles)
                 node = node_of(shingles) if n else None
                 ns.append(n)
                 nodes.append(node)
                 if not n or node in seen:  # copies met by this worker need no keys of their own
-                    sigs.append(None), keys.append(None), shorts.append(0)
+                    sigs.append(None), keys.append(None)
                     continue
                 if len(seen) > MEMO:
                     seen.clear()
@@ -129,13 +129,12 @@ def _prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 ordered = shingles[np.argsort(rank, kind="stable")[:n - -(-percent * n // 100) + 1]]
                 sigs.append(bitmap(shingles))
                 keys.append(ordered.view(np.int64))
-                shorts.append(n - -(-2 * percent * n // (100 + percent)) + 1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sigs, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(shorts, pa.int32())], ["id", "hash", "n", "node", "sig", "keys", "short"])
+                 pa.array(keys, pa.list_(pa.int64()))], ["id", "hash", "n", "node", "sig", "keys"])
 
     id_type = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(make, f"id {id_type}, hash bigint, n bigint, node bigint, sig binary, keys array<bigint>, short int")
+    return docs.mapInArrow(make, f"id {id_type}, hash bigint, n bigint, node bigint, sig binary, keys array<bigint>")
 
 
 def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -158,13 +157,13 @@ def _tiles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of keys that several sets share, with the number of these sets."""
     for columns in _runs(batches):
         order = np.lexsort((columns[1], columns[0]))
-        key, node, n, lead = (c[order] for c in columns)
+        key, node, n, at = (c[order] for c in columns)
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-        key, node, n, lead = key[fresh], node[fresh], n[fresh], lead[fresh]
+        key, node, n, at = key[fresh], node[fresh], n[fresh], at[fresh]
         _, run, sizes = np.unique(key, return_inverse=True, return_counts=True)
         shared = sizes[run] > 1
-        yield pa.RecordBatch.from_arrays([pa.array(c[shared]) for c in (key, node, n, lead, sizes[run])], ["key", "node", "n", "lead", "sets"])
+        yield pa.RecordBatch.from_arrays([pa.array(c[shared]) for c in (key, node, n, at, sizes[run])], ["key", "node", "n", "at", "sets"])
 
 
 def _first_tries(percent: int):
@@ -177,7 +176,8 @@ def _first_tries(percent: int):
             found = []
             for by, heads in ((columns[2], 0), (-columns[4], HEADS)):
                 order = np.lexsort((columns[1], by, columns[0]))
-                key, node, n, lead = (c[order] for c in columns[:4])
+                key, node, n, place = (c[order] for c in columns[:4])
+                lead = place <= n - -(-2 * percent * n // (100 + percent))
                 begins = np.ones(len(key), bool)
                 begins[1:] = key[1:] != key[:-1]
                 here, first = np.arange(len(key)), np.maximum.accumulate(np.where(begins, np.arange(len(key)), 0))
@@ -194,25 +194,32 @@ def _first_tries(percent: int):
 
 def _across(percent: int):
     def across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of a tile that are not connected yet and whose sizes allow a link."""
-        for key, node, n, short, part in _runs(batches):
+        """Pairs of a tile that are not connected yet and whose sizes and places allow a link.
+
+        All sets have their shingles in one order. If this is the first shingle that two share, each has as many that the
+        other lacks as stand before it, which bounds what they share from above. If it is not, an earlier tile has tried them.
+        """
+        for key, node, n, at, part in _runs(batches):
             order = np.lexsort((node, n, key))
-            key, node, n, short, part = key[order], node[order], n[order], short[order], part[order]
+            key, node, n, at, part = key[order], node[order], n[order], at[order], part[order]
             edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
             low, high = np.minimum.reduceat(part, edges[:-1]), np.maximum.reduceat(part, edges[:-1])
             found, held = [], 0
             for i, j in zip(edges[:-1][low != high], edges[1:][low != high], strict=True):
                 for x in range(i, j - 1):
-                    if short[x]:
-                        top = np.searchsorted(n[x + 1:j], 100 * n[x] // percent, side="right") + x + 1
-                        other = np.flatnonzero(part[x + 1:top] != part[x]) + x + 1
-                        if len(other):
-                            pair = np.sort(np.stack([np.full(len(other), node[x]), node[other]]), axis=0)
-                            found.append(pair)
-                            held += len(other)
-                if held > CHUNK // 4:
-                    yield _pairs(found)
-                    found, held = [], 0
+                    # What stands before the shingle must leave room for a link with a set of its own size at least.
+                    if n[x] - at[x] < -(-2 * percent * n[x] // (100 + percent)):
+                        continue
+                    top = np.searchsorted(n[x + 1:j], 100 * n[x] // percent, side="right") + x + 1
+                    other = np.flatnonzero(part[x + 1:top] != part[x]) + x + 1
+                    least = -(-percent * (n[x] + n[other]) // (100 + percent))
+                    other = other[(n[x] - at[x] >= least) & (n[other] - at[other] >= least)]
+                    if len(other):
+                        found.append(np.sort(np.stack([np.full(len(other), node[x]), node[other]]), axis=0))
+                        held += len(other)
+                    if held > CHUNK // 4:
+                        yield _pairs(found)
+                        found, held = [], 0
             if found:
                 yield _pairs(found)
     return across
@@ -306,9 +313,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     is the least id reachable. Texts with equal sets are one class. In one order of shingles, rarest words
     first and common passages last, two linked sets share a shingle among their first few: the tiles.
     In a tile each class is first tried against the next smaller and those that share most; what these links connect is
-    one part, and then every pair of a tile in different parts whose sizes allow a link is tried. Bit sets
-    bound the overlap from above before sorted arrays are intersected exactly, so no link is lost and
-    a large group of copies needs few tries. Words fewer than `size` are one shingle; without words a
+    one part, and then every pair of a tile in different parts whose sizes and places in the order allow a link is tried. Bit sets
+    bound the overlap from above before sorted arrays are intersected exactly, so no link between parts is lost and
+    a large group of copies needs few tries; links inside a part that is connected already are not listed. Words fewer than `size` are one shingle; without words a
     document is its own component. Null ids stay (a component of null ids alone has a null id); rows
     equal in id and text give equal rows; an empty table gives none; other columns are ignored.
     """
@@ -324,19 +331,19 @@ def _links(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int)
     """The sets of the documents, the parts that the first tries connect, and the links found between parts."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("hash"))
     sets = materialize(_prefixes(texts, size, percent), "shingle-prefixes")
-    keyed = sets.filter("keys is not null").select("node", "n", "short", F.posexplode("keys").alias("at", "key"))
-    dealt = keyed.select("key", "node", "n", (F.col("at") < F.col("short")).alias("lead")).repartition("key").sortWithinPartitions("key")
-    tiles = materialize(dealt.mapInArrow(_tiles, "key bigint, node bigint, n bigint, lead boolean, sets bigint"), "shingle-tiles")
+    keyed = sets.filter("keys is not null").select("node", "n", F.posexplode("keys").alias("at", "key"))
+    dealt = keyed.select("key", "node", "n", F.col("at").cast("bigint").alias("at")).repartition("key").sortWithinPartitions("key")
+    tiles = materialize(dealt.mapInArrow(_tiles, "key bigint, node bigint, n bigint, at bigint, sets bigint"), "shingle-tiles")
     shares = materialize(tiles.groupBy("node").agg((F.sum("sets") / F.max("n")).alias("share")), "shingle-shares")
     signatures = materialize(sets.filter("sig is not null").join(shares, "node", "left_semi").select("node", "n", "sig").dropDuplicates(["node"]), "shingle-bits")
-    weighed = tiles.join(shares, "node").select("key", "node", "n", "lead", "share").repartition("key").sortWithinPartitions("key")
+    weighed = tiles.join(shares, "node").select("key", "node", "n", "at", "share").repartition("key").sortWithinPartitions("key")
     tried = materialize(weighed.mapInArrow(_first_tries(percent), "a bigint, b bigint").distinct(), "shingle-tried")
     near = _near(tried, signatures, percent, "shingle-near")
     members = materialize(_set_members(texts, _ends(near), size), "shingle-members")
     parts = materialize(components(_linking(near, members, percent, "shingle-links"), "shingle-parts"), "shingle-parts")
 
-    placed = tiles.select("key", "node", "n", "lead").join(parts, "node", "left").select(
-        "key", "node", "n", "lead", F.coalesce("component", "node").alias("part"))
+    placed = tiles.select("key", "node", "n", "at").join(parts, "node", "left").select(
+        "key", "node", "n", "at", F.coalesce("component", "node").alias("part"))
     rest = (placed.repartition("key").sortWithinPartitions("key").mapInArrow(_across(percent), "a bigint, b bigint")
             .distinct().join(tried, ["a", "b"], "left_anti"))
     near = _near(rest, signatures, percent, "shingle-near")

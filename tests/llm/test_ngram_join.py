@@ -2,10 +2,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pactum.llm.components import components
-from pactum.llm.ngram_join import bitmap, distinct_documents, ngram_components, overlap_bound
+from pactum.llm.ngram_join import _across, bitmap, distinct_documents, ngram_components, overlap_bound
 from pactum.llm.shingles import shingle_sets
 
 from .conftest import SCHEMA, odd_texts, prose, rows_of
@@ -81,6 +82,28 @@ def test_variants_that_link_only_through_their_source(spark):
     assert result == brute(rows)
 
 
+def test_many_variants_below_the_threshold_make_few_pairs(spark):
+    """Each of 300 variants links with no other; all share one template, so tiles are large."""
+    rng, source = random.Random(9), [f"w{k}" for k in range(170)]
+    texts = []
+    for k in range(300):
+        changed = list(source)
+        for at in rng.sample(range(3, 166), 7):
+            changed[at] = f"n{rng.randrange(10**7)}"
+        texts.append(" ".join(changed))
+    texts += [" ".join(source), " ".join([*source[:80], "one", *source[81:]])]
+    docs = spark.createDataFrame(rows_of(list(enumerate(texts))), SCHEMA).repartition(4)
+    assert got(ngram_components(docs)) == brute(list(enumerate(texts)))
+    keyed = [(key, node, len(s), at, node) for node, s in enumerate(sorted(shingles(t), key=lambda x: (not any(w.startswith(b"n") for w in x), x)) for t in texts)
+             for at, key in enumerate(hash(x) for x in s)]
+    columns = [np.array(c, np.int64) for c in zip(*sorted(keyed), strict=True)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "node", "n", "at", "part"])
+    pairs = {(a, b) for found in _across(85)([batch]) for a, b in zip(*(c.to_pylist() for c in found.columns), strict=True)}
+    sets = [shingles(t) for t in texts]
+    links = {(a, b) for b in range(len(sets)) for a in range(b) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert links <= pairs and len(pairs) < 3 * len(texts)
+
+
 def test_keeps_one_of_each_group(odd):
     kept = distinct_documents(odd)
     assert kept.columns == odd.columns
