@@ -18,8 +18,8 @@ def shingles(text, size=4):
     return frozenset(tuple(w[i:i + n]) for i in range(len(w) - n + 1)) if n else frozenset()
 
 
-def brute(texts, percent=85):
-    sets = [(i, shingles(t)) for i, t in texts]
+def brute(texts, percent=85, size=4):
+    sets = [(i, shingles(t, size)) for i, t in texts]
     root = list(range(len(sets)))
 
     def find(x):
