@@ -26,7 +26,7 @@ TOP = 2000
 SCORE_SCALE = 2_000_000
 #: Words a worker counts at a time.
 CHUNK = 2_000_000
-#: Buckets that all pairs of words are counted in first, 65,536 to a shard. Their number is fixed, so they only
+#: Buckets that all pairs and triples of words are counted in first, 65,536 to a shard. Their number is fixed, so they only
 #: spare rows; what they let through is counted exactly.
 SHARDS = 1024
 #: Parts a group is cut into before its first rows are chosen.
@@ -59,27 +59,40 @@ class _Chunk:
         words = [w for own in self.groups.values() for w in own]
         return [of[k] for k in order], [words[k] for k in order]
 
-    def pairs(self, of: list[str], words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(codes, places where a pair of words begins, their buckets)."""
+    def hashed(self, of: list[str], words: list[bytes], longest: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Codes, and for phrases of 2 to `longest` words (places where they begin, hashes)."""
         codes = np.frombuffer(self.codes, np.int64)
         seed = {g: xxhash.xxh64_intdigest(g) for g in self.groups}
         hashes = np.array([xxhash.xxh64_intdigest(w, seed[g]) for g, w in zip(of, words, strict=True)], np.uint64)
-        at = np.flatnonzero((codes[:-1] >= 0) & (codes[1:] >= 0))
-        with np.errstate(over="ignore"):
-            mixed = mix(hashes[codes[at]] * np.uint64(0x9E3779B97F4A7C15) + hashes[codes[at + 1]])
-        return codes, at, mixed
-
-    def grams(self, size: int, often: np.ndarray) -> Iterator[tuple[list[str], list[bytes], np.ndarray]]:
-        """(groups, phrases, counts) of the phrases of 2 to `size` words all of whose pairs are in `often` buckets."""
+        at = np.flatnonzero(codes >= 0)
+        mixed, found = hashes[codes[at]], []
+        for k in range(1, longest):
+            more = codes[at + k] >= 0  # a word is never the last code
+            at, mixed = at[more], mixed[more]
+            with np.errstate(over="ignore"):
+                mixed = mix(mixed * np.uint64(0x9E3779B97F4A7C15) + hashes[codes[at + k]])
+            found.append((at, mixed))
+        return codes, found
+
+    def grams(self, size: int, often: list[np.ndarray]) -> Iterator[tuple[list[str], list[bytes], np.ndarray]]:
+        """(groups, phrases, counts) of the phrases of 2 to `size` words that may be frequent.
+
+        `often` has the frequent buckets of pairs, triples and so on.
+        """
         of, words = self.named()
-        codes, start, mixed = self.pairs(of, words)
-        bucket = mixed & np.uint64(len(often) * 8 - 1)
-        start = start[(often[(bucket >> np.uint64(3)).astype(np.int64)] >> (bucket & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
+        codes, hashed = self.hashed(of, words, 1 + len(often))
+        able = []
+        for bits, (at, mixed) in zip(often, hashed, strict=True):
+            bucket = mixed & np.uint64(len(bits) * 8 - 1)
+            able.append(at[(bits[(bucket >> np.uint64(3)).astype(np.int64)] >> (bucket & np.uint64(7)).astype(np.uint8) & 1).astype(bool)])
+        start = able[0]
         # Number of the phrase that begins at each place, first that of its word.
         known = codes
         for k in range(2, size + 1):
             if k > 2:  # a phrase of k words: one of k-1 words here and one at the next place
-                start = start[(known[start + 1] >= 0)]
+                start = start[known[start + 1] >= 0]
+                if k < 2 + len(able):
+                    start = np.intersect1d(start, able[k - 2], assume_unique=True)
             _, first, kind, n = np.unique(known[start] * np.int64(len(codes) + 1) + known[start + 1], return_index=True, return_inverse=True, return_counts=True)
             for low in range(0, len(first), 100_000):
                 places = start[first[low:low + 100_000]].tolist()
@@ -103,54 +116,56 @@ def _chunks(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[_Chunk]:
     yield chunk
 
 
-def _words_and_pairs(texts: DataFrame) -> DataFrame:
-    """Counts of words (group, phrase, n) and, in other rows, (shard, places): the buckets that pairs of words fall into."""
+def _words_and_buckets(texts: DataFrame, longest: int) -> DataFrame:
+    """Counts of words (group, phrase, n) and, in other rows, (size, shard, places): the buckets that longer phrases fall into."""
     most, shards = CHUNK, SHARDS
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["group", "phrase", "n", "shard", "places"]
+        names = ["group", "phrase", "n", "size", "shard", "places"]
         for chunk in _chunks(batches, most):
             of, words = chunk.named()
-            codes, _, mixed = chunk.pairs(of, words)
+            codes, hashed = chunk.hashed(of, words, longest)
             n = np.bincount(codes[codes >= 0], minlength=len(words))
-            yield pa.RecordBatch.from_arrays([*_rows(of, words, n), pa.nulls(len(of), pa.int32()), pa.nulls(len(of), pa.binary())], names)
-            bucket = np.sort((mixed & np.uint64((shards << 16) - 1)).astype(np.uint32))
-            cuts = np.searchsorted(bucket, np.arange(shards + 1, dtype=np.uint64) << np.uint64(16))
-            held = [k for k in range(shards) if cuts[k] < cuts[k + 1]]
-            places = [bucket[cuts[k]:cuts[k + 1]].astype(np.uint16).tobytes() for k in held]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(held), t) for t in (pa.string(), pa.string(), pa.int64())]
-                                             + [pa.array(held, pa.int32()), pa.array(places, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([*_rows(of, words, n), *[pa.nulls(len(of), t) for t in (pa.int32(), pa.int32(), pa.binary())]], names)
+            for size, (_, mixed) in enumerate(hashed, 2):
+                bucket = np.sort((mixed & np.uint64((shards << 16) - 1)).astype(np.uint32))
+                cuts = np.searchsorted(bucket, np.arange(shards + 1, dtype=np.uint64) << np.uint64(16))
+                held = [k for k in range(shards) if cuts[k] < cuts[k + 1]]
+                places = [bucket[cuts[k]:cuts[k + 1]].astype(np.uint16).tobytes() for k in held]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(held), t) for t in (pa.string(), pa.string(), pa.int64())]
+                                                 + [pa.array([size] * len(held), pa.int32()), pa.array(held, pa.int32()), pa.array(places, pa.binary())], names)
 
-    return materialize(texts.mapInArrow(make, "group string, phrase string, n bigint, shard int, places binary"), "phrases-words")
+    return materialize(texts.mapInArrow(make, "group string, phrase string, n bigint, size int, shard int, places binary"), "phrases-words")
 
 
-def _often(pairs: DataFrame, least: int) -> np.ndarray:
-    """Bit set of the buckets that hold `least` pairs of words or more; SHARDS times 8 KB."""
+def _often(buckets: DataFrame, least: int, longest: int) -> list[np.ndarray]:
+    """For each size a bit set of the buckets that hold `least` phrases or more; SHARDS times 8 KB each."""
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, n = None, np.zeros(1 << 16, np.int64)
+        now, n = None, np.zeros(1 << 16, np.int64)
 
         def full() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([np.packbits(n >= least, bitorder="little").tobytes()])], ["shard", "bits"])
+            return pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()),
+                                               pa.array([np.packbits(n >= least, bitorder="little").tobytes()])], ["size", "shard", "bits"])
 
         for batch in batches:
-            for k, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if k != shard:
-                    if shard is not None:
+            for size, shard, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != (size, shard):
+                    if now is not None:
                         yield full()
-                    shard, n = k, np.zeros(1 << 16, np.int64)
+                    now, n = (size, shard), np.zeros(1 << 16, np.int64)
                 n += np.bincount(np.frombuffer(places, np.uint16), minlength=1 << 16)
-        if shard is not None:
+        if now is not None:
             yield full()
 
-    bits = np.zeros(SHARDS << 13, np.uint8)
-    dealt = pairs.select("shard", "places").repartition("shard").sortWithinPartitions("shard")
-    for r in dealt.mapInArrow(add, "shard int, bits binary").collect():
-        bits[r["shard"] << 13:(r["shard"] + 1) << 13] = np.frombuffer(r["bits"], np.uint8)
+    bits = [np.zeros(SHARDS << 13, np.uint8) for _ in range(2, longest + 1)]
+    dealt = buckets.select("size", "shard", "places").repartition("size", "shard").sortWithinPartitions("size", "shard")
+    for r in dealt.mapInArrow(add, "size int, shard int, bits binary").collect():
+        bits[r["size"] - 2][r["shard"] << 13:(r["shard"] + 1) << 13] = np.frombuffer(r["bits"], np.uint8)
     return bits
 
 
-def _longer_counts(texts: DataFrame, size: int, often: np.ndarray) -> DataFrame:
+def _longer_counts(texts: DataFrame, size: int, often: list[np.ndarray]) -> DataFrame:
     """(group, phrase, n) of all phrases of 2 to `size` words that may be frequent."""
     shared, most = texts.sparkSession.sparkContext.broadcast(often), CHUNK
 
@@ -165,14 +180,15 @@ def _longer_counts(texts: DataFrame, size: int, often: np.ndarray) -> DataFrame:
 def frequent_phrases(docs: DataFrame, text_col: str = "text", group_col: str = "lang", size: int = WORDS, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(group, words, f) of all phrases of 1 to `size` words that occur `least` times or more, and (group, n).
 
-    Two scans of the texts. The first counts words, and pairs of words in a fixed number of buckets. A phrase can be
-    frequent only if the buckets of all its pairs are; the second scan counts what passes, by its words. A large corpus fills the
+    Two scans of the texts. The first counts words, and pairs and triples of words in a fixed number of buckets. A phrase can be
+    frequent only if the buckets of all its pairs and triples are; the second scan counts what passes, by its words. A large corpus fills the
     buckets: then more rows are counted, and the result is the same.
     """
     texts = docs.select(F.coalesce(F.col(group_col).cast("string"), F.lit("und")).alias("group"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    first = _words_and_pairs(texts)
+    longest = min(size, 3)
+    first = _words_and_buckets(texts, longest)
     words = materialize(first.filter("shard is null").groupBy("group", "phrase").agg(F.sum("n").alias("n")), "phrases-counts")
-    often = _often(first.filter("shard is not null"), least)
+    often = _often(first.filter("shard is not null"), least, longest)
     longer = materialize(_longer_counts(texts, size, often).filter(F.col("n") >= least), "phrases-frequent")
     phrases = words.filter(F.col("n") >= least).union(longer)
     return (phrases.select("group", F.split("phrase", " ", -1).alias("words"), F.col("n").alias("f")),

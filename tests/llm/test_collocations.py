@@ -65,7 +65,7 @@ def test_passages_match_brute_force(spark, monkeypatch, chunk, size, top):
 
 
 def test_full_buckets_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(c, "_often", lambda *_: np.full(1, 255, np.uint8))
+    monkeypatch.setattr(c, "_often", lambda *_: [np.full(1, 255, np.uint8)] * 2)
     rows = [(i, t) for i, t in enumerate(passages(8, 150))]
     df = spark.createDataFrame(rows_of(rows), SCHEMA).repartition(2)
     assert got(collocations(df)) == brute(own(rows))
