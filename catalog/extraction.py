@@ -147,6 +147,28 @@ B9 = f"""WITH {CODE_CTE} SELECT path, name, class, params, requires, ensures, in
  CAST(line AS INT) AS line, n_loc FROM described"""
 
 
+# Every eighth source ends in one of six tails, of which the last two are sound.
+_TAILS = ("x = )(", "x = (]", "y = 'open", 'z = [1, {"a": (2, 3])}', "s = ')('  # ((", "t = {'k': [(1), \"]\"]}")
+_TAIL_SQL = ("CASE WHEN p_partkey % 8 = 3 THEN concat(chr(10), CASE CAST(floor(p_partkey / 8) AS BIGINT) % 6 "
+             + " ".join(f"WHEN {i} THEN '{t.replace(chr(39), chr(39) * 2)}'" for i, t in enumerate(_TAILS)) + " END) ELSE '' END")
+_FAULT_SQL = """CASE WHEN p_partkey % 8 = 3 AND CAST(floor(p_partkey / 8) AS BIGINT) % 6 = 2 THEN 'stray quote'
+ WHEN p_partkey % 8 = 3 AND CAST(floor(p_partkey / 8) AS BIGINT) % 6 IN (0, 1, 3) THEN 'unpaired bracket' END"""
+
+
+def b10_quarantine(spark, d):
+    """Sources of which some have a broken tail: the broken ones with their fault, the others with the number of their functions."""
+    parts = read(spark, d, "part").select("p_partkey", F.expr(f"concat({CODE_SQL}, {_TAIL_SQL})").alias("content"))
+    corpus = A.corpus_from_table(parts, "p_partkey", "content", "parts")
+    described = B.describe_units(corpus).groupBy("path").agg(F.count("*").alias("n_units")).withColumn("fault", F.lit("none"))
+    aside = B.quarantine(corpus).select("path", F.lit(0).cast("bigint").alias("n_units"), "fault")
+    return described.unionByName(aside)
+
+
+B10 = f"""WITH {CODE_CTE}, f AS (SELECT CAST(p_partkey AS VARCHAR) AS path, {_FAULT_SQL} AS fault FROM part)
+SELECT f.path, CASE WHEN fault IS NULL THEN (SELECT count(*) FROM described x WHERE x.path = f.path) ELSE 0 END AS n_units,
+ coalesce(fault, 'none') AS fault FROM f"""
+
+
 def c1_drop_special_units(spark, d):
     return C.drop_special_units(B.find_units(code_corpus(spark, d))).select("path", "name", "line")
 
@@ -219,6 +241,7 @@ QUERIES = {
     "b7_clauses_above": (b7_clauses_above, B7),
     "b8_class_invariants": (b8_class_invariants, B8),
     "b9_describe_units": (b9_describe_units, B9),
+    "b10_quarantine": (b10_quarantine, B10),
     "c1_drop_special_units": (c1_drop_special_units, C1),
     "c2_contract_features": (c2_contract_features, C2),
     "c3_feature_columns": (c3_feature_columns, C3),

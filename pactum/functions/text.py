@@ -69,6 +69,26 @@ def bracket_balance(masked: Column) -> Column:
     return opened - closed
 
 
+def scan_fault(masked: Column) -> Column:
+    """Why masked text cannot be read as source: 'stray quote', 'unpaired bracket' or NULL.
+
+    Brackets must close in the order and kind they open in. Pairs with nothing between them are taken
+    out first, so the fold over what is left, with the closers still awaited as its state, is short.
+    """
+    left = F.regexp_replace(masked, r"[^()\[\]{}]+", "")
+    for _ in range(4):
+        left = F.regexp_replace(left, r"\(\)|\[\]|\{\}", "")
+
+    def step(awaited: Column, bracket: Column) -> Column:
+        return (F.when(awaited == "!", awaited)
+                .when(bracket.isin("(", "[", "{"), F.concat(F.translate(bracket, "([{", ")]}"), awaited))
+                .when(awaited.startswith(bracket), F.substring(awaited, 2, 2147483647))
+                .otherwise("!"))
+
+    awaited = F.aggregate(F.regexp_extract_all(left, F.lit(r"[\s\S]"), F.lit(0)), F.lit(""), step)
+    return F.when(masked.contains(STRAY_QUOTE), "stray quote").when(awaited != "", "unpaired bracket")
+
+
 def indent_width(masked: Column) -> Column:
     lead = F.regexp_extract(masked, r"^[ \t\f]*", 0)
     return F.length(F.replace(lead, F.lit("\t"), F.lit(" " * 8)))

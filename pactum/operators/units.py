@@ -9,6 +9,7 @@ docstrings, brackets in strings and headers over several lines do not confuse it
 clauses are read off the raw lines. Not handled, as they need a full grammar:
 strings nested in f-string replacement fields, and several statements after
 `def f(): ...` on one line. `path` must be unique in the corpus.
+A file that cannot be read (see `quarantine`) is set aside and the job goes on.
 """
 
 from __future__ import annotations
@@ -67,11 +68,13 @@ def structure(corpus: DataFrame) -> DataFrame:
     An item is a statement at module level or directly in the body of a
     module-level class. `item` is its first line; `unit` / `holder` are the name
     and class when the item is a function; `occupied` marks lines an item's
-    extent can end on.
+    extent can end on. Files that `quarantine` sets aside have no lines here.
     """
-    both = _by_path(corpus).select("path", F.posexplode(F.arrays_zip(
-        text.split_lines(F.col("content")).alias("raw"),
-        text.split_lines(text.mask_literals(F.col("content"))).alias("masked"))).alias("i", "l"))
+    # The array of one binds the masked text, so it is made once for the verdict and the lines.
+    sound = F.transform(F.array(text.mask_literals(F.col("content"))), lambda masked: F.when(
+        text.scan_fault(masked).isNull(),
+        F.arrays_zip(text.split_lines(F.col("content")).alias("raw"), text.split_lines(masked).alias("masked"))))
+    both = _by_path(corpus).select("path", F.posexplode(F.element_at(sound, 1)).alias("i", "l"))
     stripped = text.strip(F.col("raw"))
     lines = both.select(
         "path", (F.col("i") + 1).alias("line"), F.col("l.raw").alias("raw"), F.col("l.masked").alias("masked")
@@ -248,9 +251,7 @@ def describe_units(corpus: DataFrame, invariant_scope: str = "above") -> DataFra
 
 
 def quarantine(corpus: DataFrame) -> DataFrame:
-    """Files whose scan is inconsistent: a stray quote or brackets that do not pair up."""
-    masked = text.mask_literals(F.col("content"))
-    checked = corpus.withColumn("_masked", masked)
-    flat = F.regexp_replace(F.col("_masked"), r"[^(\[{)\]}]", "")
-    return checked.filter(
-        F.col("_masked").contains(text.STRAY_QUOTE) | (text.bracket_balance(flat) != 0)).drop("_masked")
+    """Files that cannot be read as source, with the reason in `fault`: a stray quote, or brackets that
+    do not pair up in order and kind. Units, spans and clauses of functions leave these files out."""
+    faults = corpus.withColumn("fault", text.scan_fault(text.mask_literals(F.col("content"))))
+    return faults.filter(F.col("fault").isNotNull())

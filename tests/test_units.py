@@ -170,6 +170,36 @@ def test_inconsistent_files_are_set_aside(spark):
     assert {r["path"] for r in bad} == {"f1.py", "f2.py"}
 
 
+def test_brackets_pair_in_order_and_kind(spark):
+    rng, closer = random.Random(8), {"(": ")", "[": "]", "{": "}"}
+
+    def sound(brackets):
+        awaited = []
+        for b in brackets:
+            if b in closer:
+                awaited.append(closer[b])
+            elif not awaited or awaited.pop() != b:
+                return False
+        return not awaited
+
+    def nested(depth):
+        return "".join(o + nested(depth - 1) + closer[o] for o in rng.choices("([{", k=rng.randint(0, 2))) if depth else ""
+
+    texts = ["".join(rng.choices("()[]{}", k=rng.randint(0, 6))) for _ in range(300)] + [nested(7) for _ in range(60)]
+    texts += ["(" * 500 + ")" * 500, "([" * 300 + ")]" * 300, "x = )(", "x = (]", ""]
+    got = {r["path"]: r["fault"] for r in quarantine(corpus(spark, *[" a ".join(t) + "\n" for t in texts])).collect()}
+    want = {f"f{i}.py": "unpaired bracket" for i, t in enumerate(texts) if not sound(t)}
+    assert got == want and 100 < len(want) < len(texts) - 50
+
+
+def test_only_sound_files_are_described(spark):
+    good = "def f(a):\n    return (a)\n"
+    df = corpus(spark, good, good + "x = )(\n", good + "x = (]\n", good + 'y = "open\n', good + "s = ')('  # ((\n", "")
+    assert {r["path"] for r in describe_units(df).collect()} == {"f0.py", "f4.py"}
+    assert {r["path"]: r["fault"] for r in quarantine(df).collect()} == {
+        "f1.py": "unpaired bracket", "f2.py": "unpaired bracket", "f3.py": "stray quote"}
+
+
 def test_extraction_needs_one_exchange(spark):
     plan = describe_units(corpus(spark, "def f():\n    pass\n"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
