@@ -43,6 +43,14 @@ def hash60(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(joined.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
+def unused(name: str, columns: Sequence[str]) -> str:
+    """The name, made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def repeat_copies(df: DataFrame, copies: str) -> DataFrame:
     """Give back as many rows as were folded into one."""
     return df.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).drop(copies)

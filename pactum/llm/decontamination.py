@@ -124,12 +124,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     if remove == "documents":
         return docs.join(found, same, "left_anti")
     joined = docs.join(found, same, "left")
-    raw = F.regexp_extract_all(text_col, F.lit(RAW_WORD), F.lit(0))
-    gaps = F.split(text_col, RAW_WORD, -1)
-    inside = lambda i: F.exists("hit_spans", lambda s: (i + 1 >= s["pos"]) & (i + 1 < s["pos"] + s["len"]))
+    raw = F.regexp_extract_all(docs[text_col], F.lit(RAW_WORD), F.lit(0))
+    gaps = F.split(docs[text_col], RAW_WORD, -1)
+    inside = lambda i: F.exists(found["hit_spans"], lambda s: (i + 1 >= s["pos"]) & (i + 1 < s["pos"] + s["len"]))
     kept = F.transform(raw, lambda w, i: F.when(inside(i), F.lit("")).otherwise(w))
     cut = F.array_join(F.concat(F.slice(gaps, 1, 1), F.zip_with(kept, F.slice(gaps, F.lit(2), F.greatest(F.size(gaps) - 1, F.lit(0))), lambda w, g: F.concat(w, g))), "")
-    return joined.select(*[F.when(F.col("hit_id").isNotNull() | F.col("hit_hash").isNotNull(), cut).otherwise(docs[text_col]).alias(c)
+    return joined.select(*[F.when(found["hit_id"].isNotNull() | found["hit_hash"].isNotNull(), cut).otherwise(docs[text_col]).alias(c)
                            if c == text_col else docs[c] for c in docs.columns])
 
 

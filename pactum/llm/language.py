@@ -15,7 +15,7 @@ from pactum.plans.session import materialize
 
 #: Byte n-grams of lengths 1 to SPECTRUM, present or not, in 2 ** BITS places.
 SPECTRUM, BITS = 3, 14
-#: Bounds of the fit: labelled rows in all (at least LEAST for each language) and landmarks.
+#: Bounds of the fit: labelled rows in all (at least LEAST for each language) and landmarks (at least one for each language).
 SAMPLE, LEAST, LANDMARKS = 4_000, 16, 256
 RIDGE = 1e-2
 #: Languages whose counts are broadcast; the counts of more are joined as usual.
@@ -53,7 +53,8 @@ def kernel(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def fit(x: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel:
-    """One-versus-rest ridge regression in the Nystroem space of landmarks taken in turn from each language.
+    """One-versus-rest ridge regression in the Nystroem space of landmarks taken in turn from each language,
+    so that each has one at least.
 
     A score is k(x, landmarks) times a matrix; as the kernel is a product over a norm, that matrix is
     multiplied with the landmarks once, and a batch of texts costs one matrix product.
@@ -63,7 +64,7 @@ def fit(x: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridge: flo
     rank = np.zeros(len(where), np.int64)
     for k in range(len(languages)):
         rank[where == k] = np.arange((where == k).sum())
-    marks = x[np.lexsort((where, rank))[:landmarks]].astype(np.float32)
+    marks = x[np.lexsort((where, rank))[:max(landmarks, len(languages))]].astype(np.float32)
     values, vectors = np.linalg.eigh(kernel(marks, marks).astype(np.float64))
     keep = values > 1e-8 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])

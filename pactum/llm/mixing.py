@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactum.llm.common import hash60, nested_cuts, repeat_copies, table, with_ordinal, word_count
+from pactum.llm.common import hash60, nested_cuts, repeat_copies, table, unused, with_ordinal, word_count
 from pactum.plans.session import materialize
 
 PERIOD = (1, 2, 3)
@@ -70,6 +70,9 @@ def _plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, size: Co
     goals = shares.select("source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("goal"))
     cuts = nested_cuts(narrow, ["source"], "place", "size", goals, "mix-cuts")
     plan = shares.join(cuts.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    # At the cap nothing is left to take, and empty documents, which weigh nothing, are not taken once more either.
+    most = float(targets.get("most_repeats", MOST_REPEATS))
+    plan = plan.withColumn("cut", F.when(F.col("whole") >= most, F.lit(0).cast("bigint")).otherwise(F.col("cut")))
     return narrow, plan.withColumnRenamed("source", "s")
 
 
@@ -97,8 +100,9 @@ def mixed_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     place = hash60(docs[id_col], docs[source_col], docs[text_col])
     times = plan["mix_whole"] + (place < plan["mix_cut"]).cast("bigint")
     joined = docs.join(plan, docs[source_col].cast("string").eqNullSafe(plan["mix_source"]))
-    taken = joined.select(*[docs[c] for c in docs.columns], times.alias("mix_times")).filter("mix_times > 0")
-    return repeat_copies(taken, "mix_times")
+    copies = unused("mix_times", docs.columns)
+    taken = joined.select(*[docs[c] for c in docs.columns], times.alias(copies)).filter(F.col(copies) > 0)
+    return repeat_copies(taken, copies)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pactum.llm.common import BLANK, nested_cuts, table
+from pactum.llm.common import BLANK, nested_cuts, table, unused
 from pactum.plans.session import materialize
 
 #: A place on an axis: 20 bits of the coordinate, then 40 bits of the text's hash to split ties.
@@ -123,9 +123,10 @@ def sharded_documents(docs: DataFrame, shards: int, id_col: str = "doc_id", text
     number = F.lit(1) if once else None
     named = placed.select(F.col(id_col).alias("p_id"), F.col("tie").alias("p_tie"), "shard", "slot")
     named = named.withColumn("p_turn", number if once else twin("p_id", "p_tie"))
-    marked = docs.withColumn("p_key", tie)
-    marked = marked.withColumn("p_at", number if once else twin(id_col, "p_key"))
-    same = marked[id_col].eqNullSafe(named["p_id"]) & (marked["p_key"] == named["p_tie"]) & (marked["p_at"] == named["p_turn"])
+    key, at = unused("p_key", docs.columns), unused("p_at", docs.columns)
+    marked = docs.withColumn(key, tie)
+    marked = marked.withColumn(at, number if once else twin(id_col, key))
+    same = marked[id_col].eqNullSafe(named["p_id"]) & (marked[key] == named["p_tie"]) & (marked[at] == named["p_turn"])
     return marked.join(named, same).select(*[marked[c] for c in docs.columns], "shard", "slot")
 
 

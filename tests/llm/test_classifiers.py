@@ -1,9 +1,11 @@
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from pactum.llm.common import fold, table
 from pactum.llm.language import fit as fit_language
-from pactum.llm.language import identify_languages, kernel, presence, with_known_language
+from pactum.llm.language import identify_languages, kernel, predict, presence, with_known_language
 from pactum.llm.quality import FEATURES, fit, quality_scores, statistics
 
 from .conftest import odd_texts
@@ -71,3 +73,34 @@ def test_trees_split_and_walk():
             total += leaf[at - len(feature)]
         assert abs(total - forest.margins(row[None, :])[0]) < 1e-9
     assert len(statistics(None)) == len(FEATURES) == len(statistics("a | B\nc" * 1000)) and statistics(None) == statistics("")
+
+
+def _spoken(language, seed, words):
+    """A text over an alphabet of the language's own three syllables."""
+    own = random.Random(f"language {language}")
+    syllables = ["".join(own.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(3)]
+    rng = random.Random(seed)
+    return " ".join(rng.choice(syllables) + rng.choice(syllables) for _ in range(words))
+
+
+def test_every_language_has_a_landmark():
+    names = [f"l{i:03}" for i in range(300)]
+    learned = [(_spoken(n, f"{n} {k}", 40), n) for n in names for k in range(2)]
+    model = fit_language(np.stack([presence(t) for t, _ in learned]), [n for _, n in learned])
+    assert model.languages == names
+    found, _ = predict(model, [_spoken(n, f"{n} new", 40) for n in names])
+    assert found == names
+
+
+def test_fit_equals_plain_kernel_ridge_regression():
+    names = [f"l{i}" for i in range(3)]
+    labels = [n for i, n in enumerate(names) for _ in range(10 + 5 * i)]
+    x = np.stack([presence(_spoken(n, f"{n} {k}", 12)) for k, n in enumerate(labels)])
+    model = fit_language(x, labels, landmarks=len(x), ridge=0.5)
+    gram = kernel(x.astype(float), x.astype(float))
+    counts = np.array([labels.count(n) for n in labels])
+    targets = np.where(np.array(labels)[:, None] == np.array(names), 1.0, -1.0)
+    new = np.stack([presence(_spoken(names[k % 3], f"other {k}", 12)) for k in range(20)]).astype(float)
+    want = kernel(new, x.astype(float)) @ np.linalg.solve(gram + 0.5 / len(x) * np.diag(counts), targets)
+    got = (new @ model.weights) / np.sqrt(new.sum(1))[:, None]
+    assert np.abs(got - want).max() < 0.01

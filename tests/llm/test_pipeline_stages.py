@@ -1,9 +1,13 @@
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from pactum.llm.decontamination import decontaminate
 from pactum.llm.mixing import mix, mixed_copies
 from pactum.llm.ngram_join import distinct_documents
+from pactum.llm.sharding import sharded_documents
 
 from .conftest import SCHEMA, prose, rows_of
 from .test_mixing import water_fill
@@ -82,3 +86,32 @@ def test_distinct_documents_decide_by_id_and_text(spark):
         assert sum(got.pop(x, 0) for x in group) == 1
     assert got == Counter([(1, a), (None, alone[0]), (None, alone[1]), (2, b), (3, alone[2]), (4, alone[3]), (None, alone[4]),
                            (5, alone[5]), (None, None), (None, None), (6, "")])
+
+
+def test_no_document_is_taken_more_than_three_times(spark):
+    rows = [(i, "word", "en", "small") for i in range(3)] + [(10 + i, ["", None][i % 2], "en", "small") for i in range(50)]
+    rows += [(100 + i, prose(i, 80), "en", "large") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    small = [r for r in mix(docs).collect() if r["source"] == "small"]
+    assert {r["target"] for r in small} == {9.0} and {r["times"] for r in small} == {3}
+    copies = Counter(r["doc_id"] for r in mixed_copies(docs).collect() if r["source"] == "small")
+    assert set(copies.values()) == {3} and len(copies) == 53
+
+
+def test_columns_named_like_those_a_stage_adds(odd):
+    names = ["mix_times", "mix_times_", "mix_source", "mix_whole", "mix_cut", "p_key", "P_AT", "p_id", "p_tie", "p_turn",
+             "hit_id", "hit_hash", "hit_spans", "seen_id", "gone_hash", "goes"]
+    clash = odd
+    for n in names:
+        clash = clash.withColumn(n, F.concat(F.lit(n), F.coalesce(F.col("text"), F.lit(""))))
+    bench = odd.filter("doc_id in (8, 10)").select(F.col("doc_id").alias("item_id"), "text")
+    stages = [lambda d: mixed_copies(d), lambda d: sharded_documents(d, 4),
+              lambda d: decontaminate(d, bench, remove="spans"), lambda d: decontaminate(d, bench)]
+    for k, stage in enumerate(stages):
+        out, plain = stage(clash), stage(odd)
+        assert out.columns == clash.columns + plain.columns[len(odd.columns):]
+        rows = [r.asDict() for r in out.collect()]
+        assert Counter(tuple(r[c] for c in plain.columns if c not in ("shard", "slot")) for r in rows) == Counter(
+            tuple(r[c] for c in plain.columns if c not in ("shard", "slot")) for r in plain.collect())
+        if k != 2:  # span removal changes the text
+            assert all(r[n] == n + (r["text"] or "") for r in rows for n in names)
