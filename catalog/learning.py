@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from catalog.shared import (DOC_CTE, FEATURES, INTERCEPT_A, POOL_SQL, POOLED_CTE, PRED_CTE, SCORE_A_SQL, WEIGHTS_A, documents,
-                            key_hash_sql, labelled, pooled, predictions, read, scored)
+from catalog.shared import (CODE_CTE, DOC_CTE, FEATURES, INTERCEPT_A, POOL_SQL, POOLED_CTE, PRED_CTE, SCORE_A_SQL, WEIGHTS_A, code_corpus,
+                            documents, key_hash_sql, labelled, pooled, predictions, read, scored, split_sql)
 from pactum.functions.metrics import linear_score
 from pactum.operators import learn as L
 from pactum.operators import pools as P
 from pactum.operators import promotion as G
-from pactum.operators.features import assembler, text_features
+from pactum.operators.contracts import Contract, violating_rows
+from pactum.operators.features import assembler, contract_features, drop_special_units, text_features
+from pactum.operators.units import describe_units
+from pactum.plans.cycle import run_loop
 from pactum.plans.session import materialize, run_dir
 from pactum.policy import Family, Policy
 from pactum.sources.models import load_model, save_model
@@ -124,13 +127,6 @@ def _fit(spark, d, family):
     return L.train_candidate(split, family, BINARY, {f.name: f.params for f in SATURATED.families}[family])
 
 
-def full_fit(spark, d, family):
-    """The shipped policy on all features and quality labels, for timing: 200 trees or 1000 iterations."""
-    split = L.split_once(labelled(spark, d).filter("pool = 'train'"), "doc_id", FEATURES, Policy())
-    params = {f.name: f.params for f in Policy().families}[family]
-    return L.recall_by(L.train_candidate(split, family, FEATURES, params).validation)
-
-
 BINARY_CTE = f"""k AS (SELECT doc_id, {POOL_SQL} AS pool,
   CAST(len(list_filter(regexp_split_to_array(text, '[ \\t\\r\\n\\f]+'), lambda x: x <> '')) > 200 AS INT) AS is_long FROM documents),
 b AS (SELECT *, CASE WHEN doc_id % 4 = 0 THEN 1 - is_long ELSE is_long END AS label FROM k),
@@ -255,6 +251,39 @@ def a5_models(spark, d):
 A5 = f"WITH {BINARY_CTE} SELECT doc_id, label, prediction, round(score, 4) AS score FROM l JOIN fit USING (is_long)"
 
 
+# -- the shipped policy on all features ---------------------------------------
+
+def _full_candidate(spark, d, family):
+    split = L.split_once(labelled(spark, d).filter("pool = 'train'"), "doc_id", FEATURES, Policy())
+    return L.train_candidate(split, family, FEATURES, {f.name: f.params for f in Policy().families}[family])
+
+
+def full_fit(spark, d, family):
+    """The shipped policy on all features and quality labels, for timing: 200 trees or 1000 iterations."""
+    return L.recall_by(_full_candidate(spark, d, family).validation)
+
+
+def f11_forest_audit(spark, d):
+    """The shipped 200 trees on all features and quality labels: do the node table's leaves give each held-out row its score?"""
+    c = _full_candidate(spark, d, "forest")
+    rows = materialize(c.validation, "validation")
+    walked = L.walk_forest(materialize(L.forest_nodes(c.model), "nodes"), rows, ["doc_id"])
+    return rows.join(walked.withColumnRenamed("score", "walked"), "doc_id").select(
+        "doc_id", "label", F.col("n_trees").cast("int").alias("n_trees"), (F.abs(F.col("score") - F.col("walked")) < 1e-9).alias("same"))
+
+
+F11 = f"""WITH l AS (SELECT doc_id, CASE WHEN quality = 0 THEN 1 ELSE 0 END AS label FROM documents JOIN labels USING (doc_id)
+  WHERE {POOL_SQL} = 'train'),
+{split_sql("l", ["doc_id"])}
+SELECT doc_id, label, 200 AS n_trees, true AS same FROM split WHERE NOT is_train"""
+
+
+def f12_full_policy(spark, d):
+    """Held-out counts and recall of both shipped families on all features; the fits are Spark ML's, so SQL cannot restate them."""
+    parts = [full_fit(spark, d, f.name).withColumn("name", F.lit(f.name)) for f in Policy().families]
+    return parts[0].unionByName(parts[1])
+
+
 # -- promotion ----------------------------------------------------------------
 
 def _evaluated(spark, d):
@@ -359,6 +388,80 @@ G8 = """SELECT CAST(user_id AS VARCHAR) AS case_id, row_number() OVER (PARTITION
  CASE WHEN event_type = 'error' THEN 'failed' ELSE 'done' END AS outcome FROM events"""
 
 
+# -- the loop -----------------------------------------------------------------
+
+# Files of parts: a tenth train, a tenth test, and the rest arrive unseen. A function is risky by a contract on its
+# comments; in files that arrive later most others are risky as well, so a second turn finds what the first could not.
+LOOP_FEATURES = ["ensures_has_arith"]
+LOOP_POOL_SQL = "CASE CAST(path AS BIGINT) % 10 WHEN 0 THEN 'train' WHEN 1 THEN 'test' ELSE 'unseen' END"
+COMMENTED = Contract("commented", "ensures_has_arith", ensures=[
+    "result = 0 OR CAST(path AS BIGINT) % 9 = 0", "result = 1 OR CAST(path AS BIGINT) % 10 = 0 OR CAST(path AS BIGINT) % 7 = 0"])
+
+
+def _loop(spark, d):
+    """The folder of the registry and the log, and the turns, of the loop over the derived sources."""
+    units = materialize(contract_features(drop_special_units(describe_units(code_corpus(spark, d)))), "units")
+    verdicts = violating_rows(units, [COMMENTED], ["path", "line"]).select("path", "line", F.lit(1).alias("label"))
+    pools = units.join(verdicts, ["path", "line"], "left").fillna(0, ["label"]).withColumn("pool", F.expr(LOOP_POOL_SQL))
+    pools = materialize(pools.select("path", "line", *LOOP_FEATURES, "label", "pool"), "pools")
+    pool = {name: pools.filter(F.col("pool") == name).drop("pool") for name in ("train", "test", "unseen")}
+    root = run_dir(spark, "loop")
+    return root, run_loop(pool["train"], pool["train"].limit(0), pool["test"], pool["unseen"], LOOP_FEATURES, root, ["path", "line"], "path", SATURATED)
+
+
+LOOP_TURNS = 4  # of the SQL twin; its last turn must be empty, or the twin would lack one
+
+
+def _turn_sql(k: int) -> str:
+    before = "(SELECT path FROM new0)" if k == 1 else "(" + " UNION ALL ".join(f"SELECT path FROM new{j}" for j in range(1, k)) + ")"
+    return f"""pool{k} AS (SELECT path, line, x, label FROM u WHERE pool = 'train' OR path IN {before}),
+{split_sql(f"pool{k}", ["path", "line"], str(k), ["x"])},
+fit{k} AS (SELECT x, avg(label) AS score, CAST(avg(label) > 0.5 AS INT) AS prediction FROM split{k} WHERE is_train GROUP BY 1),
+test{k} AS (SELECT count(*) FILTER (label = 1 AND prediction = 1) / count(*) FILTER (label = 1) AS recall FROM u JOIN fit{k} USING (x) WHERE pool = 'test'),
+scores{k} AS (SELECT path, score >= 0.6 AS high FROM u JOIN fit{k} USING (x) WHERE pool = 'unseen'),
+new{k} AS (SELECT DISTINCT path FROM scores{k} WHERE high AND path NOT IN {before}),
+turn{k} AS (SELECT {k} AS turn, (SELECT count(*) FROM split{k}) AS n_pool, recall, CASE WHEN recall < 0.3 THEN 'blocked' ELSE 'promoted' END AS decision,
+ (SELECT count(*) FROM scores{k}) AS n_scored, (SELECT count(*) FROM scores{k} WHERE high) AS n_high, (SELECT count(*) FROM new{k}) AS n_added
+ FROM test{k} {f"WHERE EXISTS (SELECT 1 FROM new{k - 1})" if k > 1 else ""})"""
+
+
+LOOP_CTE = f"""{CODE_CTE}, f AS (SELECT path, line, CAST(regexp_matches(ensures, '[-+*/]') AS INT) AS x, CAST(path AS BIGINT) AS p,
+  {LOOP_POOL_SQL} AS pool FROM described WHERE NOT (starts_with(name, '__') AND ends_with(name, '__'))),
+u AS MATERIALIZED (SELECT path, line, x, pool, CAST(NOT ((x = 0 OR p % 9 = 0) AND (x = 1 OR p % 10 = 0 OR p % 7 = 0)) AS INT) AS label FROM f),
+new0 AS (SELECT path FROM u WHERE false), {", ".join(_turn_sql(k) for k in range(1, LOOP_TURNS + 1))},
+turns AS ({" UNION ALL ".join(f"SELECT * FROM turn{k}" for k in range(1, LOOP_TURNS + 1))})"""
+
+
+def g9_learning_loop(spark, d):
+    """Train, evaluate, promote, score and feed back over the derived sources until a turn adds no file: one row per turn."""
+    root, turns = _loop(spark, d)
+    rows = []
+    for k, t in enumerate(turns, 1):
+        best = t.decision.first()
+        told = t.scores.agg(F.count("*").alias("n"), F.count_if(F.col("level") == "HIGH").alias("high")).first()
+        rows.append((k, best["name"], round(best["recall"], 6), best["decision"], told["n"], told["high"], t.feedback.count()))
+    turned = spark.createDataFrame(rows, "turn int, name string, recall double, decision string, n_scored bigint, n_high bigint, n_added bigint")
+    versions = G.promotions(spark, root).select(F.col("entry").substr(-4, 4).cast("int").alias("turn"), "version")
+    return turned.join(versions, "turn", "left")
+
+
+G9 = f"""WITH {LOOP_CTE} SELECT turn, 'logistic' AS name, round(recall, 6) AS recall, decision, n_scored, n_high, n_added, turn AS version FROM turns"""
+
+
+def g10_run_log(spark, d):
+    """The steps that the loop's turns logged, numbered per run."""
+    root, _ = _loop(spark, d)
+    return G.traces(G.run_log(spark, root), ["entry"])
+
+
+G10 = f"""WITH {LOOP_CTE} SELECT concat('loop.', lpad(CAST(turn AS VARCHAR), 4, '0')) AS case_id, CAST(k AS BIGINT) AS step,
+ CASE k WHEN 1 THEN 'train' WHEN 2 THEN 'evaluate' WHEN 3 THEN 'promote' WHEN 4 THEN 'score' ELSE 'feedback' END AS activity,
+ CASE k WHEN 1 THEN 'logistic, forest' WHEN 4 THEN concat(n_scored, ' rows') WHEN 5 THEN 'files' ELSE 'logistic' END AS artifact,
+ CASE k WHEN 1 THEN concat(n_pool, ' rows') WHEN 2 THEN decision WHEN 3 THEN concat('version ', turn)
+  WHEN 4 THEN concat(n_high, ' HIGH') ELSE concat(n_added, ' added') END AS outcome
+FROM turns, range(1, 6) AS s(k)"""
+
+
 QUERIES = {
     "a5_save_load_model": (a5_models, A5),
     "e1_labelled_dataset": (e1_labelled_dataset, E1),
@@ -378,6 +481,8 @@ QUERIES = {
     "f8_confusion_counts": (f8_confusion_counts, F8),
     "f9_recall_risky": (f9_recall_risky, F9),
     "f10_classification_report": (f10_classification_report, F10),
+    "f11_forest_audit": (f11_forest_audit, F11),
+    "f12_full_policy": (f12_full_policy, None),
     "g1_evaluate_candidates": (g1_evaluate_candidates, G1),
     "g2_select_champion": (g2_select_champion, G2),
     "g3_promotion_gate": (g3_promotion_gate, G3),
@@ -386,4 +491,6 @@ QUERIES = {
     "g6_retrain_decision": (g6_retrain_decision, G6),
     "g7_enabled_families": (g7_enabled_families, G7),
     "g8_event_log": (g8_event_log, G8),
+    "g9_learning_loop": (g9_learning_loop, G9),
+    "g10_run_log": (g10_run_log, G10),
 }

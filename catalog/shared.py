@@ -25,6 +25,18 @@ def key_hash_sql(*keys: str, seed: int = 0) -> str:
     return f"(CAST('0x' || substr(md5('{seed}'{parts}), 1, 8) AS BIGINT) % 2147483648)"
 
 
+def split_sql(table: str, keys: list[str], suffix: str = "", carried: list[str] | None = None) -> str:
+    """CTEs ending in split{suffix} (keys, carried, label, is_train): the stratified split at 30 percent, seed 42."""
+    own = ", ".join([*keys, *(carried or []), "label"])
+    return f"""r{suffix} AS (SELECT *, count(*) OVER (PARTITION BY label) AS n, count(*) OVER () AS total,
+  row_number() OVER (PARTITION BY label ORDER BY {key_hash_sql(*keys, seed=42)}, {", ".join(keys)}) AS rn FROM {table}),
+q{suffix} AS (SELECT DISTINCT label, n, total - CAST(ceil(total * 3 / 10.0) AS BIGINT) AS train, total FROM r{suffix}),
+s{suffix} AS (SELECT label, n * train // total AS base, n * train % total AS rest, train FROM q{suffix}),
+t{suffix} AS (SELECT label, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, label) <= train - sum(base) OVER ()
+  THEN 1 ELSE 0 END AS quota FROM s{suffix}),
+split{suffix} AS (SELECT {own}, rn <= quota AS is_train FROM r{suffix} JOIN t{suffix} USING (label))"""
+
+
 # -- documents as the labelled, pooled data set ------------------------------
 
 # Two fixed scorers that stand in for stored logistic weights.

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from catalog.checking import LINE_CONTRACTS, _MOVE, _OUTCOMES, _START
-from catalog.shared import FILES_SQL, INTERCEPT_A, POOL_SQL, SCORED_CTE, WEIGHTS_A, read, write_code_files
+from catalog.shared import (BAND_SQL, CODE_CTE, FILES_SQL, INTERCEPT_A, POOL_SQL, SCORED_CTE, WEIGHTS_A, code_corpus, read,
+                            write_code_files)
 from pactum.functions.metrics import linear_score
 from pactum.operators import risk as H
 from pactum.operators.contracts import check_contracts
-from pactum.operators.features import text_features
-from pactum.plans.session import run_dir
+from pactum.operators.features import assembler, contract_features, text_features
+from pactum.operators.learn import build_model
+from pactum.operators.promotion import promote_once
+from pactum.operators.units import describe_units
+from pactum.plans.session import materialize, run_dir
 from pactum.sources.corpus import stream_corpus, stream_table
 from pactum.streaming import checks, loop, sinks, windows
 
@@ -74,6 +79,43 @@ def i1_stream_score(spark, d):
 I1 = f"WITH {SCORED_CTE} SELECT doc_id, source, pool, round(score, 6) AS score, level, 4 AS n_batches FROM sc"
 
 
+def _units_table(spark, d):
+    return materialize(contract_features(describe_units(code_corpus(spark, d))), "units")
+
+
+def i9_stream_champion(spark, d):
+    """Arriving sources, extracted and scored by the stored champion; a second one is promoted after two of the four batches.
+
+    Both are fitted on one binary feature, the first with other labels for every third file, the second for every fourth.
+    """
+    table, root = _units_table(spark, d), run_dir(spark, "champions")
+    decision = spark.createDataFrame([("forest", 1.0, "promoted")], "name string, recall double, decision string")
+
+    def promote(flipped, run_id):
+        label = F.when(F.col("path").cast("bigint") % flipped == 0, 1 - F.col("has_self")).otherwise(F.col("has_self"))
+        stump = build_model("forest", {"n_estimators": 5, "max_depth": 1, "bootstrap": False})
+        promote_once({"forest": Pipeline(stages=[assembler(["has_self"]), stump]).fit(table.withColumn("label", label))}, decision, root, run_id)
+
+    seen = []
+
+    def start(stream, out, ckpt):
+        if len(seen) in (0, 2):
+            promote(*((3, "first") if not seen else (4, "second")))
+        seen.append(loop.stream_score(stream, loop.champion_scorer(root), out, ckpt))
+
+    out = _arriving(spark, code_corpus(spark, d), F.col("path").cast("bigint") % ARRIVALS, "stream-champion", start)
+    flat = {c: F.array_join(c, "|") for c in ("requires", "ensures", "invariant")}
+    return spark.read.parquet(out).drop(sinks.BATCH).withColumns(flat).withColumn("n_batches", F.lit(_batches(spark, out)))
+
+
+I9 = f"""WITH {CODE_CTE}, u AS (SELECT *, CAST(starts_with(params, 'self') AS INT) AS has_self, CAST(path AS BIGINT) AS p FROM described),
+m AS (SELECT version, has_self, avg(CASE WHEN p % (version + 2) = 0 THEN 1 - has_self ELSE has_self END) AS score
+      FROM u, (VALUES (1), (2)) AS v(version) GROUP BY ALL),
+a AS (SELECT *, CASE WHEN p % 4 < 2 THEN 1 ELSE 2 END AS version FROM u)
+SELECT path AS file, path, name, CAST(line AS INT) AS line, requires, ensures, invariant, round(score, 3) AS score, {BAND_SQL} AS level,
+ version, 4 AS n_batches FROM a JOIN m USING (version, has_self)"""
+
+
 def _scores(spark, d):
     """The risk records, in the part their document arrived in."""
     return spark.read.parquet(_scored_stream(spark, d)).drop(sinks.BATCH), F.pmod("doc_id", F.lit(ARRIVALS))
@@ -198,4 +240,5 @@ QUERIES = {
     "i6_stream_dedup": (i6_stream_dedup, I6),
     "i7_stream_state_check": (i7_stream_state_check, I7),
     "i8_feedback_trigger": (i8_feedback_trigger, I8),
+    "i9_stream_champion": (i9_stream_champion, I9),
 }

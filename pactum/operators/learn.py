@@ -9,13 +9,13 @@ from typing import Any
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactum.functions.metrics import confusion, ratio, recall_risky
 from pactum.operators.features import assembler
 from pactum.operators.pools import stratified_split
-from pactum.plans.session import materialize
+from pactum.plans.session import materialize, run_dir
 from pactum.policy import FOREST_DEPTH, FOREST_SEED, FOREST_TREES, LOGISTIC_MAX_ITER, Policy
 
 
@@ -85,6 +85,45 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
             .drop("features", "rawPrediction", "probability"))
 
 
+def forest_nodes(model: PipelineModel) -> DataFrame:
+    """(tree, node, feature, threshold, left, right, n_rows, n_safe, n_risky): a fitted forest as a table, for audit.
+
+    A row goes left at `feature` <= `threshold`; leaves have null there. Node 0 is a tree's root. `n_safe` and
+    `n_risky` are the weighted training rows of both classes; the weights of a bootstrap sample are in them.
+    """
+    names, fitted = model.stages[0].getInputCols(), model.stages[-1]
+    path = run_dir(SparkSession.active(), "forest-nodes")
+    fitted.write().save(path)
+    nodes = SparkSession.active().read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    inner = F.col("leftChild") >= 0
+    return nodes.select(
+        F.col("treeID").alias("tree"), F.col("id").alias("node"),
+        F.when(inner, F.element_at(F.array(*map(F.lit, names)), F.when(inner, F.col("split.featureIndex") + 1))).alias("feature"),
+        F.when(inner, F.col("split.leftCategoriesOrThreshold")[0]).alias("threshold"),
+        F.when(inner, F.col("leftChild")).alias("left"), F.when(inner, F.col("rightChild")).alias("right"),
+        F.col("rawCount").alias("n_rows"),
+        *[F.coalesce(F.get("impurityStats", F.lit(k)), F.lit(0.0)).alias(n) for k, n in enumerate(("n_safe", "n_risky"))])
+
+
+def walk_forest(nodes: DataFrame, df: DataFrame, keys: Sequence[str], depth: int = FOREST_DEPTH) -> DataFrame:
+    """(keys, n_trees, score) of rows with unique `keys`, by the node table alone: the mean risky share of the leaves met.
+
+    Meant for audits: a row walks every tree, one join with the nodes for each level. `depth` is at least the forest's.
+    Nodes are bounded by trees and depth, whatever the data. A null feature goes right.
+    """
+    names = [r[0] for r in nodes.select("feature").filter("feature IS NOT NULL").distinct().orderBy("feature").collect()]
+    values = F.create_map(*[part for n in names for part in (F.lit(n), F.col(n).cast("double"))]) if names else F.lit(None).cast("map<string,double>")
+    down = F.broadcast(nodes.select("tree", "node", "feature", "threshold", "left", "right", "n_safe", "n_risky"))
+    trees = nodes.agg(F.max("tree")).first()[0] + 1
+    goes_left = F.coalesce(F.try_element_at("_values", "feature") <= F.col("threshold"), F.lit(False))
+    step = F.when(F.col("feature").isNull(), F.col("node")).when(goes_left, F.col("left")).otherwise(F.col("right"))
+    at = df.select(*keys, values.alias("_values"), F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).alias("node"))
+    at = at.join(down, ["tree", "node"])
+    for _ in range(depth):
+        at = at.select(*keys, "_values", "tree", step.alias("node")).join(down, ["tree", "node"])
+    return at.groupBy(*keys).agg(F.count("*").alias("n_trees"), F.avg(F.col("n_risky") / (F.col("n_safe") + F.col("n_risky"))).alias("score"))
+
+
 def confusion_counts(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """tp, fp, fn, tn per group, one pass."""
     cells = confusion(F.col("label"), F.col("prediction"))

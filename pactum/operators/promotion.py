@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pactum.operators.learn import predict, recall_by
 from pactum.plans.scan import running_sum
 from pactum.policy import Policy
 from pactum.sources.models import CHAMPION, has_model, load_model, save_model
+from pactum.sources.registry import ENTRY, add_once, read_entries
 
 
 def enabled_families(policy: Policy) -> list[str]:
@@ -72,6 +74,44 @@ def promote(models: Mapping[str, PipelineModel], decision: DataFrame, root: str)
     return row["name"]
 
 
+PROMOTION_SCHEMA = "version int, name string, recall double"
+
+
+def promotions(spark: SparkSession, root: str) -> DataFrame:
+    """(version, name, recall, entry): every promotion, `entry` being the run that made it."""
+    return read_entries(spark, f"{root}/promotions", PROMOTION_SCHEMA)
+
+
+def champion(spark: SparkSession, root: str) -> Row | None:
+    """The latest promotion: what `promote_once` returned last is what is read next."""
+    return promotions(spark, root).orderBy(F.desc("version"), F.desc(ENTRY)).first()
+
+
+def champion_model(spark: SparkSession, root: str, promotion: Row) -> PipelineModel:
+    return load_model(f"{root}/champions", promotion[ENTRY])
+
+
+def promoted_by(spark: SparkSession, root: str, run_id: str) -> Row | None:
+    return promotions(spark, root).filter(F.col(ENTRY) == run_id).first()
+
+
+def promote_once(models: Mapping[str, PipelineModel], decision: DataFrame, root: str, run_id: str) -> Row | None:
+    """The run's promotion, or None if the decision is another. A run that is repeated adds nothing.
+
+    The model is stored in a folder of its own before its row is added, so no reader finds a champion without a
+    whole model, and earlier champions stay. One promotion is made at a time.
+    """
+    spark = decision.sparkSession
+    told = promoted_by(spark, root, run_id)
+    row = None if told else decision.filter("decision = 'promoted'").select("name", "recall").first()
+    if row is None:
+        return told
+    last = promotions(spark, root).agg(F.max("version")).first()[0] or 0
+    save_model(models[row["name"]], f"{root}/champions", run_id)
+    add_once(spark.createDataFrame([(last + 1, row["name"], row["recall"])], PROMOTION_SCHEMA), f"{root}/promotions", run_id)
+    return promoted_by(spark, root, run_id)
+
+
 def stored_candidates(spark: SparkSession, root: str, registry: Sequence[str]) -> dict[str, PipelineModel]:
     """Saved candidates in registry order; absent ones are skipped."""
     return {name: load_model(root, name) for name in registry if has_model(spark, root, name)}
@@ -98,6 +138,17 @@ def log_events(spark: SparkSession, path: str, rows: Sequence[tuple]) -> None:
     spark.createDataFrame(list(rows), EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
+def log_step(spark: SparkSession, root: str, run_id: str, step: int, activity: str, artifact: str, outcome: str) -> None:
+    """Log one step of a run, once: a step that is repeated leaves the row of its first time."""
+    row = (datetime.now(timezone.utc), run_id, activity, artifact, outcome)
+    add_once(spark.createDataFrame([row], EVENT_SCHEMA), f"{root}/log", f"{run_id}.{step:04d}")
+
+
+def run_log(spark: SparkSession, root: str) -> DataFrame:
+    """What `log_step` wrote; `traces(run_log(...), ["entry"])` numbers each run's steps."""
+    return read_entries(spark, f"{root}/log", EVENT_SCHEMA)
+
+
 def traces(log: DataFrame, order: Sequence[str] = ("ts", "activity")) -> DataFrame:
     """(case_id, step, activity, artifact, outcome): each case's activities numbered in order.
 

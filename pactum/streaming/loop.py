@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pactum.operators.promotion import decide_retraining
+from pactum.operators.promotion import champion, champion_model, decide_retraining
+from pactum.operators.risk import score_units
 from pactum.policy import Policy
 from pactum.streaming.sinks import each_batch
 
@@ -23,6 +24,22 @@ def stream_score(stream: DataFrame, score: Callable[[DataFrame], DataFrame], out
     return each_batch(stream, lambda batch, _: score(batch), out, checkpoint, every=every)
 
 
+def champion_scorer(root: str, policy: Policy = Policy()) -> Callable[[DataFrame], DataFrame]:
+    """Scorer of arriving source files for `stream_score`: risk records by the champion of the moment, with its version.
+
+    The champion is looked up for each batch, so one promoted while the stream runs scores from the next batch on.
+    Without a champion the stream stops with an error and takes the batch again when it is restarted.
+    """
+    def score(batch: DataFrame) -> DataFrame:
+        spark = batch.sparkSession
+        current = champion(spark, root)
+        if current is None:
+            raise ValueError(f"no champion has been promoted in {root}")
+        return score_units(batch, champion_model(spark, root, current), policy).withColumn("version", F.lit(current["version"]))
+
+    return score
+
+
 def stream_feedback(scores: DataFrame, out: str, checkpoint: str, file: str = "file",
                     every: str | None = None) -> StreamingQuery:
     """Add files with a HIGH score to the feedback pool, each once over all batches.

@@ -217,3 +217,112 @@ def test_drift_leaves_nulls_out(spark):
         row = feature_drift(a, b, ["x"]).first()
         assert row["mean_shift"] is None and row["psi"] is not None
     assert feature_drift(base.limit(0), base.limit(0), ["x"]).count() == 0
+
+
+def test_entries_are_added_once(spark, tmp_path):
+    from pactum.sources.registry import add_once, read_entries
+
+    table, schema = str(tmp_path / "t"), "n int"
+    assert read_entries(spark, table, schema).count() == 0
+    rows = spark.createDataFrame([(1,), (2,)], schema)
+    assert add_once(rows, table, "7") and not add_once(rows, table, "7") and add_once(rows.limit(1), table, "a.0001")
+    # What a write that failed left behind has no committed file and is replaced.
+    (tmp_path / "t" / "entry=half" / "_temporary").mkdir(parents=True)
+    assert add_once(rows.limit(1), table, "half")
+    told = read_entries(spark, table, schema).collect()
+    assert sorted((r["entry"], r["n"]) for r in told) == [("7", 1), ("7", 2), ("a.0001", 1), ("half", 1)]
+    for bad in ("", "a/b", "a b", ".x"):
+        with pytest.raises(ValueError):
+            add_once(rows, table, bad)
+
+
+def test_steps_are_logged_once(spark, tmp_path):
+    root = str(tmp_path)
+    for outcome in ("1 rows", "2 rows"):
+        G.log_step(spark, root, "run", 2, "score", "all", outcome)
+    G.log_step(spark, root, "run", 1, "train", "forest", "ok")
+    told = G.traces(G.run_log(spark, root), ["entry"]).orderBy("step").collect()
+    assert [(r["step"], r["activity"], r["outcome"]) for r in told] == [(1, "train", "ok"), (2, "score", "1 rows")]
+
+
+@pytest.fixture(scope="module")
+def loop_pools(spark):
+    """Files of three rows, x set in one row of every other file: x alone makes old rows risky, later ones all are but every seventh."""
+    rows = spark.range(300).selectExpr("id", "CAST(id DIV 3 AS STRING) AS file", "CAST(id % 6 = 0 AS INT) AS x")
+    rows = rows.withColumn("label", F.expr("CAST(x = 1 OR id >= 60 AND id % 7 > 0 AS INT)"))
+    part = {"train": "id < 21", "test": "id >= 21 AND id < 60", "unseen": "id >= 60"}
+    return {name: rows.filter(cond) for name, cond in part.items()}
+
+
+LOOP_POLICY = Policy(families=(Family("forest", True, {"n_estimators": 3, "max_depth": 1, "bootstrap": False}),))
+
+
+def test_loop_ends_and_a_repeated_run_adds_nothing(spark, loop_pools, tmp_path):
+    from pactum.plans.cycle import run_loop
+
+    def loop():
+        return run_loop(loop_pools["train"], loop_pools["train"].limit(0), loop_pools["test"], loop_pools["unseen"], ["x"], str(tmp_path),
+                        "id", "file", LOOP_POLICY, "night")
+
+    turns = loop()
+    added = [t.feedback.count() for t in turns]
+    assert added == [40, 40, 0]  # files with x; those without it, once rows of the first have trained; none
+    promoted = sorted(map(tuple, G.promotions(spark, str(tmp_path)).collect()))
+    log = sorted(map(tuple, G.run_log(spark, str(tmp_path)).collect()))
+    assert [p[0] for p in promoted] == [1, 2, 3] and len(log) == 5 * len(turns)
+    assert G.champion(spark, str(tmp_path))["entry"] == "night.0003"
+    assert [t.feedback.count() for t in loop()] == added
+    assert sorted(map(tuple, G.promotions(spark, str(tmp_path)).collect())) == promoted
+    assert sorted(map(tuple, G.run_log(spark, str(tmp_path)).collect())) == log
+
+
+def test_blocked_loop_scores_nothing(spark, loop_pools, tmp_path):
+    from dataclasses import replace
+
+    from pactum.plans.cycle import run_loop
+
+    turns = run_loop(loop_pools["train"], loop_pools["train"].limit(0), loop_pools["test"], loop_pools["unseen"], ["x"], str(tmp_path),
+                     "id", "file", replace(LOOP_POLICY, min_recall=1.1))
+    assert len(turns) == 1 and turns[0].scores is None and G.champion(spark, str(tmp_path)) is None
+    assert [r["outcome"] for r in G.run_log(spark, str(tmp_path)).orderBy("entry").collect()][1:] == ["blocked"]
+
+
+def test_promotion_of_a_run_is_made_once(spark, loop_pools, tmp_path):
+    from pyspark.ml import Pipeline
+
+    from pactum.operators.features import assembler
+
+    def fit(label):
+        return Pipeline(stages=[assembler(["x"]), L.build_model("forest", LOOP_POLICY.families[0].params)]).fit(
+            loop_pools["train"].withColumn("label", F.expr(label)))
+
+    decision = spark.createDataFrame([("forest", 0.5, "promoted")], "name string, recall double, decision string")
+    root = str(tmp_path)
+    first = G.promote_once({"forest": fit("x")}, decision, root, "a")
+    assert (first["version"], first["entry"]) == (1, "a")
+    assert G.promote_once({"forest": fit("1 - x")}, decision, root, "a") == first
+    assert G.promote_once({}, decision.withColumn("decision", F.lit("kept")), root, "b") is None
+    second = G.promote_once({"forest": fit("1 - x")}, decision, root, "c")
+    assert second["version"] == 2 and G.champion(spark, root) == second
+    for row, want in ((first, 1), (second, 0)):
+        assert L.predict(G.champion_model(spark, root, row), loop_pools["test"]).filter("x = 1").first()["prediction"] == want
+
+
+def test_node_table_walks_to_the_same_scores(spark):
+    from pyspark.ml import Pipeline
+
+    from pactum.operators.features import assembler
+
+    df = spark.range(400).selectExpr("id", "id % 17 AS a", "(id * 7) % 23 AS b", "id % 5 AS c", "CAST((id % 17) * (id % 5) > 20 OR id % 31 = 0 AS INT) AS label")
+    model = Pipeline(stages=[assembler(["a", "b", "c"]), L.build_model("forest", {"n_estimators": 12, "max_depth": 4})]).fit(df)
+    nodes = L.forest_nodes(model)
+    assert nodes.filter("left IS NULL AND feature IS NOT NULL").count() == 0 and nodes.select("tree").distinct().count() == 12
+    # A node's rows are those of its children.
+    sides = [nodes.selectExpr("tree", f"node AS {s}", f"n_safe + n_risky AS n_{s}") for s in ("left", "right")]
+    assert nodes.join(sides[0], ["tree", "left"]).join(sides[1], ["tree", "right"]).filter("abs(n_safe + n_risky - n_left - n_right) > 1e-9").count() == 0
+    walked = {r["id"]: (r["n_trees"], r["score"]) for r in L.walk_forest(nodes, df, ["id"], 4).collect()}
+    for r in L.predict(model, df).collect():
+        assert walked[r["id"]] == (12, pytest.approx(r["score"], abs=1e-12))
+    # Trees without a split are their root alone.
+    flat = Pipeline(stages=[assembler(["a"]), L.build_model("forest", {"n_estimators": 2, "max_depth": 2})]).fit(df.withColumn("label", F.lit(0)).withColumn("a", F.lit(1)))
+    assert {tuple(r)[1:] for r in L.walk_forest(L.forest_nodes(flat), df.limit(5), ["id"]).collect()} == {(2, 0.0)}

@@ -165,3 +165,8 @@ def test_full_cycle(spark, tmp_path):
     assert {r["file"] for r in again.feedback.collect()} & new == set()
     idle = run_cycle(train, none, test, unseen.drop("label"), ["x", "y"], str(tmp_path), policy=policy, always_retrain=False)
     assert not idle.retrained and idle.scores.count() == unseen.count()
+
+
+def test_stream_without_a_champion_stops(spark, tmp_path):
+    with pytest.raises(ValueError):
+        loop.champion_scorer(str(tmp_path))(spark.createDataFrame([("a.py", "def f(x):\n    return x\n", "unseen")], "path string, content string, pool string"))
