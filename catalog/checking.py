@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from catalog.shared import CODE_CTE, code_corpus, key_hash_sql, lcg_sql, read
 from pactum.functions.predicates import bind_clauses, floor_div
+from pactum.functions.sql import register
 from pactum.operators import contracts as D
 from pactum.operators import state as S
 from pactum.operators import trials as T
 from pactum.operators.contracts import Contract
 from pactum.operators.units import find_units
+from pactum.plans.session import materialize
 from pactum.policy import Policy
 
 PRICE = Contract("disc_price", "l_extendedprice * (1 - l_discount)", ["l_quantity > 0"],
@@ -245,6 +247,28 @@ D16 = f"""WITH {_OUTCOMES} SELECT l_orderkey, l_linenumber, l_partkey, target,
  CASE WHEN err THEN 0 ELSE 1 END AS clause FROM o WHERE pre AND bad"""
 
 
+def d17_contracts_as_rows(spark, d):
+    """Contracts kept as rows, one per brand, with bounds seen on the training parts, in the session's vocabulary; checked on all parts."""
+    register(spark)
+    parts = read(spark, d, "part")
+    worth = "floor_div(CAST(round(p_retailprice * 100) AS BIGINT), 100)"
+    seen = (parts.filter("p_partkey % 10 <= 5").groupBy("p_brand")
+            .agg(F.min(F.expr(worth)).alias("low"), F.max(F.expr(worth)).alias("high")))
+    rows = seen.select(
+        F.col("p_brand").alias("target"), F.lit(worth).alias("transform"),
+        F.array(F.format_string("p_brand = '%s'", "p_brand"), F.lit("is_upper(text_prefix(p_type, 2))")).alias("requires"),
+        F.array(F.format_string("result >= %d", "low"), F.format_string("result <= %d", "high")).alias("ensures"))
+    table = materialize(rows, "contracts")
+    return D.check_contracts(parts, D.contracts_from_table(table))
+
+
+D17 = """WITH w AS (SELECT *, CAST(round(p_retailprice * 100) AS BIGINT) // 100 AS worth, left(p_type, 2) AS t2 FROM part),
+b AS (SELECT p_brand, min(worth) AS low, max(worth) AS high FROM w WHERE p_partkey % 10 <= 5 GROUP BY 1),
+o AS (SELECT b.p_brand AS target, w.p_brand = b.p_brand AND t2 = upper(t2) AND t2 <> lower(t2) AS pre, worth < low OR worth > high AS bad FROM w, b)
+SELECT target, count(*) AS n_rows, count(*) FILTER (pre) AS n_checked, count(*) FILTER (NOT pre) AS n_skipped, count(*) FILTER (pre AND bad) AS n_failed,
+ CAST(0 AS BIGINT) AS n_errors, CAST(coalesce(bool_or(pre AND bad), false) AS INT) AS label, count(*) FILTER (pre) = 0 AS vacuous FROM o GROUP BY 1"""
+
+
 QUERIES = {
     "d1_lenient": (d1_lenient, D1),
     "d2_precondition_gate": (d2_precondition_gate, D2),
@@ -262,4 +286,5 @@ QUERIES = {
     "d14_invariant_check": (d14_invariant_check, D14),
     "d15_check_contracts": (d15_check_contracts, D15),
     "d16_violating_rows": (d16_violating_rows, D16),
+    "d17_contracts_as_rows": (d17_contracts_as_rows, D17),
 }

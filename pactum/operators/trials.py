@@ -114,14 +114,23 @@ def exhaustive_trials(units: DataFrame, keys: Sequence[str]) -> DataFrame:
 def argument_grid(df: DataFrame, params: Sequence[str], method: bool = False) -> DataFrame:
     """Cross each row of `df` with every argument combination, one typed column per parameter.
 
-    Use it to check one signature exhaustively with the contract checker.
+    Use it to check one signature exhaustively with the contract checker. More combinations than a block are made in
+    blocks dealt out before they are filled; more than a BIGINT counts are an error.
     """
     sizes = [1 if p == OBJECT_PARAM and method else len(STRINGS) if p in STRING_PARAMS
              else len(LISTS) if p in LIST_PARAMS else N_INTS for p in params]
     total = 1
     for size in sizes:
         total *= size
-    out = df.withColumn("trial", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(total - 1).cast("bigint"))))
+    if total > 1 << 62:
+        raise OverflowError(f"{total} combinations of {len(params)} arguments")
+    numbers = lambda first, last, step=1: F.explode(F.sequence(first, last, F.lit(step).cast("bigint")))
+    start, last = F.lit(0).cast("bigint"), F.lit(total - 1).cast("bigint")
+    if total <= BLOCK:
+        out = df.withColumn("trial", numbers(start, last))
+    else:
+        dealt = df.withColumn("trial", numbers(start, last, BLOCK)).repartition("trial")
+        out = dealt.withColumn("trial", numbers(F.col("trial"), F.least(F.col("trial") + (BLOCK - 1), last)))
     stride = 1
     for p, size in zip(params, sizes, strict=True):
         pick = F.expr(f"(trial div {stride}) % {size}")

@@ -128,3 +128,14 @@ def test_many_parameters_make_no_large_array(spark):
     assert "RepartitionByExpression" in plan and str(trials.BLOCK) in plan
     few = spark.createDataFrame([("v", None, ["a", "b"])], "name string, class string, params array<string>")
     assert trials.exhaustive_trials(few, ["name"]).select("trial").distinct().count() == 121
+
+
+def test_a_large_grid_is_made_in_blocks(spark, monkeypatch):
+    from pactum.operators import trials
+
+    whole = sorted(map(tuple, argument_grid(spark.range(2), ["a", "s"]).collect()))
+    assert len(whole) == 2 * 33 and len(set(whole)) == 66
+    monkeypatch.setattr(trials, "BLOCK", 7)
+    assert sorted(map(tuple, argument_grid(spark.range(2), ["a", "s"]).collect())) == whole
+    with pytest.raises(OverflowError):
+        argument_grid(spark.range(1), list("abcdefghijklmnopqrst"))
