@@ -23,9 +23,8 @@ STATES = 8
 SINGLES, SHAPES = 4096, 512
 HOT = 200_000
 ROUNDS = 4
-#: Training cuts longer texts into runs of this many symbols; scores never cut.
-RUN = 1024
-#: Symbols of one padded group: bounds the arrays of a worker.
+#: Training keeps the forward messages of this many steps at a time; a worker's arrays hold about GROUP symbols of them.
+STEPS = 1024
 GROUP = 200_000
 SMOOTH = 0.05
 
@@ -41,12 +40,13 @@ def shape_of(word: bytes, singles: int = SINGLES, shapes: int = SHAPES) -> int:
     return singles + zlib.crc32(word[-3:] + bytes([min(len(word), 15) // 3])) % shapes
 
 
-def groups(runs: list[np.ndarray], most: int = GROUP) -> Iterator[list[int]]:
-    """Numbers of runs of like length, longest first, at most `most` padded symbols together."""
+def groups(runs: list[np.ndarray], most: int = GROUP, steps: int = STEPS) -> Iterator[list[int]]:
+    """Numbers of runs of like length, longest first: at most `most` symbols of `steps` together, and 20 times as many in all."""
     order = sorted(range(len(runs)), key=lambda i: -len(runs[i]))
     at = 0
     while at < len(order):
-        width = max(1, most // max(1, len(runs[order[at]])))
+        longest = max(1, len(runs[order[at]]))
+        width = max(1, min(most // min(longest, steps), 20 * most // longest))
         yield order[at:at + width]
         at += width
 
@@ -78,47 +78,54 @@ def forward(model: Markov, runs: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def expected_counts(model: Markov, runs: list[np.ndarray], begins: np.ndarray, emit: np.ndarray, move: np.ndarray, start: np.ndarray) -> None:
-    """Add the runs' forward-backward counts to emit, move and start; `begins` marks runs that begin a text."""
+def expected_counts(model: Markov, runs: list[np.ndarray], emit: np.ndarray, move: np.ndarray, start: np.ndarray, block: int = STEPS) -> None:
+    """Add the forward-backward counts of whole runs to emit, move and start.
+
+    The forward messages are kept at the borders of blocks of steps only and computed again block by block on the
+    way back, so no run is cut and a long one needs no more memory than a block and its borders.
+    """
     states = len(start)
     for group in groups(runs):
         grid, active = padded([runs[i] for i in group])
         steps, width = grid.shape
-        alpha, scales = np.zeros((steps, width, states)), np.ones((steps, width, 1))
-        for t in range(steps):
-            n = active[t]
-            a = (alpha[t - 1, :n] @ model.move if t else model.start) * model.emit[grid[t, :n]]
-            scales[t, :n] = a.sum(1, keepdims=True)
-            alpha[t, :n] = a / scales[t, :n]
-        beta = np.ones((width, states))
-        for t in reversed(range(steps)):
-            n = active[t]
-            if t:
-                ahead = model.emit[grid[t, :n]] * beta[:n] / scales[t, :n]
-                move += model.move * (alpha[t - 1, :n].T @ ahead)
-            alpha[t, :n] *= beta[:n]  # from here on the posterior of the state at t
-            if t:
-                beta[:n] = ahead @ model.move.T
-        start += alpha[0, begins[group]].sum(0)
-        there = np.arange(width)[None, :] < active[:, None]
-        symbols, weights = grid[there], alpha[there]
-        for k in range(states):
-            emit[:, k] += np.bincount(symbols, weights[:, k], len(emit))
 
-
-def runs_of(codes: list[bytes], most: int = RUN) -> tuple[list[np.ndarray], np.ndarray]:
-    """Training runs of whole texts, and which of them begin a text."""
-    runs, begins = [], []
-    for c in codes:
-        symbols = np.frombuffer(c, np.uint16)
-        for at in range(0, len(symbols), most):
-            runs.append(symbols[at:at + most])
-            begins.append(at == 0)
-    return runs, np.array(begins, bool)
+        def onward(begin: int, end: int, a: np.ndarray | None, grid=grid, active=active, width=width) -> tuple[np.ndarray, np.ndarray]:
+            """Scaled forward messages and scales of the steps, from the message before them."""
+            alpha, scales = np.zeros((end - begin, width, states)), np.ones((end - begin, width, 1))
+            for t in range(begin, end):
+                n = active[t]
+                a = (a[:n] @ model.move if t else model.start) * model.emit[grid[t, :n]]
+                scales[t - begin, :n] = a.sum(1, keepdims=True)
+                a = a / scales[t - begin, :n]
+                alpha[t - begin, :n] = a
+            return alpha, scales
+
+        begins = range(0, steps, block)
+        borders: list[np.ndarray | None] = [None]
+        for begin in begins[:-1]:
+            borders.append(onward(begin, begin + block, borders[-1])[0][-1].copy())
+        beta = np.ones((width, states))
+        for begin, before in zip(reversed(begins), reversed(borders), strict=True):
+            end = min(begin + block, steps)
+            alpha, scales = onward(begin, end, before)
+            for t in reversed(range(begin, end)):
+                n, at = active[t], t - begin
+                if t:
+                    ahead = model.emit[grid[t, :n]] * beta[:n] / scales[at, :n]
+                    move += model.move * ((alpha[at - 1] if at else before)[:n].T @ ahead)
+                alpha[at, :n] *= beta[:n]  # from here on the posterior of the state at t
+                if t:
+                    beta[:n] = ahead @ model.move.T
+            if begin == 0:
+                start += alpha[0].sum(0)
+            there = np.arange(width)[None, :] < active[begin:end, None]
+            symbols, weights = grid[begin:end][there], alpha[there]
+            for k in range(states):
+                emit[:, k] += np.bincount(symbols, weights[:, k], len(emit))
 
 
 def train(encoded: DataFrame, symbols: int, states: int = STATES, rounds: int = ROUNDS, seed: int = 7) -> Markov:
-    """Baum-Welch over all rows of `encoded` (codes): each round adds up the workers' expected counts.
+    """Baum-Welch over all rows of `encoded` (codes), whole texts: each round adds up the workers' expected counts.
 
     What a round brings to the driver is one row per symbol and state: a fixed number, whatever the corpus.
     """
@@ -136,9 +143,7 @@ def train(encoded: DataFrame, symbols: int, states: int = STATES, rounds: int =
         def count(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             emits, moves, starts = np.zeros((symbols, states)), np.zeros((states, states)), np.zeros(states)
             for batch in batches:
-                runs, begins = runs_of(batch.column(0).to_pylist())
-                if runs:
-                    expected_counts(shared.value, runs, begins, emits, moves, starts)
+                expected_counts(shared.value, [np.frombuffer(c, np.uint16) for c in batch.column(0).to_pylist()], emits, moves, starts)
             rows = np.vstack([emits, moves, starts[None, :]])
             used = np.flatnonzero(rows.any(1))
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[pa.array(rows[used, k]) for k in range(states)]], ["at", *names])
