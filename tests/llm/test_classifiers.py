@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pactum.llm.common import fold, table
 from pactum.llm.language import fit as fit_language
 from pactum.llm.language import identify_languages, kernel, predict, presence, with_known_language
-from pactum.llm.quality import FEATURES, fit, quality_scores, statistics
+from pactum.llm.quality import FEATURES, LEAST, RIDGE, fit, quality_scores, statistics
 
 from .conftest import odd_texts
 
@@ -104,3 +104,42 @@ def test_fit_equals_plain_kernel_ridge_regression():
     want = kernel(new, x.astype(float)) @ np.linalg.solve(gram + 0.5 / len(x) * np.diag(counts), targets)
     got = (new @ model.weights) / np.sqrt(new.sum(1))[:, None]
     assert np.abs(got - want).max() < 0.01
+
+
+def plain_boosting(x, y, trees, depth, bins, rate):
+    """Margins of the training rows, every split sought over all cuts by sums over the rows themselves."""
+    mean = (y.sum() + 1) / (len(y) + 2)
+    margin = np.full(len(y), np.log(mean / (1 - mean)))
+    cuts = [sorted({sorted(column)[int(q * (len(y) - 1))] for q in np.linspace(0, 1, bins + 1)[1:-1]}) for column in x.T]
+    for _ in range(trees):
+        p = 1 / (1 + np.exp(-margin))
+        gradient, curve = p - y, p * (1 - p)
+        nodes = [np.arange(len(y))]
+        for _ in range(depth):
+            halves = []
+            for rows in nodes:
+                best, side = 1e-6, np.ones(len(rows), bool)
+                for f, column in enumerate(cuts):
+                    for cut in column:
+                        left = x[rows, f] <= cut
+                        g, h = gradient[rows][left].sum(), curve[rows][left].sum()
+                        all_g, all_h = gradient[rows].sum(), curve[rows].sum()
+                        if min(h, all_h - h) < LEAST / 4:
+                            continue
+                        gain = g**2 / (h + RIDGE) + (all_g - g) ** 2 / (all_h - h + RIDGE) - all_g**2 / (all_h + RIDGE)
+                        if gain > best + 1e-12:
+                            best, side = gain, left
+                halves += [rows[side], rows[~side]]
+            nodes = halves
+        for rows in nodes:
+            margin[rows] -= rate * gradient[rows].sum() / (curve[rows].sum() + RIDGE)
+    return margin
+
+
+def test_fit_equals_plain_boosting():
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(240, 3)), 1)
+    y = ((x[:, 0] > 0.2) ^ (x[:, 2] > 0.5) | (rng.random(240) < 0.1)).astype(float)
+    forest = fit(x, y, trees=6, depth=3, bins=8, rate=0.3)
+    assert np.abs(forest.margins(x) - plain_boosting(x, y, 6, 3, 8, 0.3)).max() < 1e-9
+    assert len(np.unique(forest.margins(x))) > 8

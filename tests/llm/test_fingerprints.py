@@ -1,4 +1,7 @@
 import hashlib
+import random
+import string
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -47,3 +50,33 @@ def test_paragraphs_add_and_take_away(spark):
                      fingerprint(F.col("a")).alias("f_a"), fingerprint(combine(F.col("ab"), F.col("b"), -1)).alias("f_less"),
                      likeness(F.col("ab"), F.col("ba")).alias("same")).first()
     assert got["f_ab"] == got["f_ba"] == got["f_sum"] and got["f_a"] == got["f_less"] and got["f_a"] != got["f_ab"] and got["same"] == 1.0
+
+
+def pairs_of(text):
+    """Neighbouring word pairs of each line; one unit for a line of a word or none."""
+    units = Counter()
+    for line in text.split("\n"):
+        words = line.split(" ")
+        units.update(zip(words, words[1:], strict=False) if len(words) > 1 else [(words[0], None)])
+    return units
+
+
+def test_likeness_is_near_that_of_the_pairs(spark):
+    rng = random.Random(4)
+    texts = {}
+    for i in range(60):  # every second text is the one before it with a share of its lines replaced
+        lines = [" ".join(rng.choice(string.ascii_lowercase) * rng.randint(1, 4) + str(rng.randint(0, 99)) for _ in range(9)) for _ in range(30)]
+        if i % 2:
+            kept = rng.randint(0, 30)
+            lines = texts[i - 1].split("\n")[:kept] + lines[kept:]
+        texts[i] = "\n".join(lines)
+    rows = edited_fingerprints(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    off = []
+    for r in rows:
+        own, after = texts[r["doc_id"]], texts[(r["doc_id"] - 1) % 60]
+        half = len(own) // 2
+        for told, other in ((r["near_next"], after), (r["near_edited"], own[:len(own) - half] + after[:half])):
+            a, b = pairs_of(own), pairs_of(other)
+            apart = sum((a[k] - b[k]) ** 2 for k in a.keys() | b.keys())
+            off.append(abs(told - (1 - apart / (sum(v * v for v in a.values()) + sum(v * v for v in b.values())))))
+    assert len(off) == 120 and sorted(off)[107] <= 0.15 and sum(off) / len(off) <= 0.1
