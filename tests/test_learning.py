@@ -33,7 +33,7 @@ def test_unknown_family():
         L.build_model("svm")
 
 
-def test_logistic_penalty_matches_summed_losses():
+def test_logistic_penalty_matches_summed_losses(spark):
     assert L.build_model("logistic", n_rows=50).getRegParam() == 1 / 50
     assert not L.build_model("logistic").getStandardization()
 
