@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from operator import itemgetter
 from typing import Any
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -28,38 +28,37 @@ def stream_contract_check(stream: DataFrame, contracts: Sequence[Contract], out:
     return each_batch(check_contracts(stream, contracts), lambda batch, _: batch, out, checkpoint, mode="complete", every=every)
 
 
-def _null_first(place: tuple) -> list[tuple]:
+def _null_first(place: Sequence) -> list[tuple]:
     return [(v is not None, v) for v in place]
 
 
 class _Balance(StatefulProcessor):
-    """The balance of a key after each of its rows, carried by the engine from batch to batch."""
+    """The balance of a key after each of its rows, carried by the engine from batch to batch.
 
-    def __init__(self, state: T.StructType, order: Sequence[str], start: Any, clamped: bool, whole: bool) -> None:
-        self.schema, self.order, self.start, self.clamped, self.whole = state, list(order), start, clamped, whole
+    Rows stay plain values: most keys have few in a batch, and building a pandas table for each key takes longer than its rows.
+    """
+
+    def __init__(self, state: T.StructType, places: Sequence[str], shape: T.StructType, start: Any, clamped: bool, dtype: Any) -> None:
+        self.schema, self.places, self.names, self.start, self.clamped, self.dtype = state, list(places), shape.names, start, clamped, dtype
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("balance", self.schema)
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        held = self.state.get() if self.state.exists() else None
-        balance, last = (held[0], tuple(held[1:])) if held else (self.start, None)
-        batch = pd.concat(list(rows), ignore_index=True)
-        at = [batch[f"state_at{i}"].to_list() for i in range(len(self.order))]
-        gone = [batch[f"state_null{i}"].to_list() for i in range(len(self.order))]
-        places = [tuple(None if n else v for v, n in zip(p, g, strict=True)) for p, g in zip(zip(*at, strict=True), zip(*gone, strict=True), strict=True)]
-        by_place = sorted(range(len(batch)), key=lambda k: _null_first(places[k]))
-        batch, places = batch.iloc[by_place].reset_index(drop=True), [places[k] for k in by_place]
-        batch["state_late"] = [last is not None and _null_first(p) < _null_first(last) for p in places]
-        change = batch["state_change"].to_numpy(object if self.whole else None)
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        held = self.state.get()  # None before the first row of a key
+        balance, last = (held[0], _null_first(held[1:])) if held else (self.start, None)
+        batch = [(_null_first([row[c] for c in self.places]), row) for row in rows]
+        batch.sort(key=itemgetter(0))
         # Python's own whole numbers and decimals do not wrap; a balance that leaves the type is refused when it is written.
-        totals = np.add.accumulate(np.concatenate([np.array([balance], change.dtype), change]))
+        totals = np.add.accumulate(np.array([balance, *[row["state_change"] for _, row in batch]], self.dtype))
         if self.clamped:
             totals = totals - np.minimum(np.minimum.accumulate(totals), 0)
-        batch["state_balance"] = totals[1:]
-        top = max([p for p, late in zip(places, batch["state_late"], strict=True) if not late], key=_null_first, default=last)
-        self.state.update((totals[-1], *[v.to_pydatetime() if isinstance(v, pd.Timestamp) else v for v in top]))
-        yield batch
+        totals = totals.tolist()
+        top = max(([last] if last is not None else []) + [batch[-1][0]])
+        self.state.update((totals[-1], *[v for _, v in top]))
+        made = Row(*self.names)
+        for (place, row), total in zip(batch, totals[1:], strict=True):
+            yield made(*row, last is not None and place < last, total)
 
     def close(self) -> None:
         pass
@@ -81,24 +80,25 @@ def stream_state_check(
     spark = stream.sparkSession
     admitted = F.coalesce(F.expr(requires), F.lit(False))
     staged = stream.withColumn("state_admitted", admitted).withColumn("state_change", F.when(F.col("state_admitted"), F.coalesce(F.expr(change), F.lit(0))).otherwise(F.lit(0)))
-    kind = staged.schema["state_change"].dataType
-    whole = isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    if whole:
-        kind = T.LongType()
+    kind, dtype = staged.schema["state_change"].dataType, None
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        kind, dtype = T.LongType(), object
     elif isinstance(kind, T.DecimalType):
-        kind = T.DecimalType(38, kind.scale)
+        kind, dtype = T.DecimalType(38, kind.scale), object
+    elif isinstance(kind, T.FloatType):
+        dtype = np.float32
     staged = staged.withColumn("state_change", F.col("state_change").cast(kind))
     zero = spark.range(1).select(F.lit(start).cast(kind)).first()[0]
-    for i, c in enumerate(order):  # whole numbers stay whole in pandas only without NULL
-        at = F.coalesce(F.col(c), F.lit(0).cast(staged.schema[c].dataType)) if isinstance(staged.schema[c].dataType, T.IntegralType) else F.col(c)
-        staged = staged.withColumn(f"state_at{i}", at).withColumn(f"state_null{i}", F.col(c).isNull())
-    state = T.StructType([T.StructField("balance", kind), *[T.StructField(c, staged.schema[c].dataType) for c in order]])
+    # A place in time is kept as microseconds, which no time zone changes.
+    places = {c: f"state_at{i}" if isinstance(staged.schema[c].dataType, T.TimestampType) else c for i, c in enumerate(order)}
+    staged = staged.withColumns({at: F.unix_micros(c) for c, at in places.items() if at != c})
+    state = T.StructType([T.StructField("balance", kind), *[T.StructField(c, staged.schema[at].dataType) for c, at in places.items()]])
     shape = T.StructType([*staged.schema.fields, T.StructField("state_late", T.BooleanType()), T.StructField("state_balance", kind)])
-    moved = staged.groupBy(*keys).transformWithStateInPandas(_Balance(state, order, zero, clamped, whole), shape, "Append", "None")
+    moved = staged.groupBy(*keys).transformWithState(_Balance(state, list(places.values()), shape, zero, clamped, dtype), shape, "Append", "None")
     seen = moved.drop("balance").withColumnRenamed("state_balance", "balance").withColumn("state_held", lenient(ensures))
 
     def told(batch: DataFrame, _: int) -> DataFrame:
-        place = F.struct(*[F.struct(~F.col(f"state_null{i}"), F.col(f"state_at{i}")) for i in range(len(order))])
+        place = F.struct(*[F.struct(F.col(c).isNotNull(), F.col(c)) for c in order])
         return batch.groupBy(*keys).agg(
             F.count("*").alias("n_rows"), F.count_if("state_admitted").alias("n_checked"), F.count_if(F.col("state_admitted") & ~F.col("state_held")).alias("n_failed"),
             F.count_if("state_late").alias("n_late"), F.max_by("balance", place).alias("balance"))

@@ -1,5 +1,9 @@
+import time
+
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pactum.operators.contracts import Contract, check_contracts
 from pactum.operators.learn import predict
@@ -73,6 +77,42 @@ def test_late_rows_null_keys_and_exact_balances(spark, tmp_path):
                     (2, "a"): (1, 0, 0), (2, "b"): (1, 0, 4)}
 
 
+def test_null_whole_number_keys_and_session_times(spark, tmp_path):
+    """A NULL key among whole numbers is one key; places in time keep their order and lateness over a restart."""
+    src, out, ckpt = _paths(tmp_path)
+    parts = [[(None, "2024-01-01 00:00:03", -9), (7, "2024-01-01 00:00:02", 1), (None, "2024-01-01 00:00:01", 4), (None, "2024-01-01 00:00:02", 6)],
+             [(None, "2024-01-01 00:00:02", -2), (7, "2024-01-01 00:00:03", None)]]
+    for part in parts:
+        rows = spark.createDataFrame(part, "k long, at string, move int").withColumn("at", F.col("at").cast("timestamp"))
+        rows.coalesce(1).write.mode("append").parquet(src)
+        checks.stream_state_check(stream_table(spark, src), ["k"], ["at"], "move", "balance >= 0", out, ckpt, start=0)
+    got = {(r["batch_id"], r["k"]): (r["n_rows"], r["n_failed"], r["n_late"], r["balance"]) for r in spark.read.parquet(out).collect()}
+    assert got == {(0, None): (3, 0, 0, 1), (0, 7): (1, 0, 0, 1), (1, None): (1, 1, 1, -1), (1, 7): (1, 0, 0, 1)}
+
+
+def test_balances_of_many_keys_need_no_table_each():
+    """One call a key, on plain rows: 20,000 keys of four rows take seconds, not a minute of small tables."""
+    held = {}
+
+    class State:
+        def get(self):
+            return held.get(self.key)
+
+        def update(self, value):
+            held[self.key] = value
+
+    shape = T.StructType().add("k", "long").add("at", "long").add("state_change", "long").add("state_late", "boolean").add("state_balance", "long")
+    balances = checks._Balance(T.StructType(), ["at"], shape, 10, False, object)
+    balances.state, start = State(), time.perf_counter()
+    for batch in range(2):
+        for key in range(10_000):
+            balances.state.key = key
+            told = list(balances.handleInputRows((key,), iter([Row(k=key, at=4 * batch - t, state_change=t) for t in range(4)]), None))
+            assert [r.at for r in told] == [4 * batch - t for t in (3, 2, 1, 0)]
+    assert held[5] == (22, 4) and [(r.state_late, r.state_balance) for r in told] == [(False, 19), (False, 21), (False, 22), (False, 22)]
+    assert time.perf_counter() - start < 15
+
+
 def test_no_batch_reads_what_earlier_ones_wrote(spark, tmp_path, monkeypatch):
     src, out, ckpt = _paths(tmp_path)
     monkeypatch.setattr(sinks, "read_batches", None)
