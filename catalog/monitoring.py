@@ -30,11 +30,12 @@ H1 = f"WITH {SCORED_CTE} SELECT doc_id, source, pool, round(score, 6) AS score,
 def h2_score_units(spark, d):
     """Fit on one binary feature of the derived functions, with a label of its own for every third file, then write their risk records."""
     corpus = code_corpus(spark, d)
-    table = materialize(contract_features(describe_units(corpus)).withColumn(
-        "label", F.expr("CASE WHEN CAST(path AS BIGINT) % 3 = 0 THEN 1 - has_self ELSE has_self END")), "units")
+    units = materialize(describe_units(corpus), "units")  # told once, to fit on and to score
+    table = materialize(contract_features(units).withColumn(
+        "label", F.expr("CASE WHEN CAST(path AS BIGINT) % 3 = 0 THEN 1 - has_self ELSE has_self END")), "features")
     params = {"n_estimators": 5, "max_depth": 1, "bootstrap": False}
     model = Pipeline(stages=[assembler(["has_self"]), L.build_model("forest", params)]).fit(table)
-    out = H.score_units(corpus, model)
+    out = H.score_units(corpus, model, units=units)
     flat = {c: F.array_join(c, "|") for c in ("requires", "ensures", "invariant")}
     return out.withColumns(flat)
 

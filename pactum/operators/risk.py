@@ -20,10 +20,13 @@ def band(scores: DataFrame, policy: Policy = Policy(), score: str = "score") ->
     return scores.withColumn("level", risk_level(F.col(score), policy))
 
 
-def score_units(corpus: DataFrame, model: PipelineModel, policy: Policy = Policy()) -> DataFrame:
-    """Risk record of every function of a corpus, special ones included."""
+def score_units(corpus: DataFrame, model: PipelineModel, policy: Policy = Policy(), units: DataFrame | None = None) -> DataFrame:
+    """Risk record of every function of a corpus, special ones included.
+
+    `units` is what `describe_units` told of this corpus, where it is already kept; else the corpus is read here.
+    """
     said = ("path", "name", "line", "requires", "ensures", "invariant")
-    table = contract_features(describe_units(corpus), said)
+    table = contract_features(describe_units(corpus) if units is None else units, said)
     scored = predict(model, table).drop(*FEATURE_COLS, "prediction")
     return (band(scored, policy)
             .select(F.element_at(F.split("path", "/"), -1).alias("file"), *said,

@@ -70,6 +70,14 @@ def structure(corpus: DataFrame) -> DataFrame:
     and class when the item is a function; `occupied` marks lines an item's
     extent can end on. Files that `quarantine` sets aside have no lines here.
     """
+    return _placed(corpus).select("path", "line", "stripped", "indent", "occupied", "masked", "item", "unit", "holder", "top", "top_class", "in_header")
+
+
+def _placed(corpus: DataFrame) -> DataFrame:
+    """The lines of `structure`, with the comment blocks that `gather` asks for.
+
+    What depends on nothing else is asked of the same window: each further one copies every line again.
+    """
     # The array of one binds the masked text, so it is made once for the verdict and the lines.
     sound = F.transform(F.array(text.mask_literals(F.col("content"))), lambda masked: F.when(
         text.scan_fault(masked).isNull(),
@@ -94,21 +102,24 @@ def structure(corpus: DataFrame) -> DataFrame:
     def latest(cond: Column, value: Column, frame) -> Column:
         return F.last(F.when(cond, value), ignorenulls=True).over(frame)
 
+    comment = F.col("stripped").startswith("#")
+    blank = F.col("stripped") == ""
+    # A comment block is a run of comment lines; a header sees the block of the last
+    # non-blank line above it, if that line is a comment.
+    seen = F.last(F.when(~blank, F.struct(comment.alias("is_block"), F.col("_block").alias("block"))), ignorenulls=True).over(before)
+    summed = lines.select("*", F.sum("_net").over(before).alias("_open"), F.lag("_joined").over(w).alias("_goes_on"),
+                          F.count_if(~comment).over(upto).alias("_block"))
     begins = (F.col("occupied") & ~F.col("_in_string")
-              & (F.coalesce(F.sum("_net").over(before), F.lit(0)) <= 0)
-              & ~F.coalesce(F.lag("_joined").over(w), F.lit(False)))
-    marked = lines.withColumn("_begins", begins)
+              & (F.coalesce(F.col("_open"), F.lit(0)) <= 0) & ~F.coalesce(F.col("_goes_on"), F.lit(False)))
+    marked = summed.withColumn("_begins", begins).drop("_net", "_joined", "_in_string", "_open", "_goes_on", "_m")
     top = F.col("_begins") & (F.col("indent") == 0)
     deeper = F.col("_begins") & (F.col("indent") > 0)
     class_name = F.regexp_extract("masked", _CLASS, 1)
-    levels = (
-        marked
-        .withColumn("_top", latest(top, F.struct(F.col("line"), F.nullif(class_name, F.lit("")).alias("name")), upto))
-        .withColumn("_prev", latest(F.col("_begins"), F.col("indent"), before))
-        # Indent of a class body: that of the first statement below its header.
-        .withColumn("_body", latest(deeper & (F.col("_prev") == 0), F.col("indent"), upto))
-        .withColumn("_statement", latest(F.col("_begins"), F.col("line"), upto))
-    )
+    levels = marked.select(
+        "*", latest(top, F.struct(F.col("line"), F.nullif(class_name, F.lit("")).alias("name")), upto).alias("_top"),
+        latest(F.col("_begins"), F.col("indent"), before).alias("_prev"),
+        latest(F.col("_begins"), F.col("line"), upto).alias("_statement"), seen.alias("_seen"),
+    ).withColumn("_body", latest(deeper & (F.col("_prev") == 0), F.col("indent"), upto))  # indent of a class body: that of the first statement below its header
     in_class = F.col("_top.name").isNotNull()
     starts = F.col("_begins") & ((F.col("indent") == 0) | (in_class & (F.col("indent") <= F.col("_body"))))
     name = F.nullif(F.regexp_extract("masked", _DEF, 1), F.lit(""))
@@ -121,7 +132,7 @@ def structure(corpus: DataFrame) -> DataFrame:
                 F.col("_item.line").alias("item"), F.col("_item.unit").alias("unit"),
                 F.when(F.col("_item.member"), F.col("_top.name")).alias("holder"),
                 F.col("_top.line").alias("top"), F.col("_top.name").alias("top_class"),
-                (F.col("_statement") == F.col("_item.line")).alias("in_header"))
+                (F.col("_statement") == F.col("_item.line")).alias("in_header"), "_block", "_seen")
     )
 
 
@@ -134,30 +145,24 @@ def gather(corpus: DataFrame, invariant_scope: str = "above") -> DataFrame:
     """
     if invariant_scope not in ("above", "body"):
         raise ValueError(f"unknown invariant scope: {invariant_scope}")
-    upto = _in_order().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = _in_order().rowsBetween(Window.unboundedPreceding, -1)
-    below = (Window.partitionBy("path").orderBy(F.desc("line"))
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    comment = F.col("stripped").startswith("#")
-    blank = F.col("stripped") == ""
-    code = ~comment & ~blank
-    # A comment block is a run of comment lines; a header sees the block of the last
-    # non-blank line above it, if that line is a comment.
-    seen = F.last(F.when(~blank, F.struct(comment.alias("is_block"), F.col("_block").alias("block"))),
-                  ignorenulls=True).over(before)
+    below = Window.partitionBy("path").orderBy(F.desc("line"))
+    upto, after = below.rowsBetween(Window.unboundedPreceding, Window.currentRow), below.rowsBetween(Window.unboundedPreceding, -1)
+    code = ~F.col("stripped").startswith("#") & (F.col("stripped") != "")
+    tagged = F.col("clause").isNotNull()
     rows = (
-        structure(corpus)
-        .withColumn("_block", F.count_if(~comment).over(upto))
-        .withColumn("_seen", seen)
-        .withColumn("_next", F.last(F.when(code, F.struct(
-            F.when(F.col("line") == F.col("item"), F.col("line")).alias("line"),
-            F.when(F.col("_seen.is_block"), F.col("_seen.block")).alias("block"))), ignorenulls=True).over(below))
-        .withColumn("_below", F.last(F.when(F.col("occupied"), F.col("item")), ignorenulls=True).over(
-            Window.partitionBy("path").orderBy(F.desc("line")).rowsBetween(Window.unboundedPreceding, -1)))
+        _placed(corpus)
         .withColumn("clause", text.clause_kind(F.col("stripped")))
         .withColumn("expr", text.clause_text(F.col("stripped"), F.col("clause")))
+        .withColumn("_code", code)
+        # Blank lines and other comments say nothing to the lines above them.
+        .filter(tagged | F.col("_code") | F.col("occupied"))
+        # Text is carried on for headers only.
+        .withColumn("masked", F.when(F.col("in_header") & F.col("unit").isNotNull(), F.col("masked"))).drop("stripped", "indent")
+        .select("*", F.last(F.when(F.col("_code"), F.struct(
+            F.when(F.col("line") == F.col("item"), F.col("line")).alias("line"),
+            F.when(F.col("_seen.is_block"), F.col("_seen.block")).alias("block"))), ignorenulls=True).over(upto).alias("_next"),
+            F.last(F.when(F.col("occupied"), F.col("item")), ignorenulls=True).over(after).alias("_below"))
     )
-    tagged = F.col("clause").isNotNull()
     # From here on only clauses, headers and last lines matter; bodies go no further.
     last = F.col("occupied") & F.coalesce(F.col("_below") != F.col("item"), F.lit(True))
     rows = rows.filter(tagged | (F.col("in_header") & F.col("occupied")) | last)

@@ -5,7 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import monitoring
 from pactum.functions.text import parameter_names
+from pactum.operators import risk
 from pactum.operators.features import contract_features
 from pactum.operators.units import (class_invariants, classify_lines, clauses_above, describe_units, explode_lines,
                                     extract_clauses, quarantine, structure)
@@ -227,3 +229,16 @@ def test_golden_feature_rows(spark):
             if len(cells) == 14 and cells[1].startswith("example"):
                 want[cells[1], cells[2]] = tuple(map(int, cells[3:]))
     assert len(want) == 44 and got == want
+
+
+def test_lines_pass_few_windows(spark):
+    """Each window copies every line once more: those that ask nothing of one another are one."""
+    plan = describe_units(corpus(spark, "def f(a):\n    return a\n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") <= 6
+
+
+def test_units_are_told_once_to_fit_and_to_score(spark, sf, monkeypatch):
+    told = []
+    for module in (monitoring, risk):
+        monkeypatch.setattr(module, "describe_units", lambda c, real=describe_units: told.append(1) or real(c))
+    assert monitoring.h2_score_units(spark, sf).count() > 0 and len(told) == 1
