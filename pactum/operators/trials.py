@@ -98,14 +98,16 @@ def exhaustive_trials(units: DataFrame, keys: Sequence[str]) -> DataFrame:
     # Stride of each position: product of the domain sizes before it.
     staged = _call_params(units).withColumn("_total", F.aggregate(
         "_args", F.lit(1).cast("bigint"), lambda acc, a: acc * a["size"]))
+    strides = F.transform("_args", lambda a: F.struct(
+        a["pos"].alias("pos"), a["param"].alias("param"), a["kind"].alias("kind"), a["size"].alias("size"),
+        F.aggregate(F.filter("_args", lambda b: b["pos"] < a["pos"]), F.lit(1).cast("bigint"), lambda acc, b: acc * b["size"])))
+    # Arguments come apart before trials do, so a trial is a number and no list is looked into for it.
     spread = (staged
-              .select(*keys, "_args", "_total", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_total") - 1, F.lit(BLOCK))).alias("_block"))
+              .select(*keys, strides.alias("_args"), "_total", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_total") - 1, F.lit(BLOCK))).alias("_block"))
               .repartition(*keys, "_block")
-              .select(*keys, "_args", F.explode(F.sequence("_block", F.least(F.col("_block") + BLOCK, F.col("_total")) - 1)).alias("trial"))
-              .select(*keys, "trial", F.inline(F.transform("_args", lambda a: F.struct(
-                  a["pos"].alias("pos"), a["param"].alias("param"), a["kind"].alias("kind"), a["size"].alias("size"),
-                  F.aggregate(F.filter("_args", lambda b: b["pos"] < a["pos"]), F.lit(1).cast("bigint"),
-                              lambda acc, b: acc * b["size"]).alias("stride"))))))
+              .select(*keys, "_block", (F.least(F.col("_block") + BLOCK, F.col("_total")) - 1).alias("_last"),
+                      F.inline("_args").alias("pos", "param", "kind", "size", "stride"))
+              .select(*keys, "pos", "param", "kind", "size", "stride", F.explode(F.sequence("_block", "_last")).alias("trial")))
     pick = F.pmod(F.expr("trial div stride"), F.col("size"))
     return (spread.select(*keys, "trial", "pos", "param", "kind", _argument(F.col("kind"), pick).alias("_v"))
             .select(*keys, "trial", "pos", "param", "kind", "_v.*"))

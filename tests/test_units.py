@@ -9,6 +9,7 @@ from catalog import monitoring
 from pactum.functions.text import parameter_names
 from pactum.operators import risk
 from pactum.operators.features import contract_features
+from pactum.operators.trials import exhaustive_trials
 from pactum.operators.units import (class_invariants, classify_lines, clauses_above, describe_units, explode_lines,
                                     extract_clauses, quarantine, structure)
 from pactum.sources.corpus import read_corpus
@@ -242,3 +243,12 @@ def test_units_are_told_once_to_fit_and_to_score(spark, sf, monkeypatch):
     for module in (monitoring, risk):
         monkeypatch.setattr(module, "describe_units", lambda c, real=describe_units: told.append(1) or real(c))
     assert monitoring.h2_score_units(spark, sf).count() > 0 and len(told) == 1
+
+
+def test_trials_are_numbered_after_their_arguments_come_apart(spark):
+    trials = exhaustive_trials(describe_units(corpus(spark, "def f(a, s):\n    return a\n")), ["path", "line"])
+    plan = trials._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(sequence(_block") < plan.index("inline(_args")  # the plan is printed from its end
+    got = sorted((r["trial"], r["pos"], r["number"], r["string"]) for r in trials.collect())
+    want = [(t, 0, t % 11 - 5, None) for t in range(33)] + [(t, 1, None, ("a", "hello", "XYZ")[t // 11]) for t in range(33)]
+    assert got == sorted(want, key=lambda r: r[:2])
