@@ -24,7 +24,7 @@ LEAST = 30
 EXTENDED_PERCENT = 80
 TOP = 2000
 SCORE_SCALE = 2_000_000
-#: Words a worker counts at a time.
+#: Words a worker counts at a time, and phrases or words it may hold before it hands them on.
 CHUNK = 2_000_000
 #: Buckets that all pairs and triples of words are counted in first, 65,536 to a shard. Their number is fixed, so they only
 #: spare rows; what they let through is counted exactly.
@@ -74,31 +74,78 @@ class _Chunk:
             found.append((at, mixed))
         return codes, found
 
-    def grams(self, size: int, often: list[np.ndarray]) -> Iterator[tuple[list[str], list[bytes], np.ndarray]]:
-        """(groups, phrases, counts) of the phrases of 2 to `size` words that may be frequent.
+    def windows(self, of: list[str], words: list[bytes], size: int, often: list[np.ndarray]) -> np.ndarray:
+        """For each place the longest phrase of 2 to `size` words there that may be frequent: its words' numbers, then -1.
 
         `often` has the frequent buckets of pairs, triples and so on.
         """
-        of, words = self.named()
         codes, hashed = self.hashed(of, words, 1 + len(often))
-        able = []
-        for bits, (at, mixed) in zip(often, hashed, strict=True):
-            bucket = mixed & np.uint64(len(bits) * 8 - 1)
-            able.append(at[(bits[(bucket >> np.uint64(3)).astype(np.int64)] >> (bucket & np.uint64(7)).astype(np.uint8) & 1).astype(bool)])
-        start = able[0]
-        # Number of the phrase that begins at each place, first that of its word.
-        known = codes
-        for k in range(2, size + 1):
-            if k > 2:  # a phrase of k words: one of k-1 words here and one at the next place
-                start = start[known[start + 1] >= 0]
-                if k < 2 + len(able):
-                    start = np.intersect1d(start, able[k - 2], assume_unique=True)
-            _, first, kind, n = np.unique(known[start] * np.int64(len(codes) + 1) + known[start + 1], return_index=True, return_inverse=True, return_counts=True)
-            for low in range(0, len(first), 100_000):
-                places = start[first[low:low + 100_000]].tolist()
-                yield ([of[self.codes[p]] for p in places], [b" ".join([words[c] for c in self.codes[p:p + k]]) for p in places], n[low:low + 100_000])
-            known = np.full(len(codes) + 1, -1, np.int64)
-            known[start] = kind
+        length = np.append(codes >= 0, False).astype(np.int32)
+        for k in range(2, size + 1):  # a phrase of k words: one of k-1 words here and one at the next place
+            able = (length[:-1] >= k - 1) & (length[1:] >= k - 1)
+            if k < 2 + len(often):
+                bits, (at, mixed) = often[k - 2], hashed[k - 2]
+                bucket = mixed & np.uint64(len(bits) * 8 - 1)
+                held = np.zeros(len(able), bool)
+                held[at] = (bits[(bucket >> np.uint64(3)).astype(np.int64)] >> (bucket & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                able &= held
+            length[:-1][able] = k
+        start = np.flatnonzero(length > 1)
+        found = np.full((len(start), size), -1, np.int32)
+        for k in range(size):
+            inside = length[start] > k
+            found[inside, k] = codes[start[inside] + k]
+        return found
+
+
+def _tally(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows in order, and their sums of `n`."""
+    if not len(rows):
+        return rows, n
+    order = np.lexsort(rows.T[::-1])
+    rows, n = rows[order], n[order]
+    first = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]).any(axis=1)))
+    return rows[first], np.add.reduceat(n, first)
+
+
+class _Counts:
+    """Counts of the phrases that may be frequent, summed over the chunks a worker reads."""
+
+    def __init__(self, size: int, often: list[np.ndarray]) -> None:
+        self.size, self.often = size, often
+        self.numbers: dict[tuple[str, bytes], int] = {}
+        self.windows, self.n = np.zeros((0, size), np.int32), np.zeros(0, np.int64)
+        self.later: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, chunk: _Chunk) -> None:
+        of, words = chunk.named()
+        windows = chunk.windows(of, words, self.size, self.often)
+        windows, n = _tally(windows, np.ones(len(windows), np.int64))
+        own = np.full(len(words) + 1, -1, np.int32)  # the last one for -1
+        used = np.unique(windows[windows >= 0])
+        own[used] = [self.numbers.setdefault((of[c], words[c]), len(self.numbers)) for c in used.tolist()]
+        self.later.append((own[windows], n))
+        if sum(len(n) for _, n in self.later) >= len(self.n):
+            self.merge()
+
+    def merge(self) -> None:
+        windows, n = zip((self.windows, self.n), *self.later, strict=True)
+        self.windows, self.n = _tally(np.concatenate(windows), np.concatenate(n))
+        self.later = []
+
+    def held(self) -> int:
+        return max(len(self.n), len(self.numbers))
+
+    def grams(self) -> Iterator[tuple[list[str], list[bytes], np.ndarray]]:
+        """(groups, phrases, counts), each phrase once."""
+        self.merge()
+        names = list(self.numbers)
+        for k in range(2, self.size + 1):
+            long = self.windows[:, k - 1] >= 0
+            phrases, n = _tally(self.windows[long, :k], self.n[long])
+            for low in range(0, len(n), 100_000):
+                some = phrases[low:low + 100_000].tolist()
+                yield [names[p[0]][0] for p in some], [b" ".join([names[c][1] for c in p]) for p in some], n[low:low + 100_000]
 
 
 def _rows(groups: list[str | None], phrases: list[bytes | None], n: np.ndarray) -> list[pa.Array]:
@@ -166,15 +213,28 @@ def _often(buckets: DataFrame, least: int, longest: int) -> list[np.ndarray]:
 
 
 def _longer_counts(texts: DataFrame, size: int, often: list[np.ndarray]) -> DataFrame:
-    """(group, phrase, n) of all phrases of 2 to `size` words that may be frequent."""
-    shared, most = texts.sparkSession.sparkContext.broadcast(often), CHUNK
+    """(group, phrase, n) of all phrases of 2 to `size` words that may be frequent.
+
+    Read by one task a core: a task hands on a phrase once, however many texts it reads, and sooner only when it holds
+    more than `CHUNK` phrases or words. So the rows grow with the phrases, not with phrases times parts of the input.
+    """
+    context, most = texts.sparkSession.sparkContext, CHUNK
+    shared = context.broadcast(often)
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches, most):
-            for found in chunk.grams(size, shared.value):
+        def told() -> Iterator[pa.RecordBatch]:
+            for found in counts.grams():
                 yield pa.RecordBatch.from_arrays(_rows(*found), ["group", "phrase", "n"])
 
-    return texts.mapInArrow(make, "group string, phrase string, n bigint").groupBy("group", "phrase").agg(F.sum("n").alias("n"))
+        counts = _Counts(size, shared.value)
+        for chunk in _chunks(batches, most):
+            counts.add(chunk)
+            if counts.held() > most:
+                yield from told()
+                counts = _Counts(size, shared.value)
+        yield from told()
+
+    return texts.coalesce(context.defaultParallelism).mapInArrow(make, "group string, phrase string, n bigint").groupBy("group", "phrase").agg(F.sum("n").alias("n"))
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", group_col: str = "lang", size: int = WORDS, least: int = LEAST) -> tuple[DataFrame, DataFrame]:

@@ -98,3 +98,17 @@ def test_long_texts_are_read_whole(spark):
     f = {tuple(r["words"]): r["f"] for r in phrases.collect()}
     assert f["long",] == 200_000 and f["words", "long"] == 199_999 and f["long", "words", "long", "words"] == 199_999
     assert f["one", "two", "three"] == 60_000 and ("three", "one") not in f and totals.first()["n"] == 580_000
+
+
+def test_rows_handed_on_grow_with_phrases_not_with_parts(spark, monkeypatch):
+    texts = spark.createDataFrame([("en", "one two three four five six")] * 400, "`group` string, text string").repartition(40)
+    frames, plain = [], type(texts).mapInArrow
+
+    def recorded(self, *given):
+        frames.append(plain(self, *given))
+        return frames[-1]
+
+    monkeypatch.setattr(type(texts), "mapInArrow", recorded)
+    counts = c._longer_counts(texts, 4, [np.full(1, 255, np.uint8)] * 2)
+    assert sorted(r["n"] for r in counts.collect()) == [400] * 12
+    assert frames[0].count() <= 12 * spark.sparkContext.defaultParallelism
