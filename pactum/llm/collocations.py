@@ -24,8 +24,12 @@ LEAST = 30
 EXTENDED_PERCENT = 80
 TOP = 2000
 SCORE_SCALE = 2_000_000
-#: Words a worker counts at a time, and phrases or words it may hold before it hands them on.
+#: Words a worker counts at a time, and phrases it may hold before it hands them on. Different words weigh more (`_weight`).
 CHUNK = 2_000_000
+#: Places of a chunk whose phrases are looked at together, and parts that held phrases are summed in, one after the other:
+#: what this takes besides the words and counts themselves stays small.
+PLACES = 1 << 18
+PARTS = 16
 #: Buckets that all pairs and triples of words are counted in first, 65,536 to a shard. Their number is fixed, so they only
 #: spare rows; what they let through is counted exactly.
 SHARDS = 1024
@@ -35,22 +39,33 @@ SALTS = 64
 _ENDS = bytes(10 if c in b".,;:!?\x0a\x0b\x0c\x0d" else c for c in range(256))
 
 
+def _weight(rows: int, words: int, size: int) -> int:
+    """What `rows` numbers or phrases with `words` different words of `size` bytes weigh in memory, as rows."""
+    return max(rows, 4 * words, size // 32)
+
+
 class _Chunk:
     """Words of many texts as numbers, one for each word of a group; -1 ends a piece."""
 
     def __init__(self) -> None:
-        self.codes, self.fresh = array("q"), count()
+        self.codes, self.fresh = array("i"), count()
         self.groups: dict[str, defaultdict[bytes, int]] = {}
+        self.words = self.size = 0
 
     def add(self, group: str, text: str) -> None:
         own = self.groups.get(group)
         if own is None:
             own = self.groups[group] = defaultdict(self.fresh.__next__)
-        number = own.__getitem__
-        for piece in text.encode().lower().translate(_ENDS).split(b"\n"):
+        number, before, raw = own.__getitem__, len(own), text.encode()
+        for piece in raw.lower().translate(_ENDS).split(b"\n"):
             for words in word_blocks(piece):
                 self.codes.extend(map(number, words))
             self.codes.append(-1)
+        self.words += len(own) - before
+        self.size += len(raw)
+
+    def held(self) -> int:
+        return _weight(len(self.codes), self.words, self.size)
 
     def named(self) -> tuple[list[str], list[bytes]]:
         """Group and text of each number."""
@@ -59,43 +74,48 @@ class _Chunk:
         words = [w for own in self.groups.values() for w in own]
         return [of[k] for k in order], [words[k] for k in order]
 
-    def hashed(self, of: list[str], words: list[bytes], longest: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-        """Codes, and for phrases of 2 to `longest` words (places where they begin, hashes)."""
-        codes = np.frombuffer(self.codes, np.int64)
+    def parts(self, of: list[str], words: list[bytes], reach: int, longest: int) -> Iterator[tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]]:
+        """PLACES codes at a time, then those that phrases of `reach` words take from the next part, and -1.
+
+        With them, for phrases of 2 to `longest` words, (places where they begin, hashes).
+        """
+        codes = np.frombuffer(self.codes, np.int32)
         seed = {g: xxhash.xxh64_intdigest(g) for g in self.groups}
-        hashes = np.array([xxhash.xxh64_intdigest(w, seed[g]) for g, w in zip(of, words, strict=True)], np.uint64)
-        at = np.flatnonzero(codes >= 0)
-        mixed, found = hashes[codes[at]], []
-        for k in range(1, longest):
-            more = codes[at + k] >= 0  # a word is never the last code
-            at, mixed = at[more], mixed[more]
-            with np.errstate(over="ignore"):
-                mixed = mix(mixed * np.uint64(0x9E3779B97F4A7C15) + hashes[codes[at + k]])
-            found.append((at, mixed))
-        return codes, found
-
-    def windows(self, of: list[str], words: list[bytes], size: int, often: list[np.ndarray]) -> np.ndarray:
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed[g]) for g, w in zip(of, words, strict=True)), np.uint64, len(words))
+        for low in range(0, len(codes), PLACES):
+            some = np.append(codes[low:low + PLACES + reach - 1], np.int32(-1))
+            at = np.flatnonzero(some >= 0)
+            mixed, found = hashes[some[at]], []
+            for k in range(1, longest):
+                more = some[at + k] >= 0  # a word is never the last code
+                at, mixed = at[more], mixed[more]
+                with np.errstate(over="ignore"):
+                    mixed = mix(mixed * np.uint64(0x9E3779B97F4A7C15) + hashes[some[at + k]])
+                found.append((at, mixed))
+            yield some, found
+
+    def windows(self, of: list[str], words: list[bytes], size: int, often: list[np.ndarray]) -> Iterator[np.ndarray]:
         """For each place the longest phrase of 2 to `size` words there that may be frequent: its words' numbers, then -1.
 
         `often` has the frequent buckets of pairs, triples and so on.
         """
-        codes, hashed = self.hashed(of, words, 1 + len(often))
-        length = np.append(codes >= 0, False).astype(np.int32)
-        for k in range(2, size + 1):  # a phrase of k words: one of k-1 words here and one at the next place
-            able = (length[:-1] >= k - 1) & (length[1:] >= k - 1)
-            if k < 2 + len(often):
-                bits, (at, mixed) = often[k - 2], hashed[k - 2]
-                bucket = mixed & np.uint64(len(bits) * 8 - 1)
-                held = np.zeros(len(able), bool)
-                held[at] = (bits[(bucket >> np.uint64(3)).astype(np.int64)] >> (bucket & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-                able &= held
-            length[:-1][able] = k
-        start = np.flatnonzero(length > 1)
-        found = np.full((len(start), size), -1, np.int32)
-        for k in range(size):
-            inside = length[start] > k
-            found[inside, k] = codes[start[inside] + k]
-        return found
+        for codes, hashed in self.parts(of, words, size, 1 + len(often)):
+            length = np.append(codes >= 0, False).astype(np.int32)
+            for k in range(2, size + 1):  # a phrase of k words: one of k-1 words here and one at the next place
+                able = (length[:-1] >= k - 1) & (length[1:] >= k - 1)
+                if k < 2 + len(often):
+                    bits, (at, mixed) = often[k - 2], hashed[k - 2]
+                    bucket = mixed & np.uint64(len(bits) * 8 - 1)
+                    held = np.zeros(len(able), bool)
+                    held[at] = (bits[(bucket >> np.uint64(3)).astype(np.int64)] >> (bucket & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                    able &= held
+                length[:-1][able] = k
+            start = np.flatnonzero(length[:PLACES] > 1)
+            found = np.full((len(start), size), -1, np.int32)
+            for k in range(size):
+                inside = length[start] > k
+                found[inside, k] = codes[start[inside] + k]
+            yield found
 
 
 def _tally(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,41 +131,64 @@ def _tally(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class _Counts:
     """Counts of the phrases that may be frequent, summed over the chunks a worker reads."""
 
-    def __init__(self, size: int, often: list[np.ndarray]) -> None:
-        self.size, self.often = size, often
-        self.numbers: dict[tuple[str, bytes], int] = {}
-        self.windows, self.n = np.zeros((0, size), np.int32), np.zeros(0, np.int64)
-        self.later: list[tuple[np.ndarray, np.ndarray]] = []
+    def __init__(self, size: int) -> None:
+        self.size = size
+        self.own = np.zeros(0, np.int32)
+        self.clear()
 
-    def add(self, chunk: _Chunk) -> None:
-        of, words = chunk.named()
-        windows = chunk.windows(of, words, self.size, self.often)
+    def clear(self) -> None:
+        self.numbers: dict[tuple[str, bytes], int] = {}
+        self.bytes = self.later = 0
+        self.own[:] = -1
+        # A phrase lies in a part by its first word, so one part is merged and told at a time.
+        self.parts = [(np.zeros((0, self.size), np.int32), np.zeros(0, np.int64))] * PARTS
+        self.added: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(PARTS)]
+
+    def begin(self, of: list[str], words: list[bytes]) -> None:
+        """From now on numbers of words are those of another chunk."""
+        self.of, self.words = of, words
+        self.own = np.full(len(words) + 1, -1, np.int32)  # own numbers of its words, the last one for -1
+
+    def add(self, windows: np.ndarray) -> None:
         windows, n = _tally(windows, np.ones(len(windows), np.int64))
-        own = np.full(len(words) + 1, -1, np.int32)  # the last one for -1
         used = np.unique(windows[windows >= 0])
-        own[used] = [self.numbers.setdefault((of[c], words[c]), len(self.numbers)) for c in used.tolist()]
-        self.later.append((own[windows], n))
-        if sum(len(n) for _, n in self.later) >= len(self.n):
+        for c in used[self.own[used] < 0].tolist():
+            fresh = len(self.numbers)
+            self.own[c] = self.numbers.setdefault((self.of[c], self.words[c]), fresh)
+            if self.own[c] == fresh:
+                self.bytes += len(self.words[c])
+        windows = self.own[windows]
+        part = windows[:, 0] % PARTS
+        for k, added in enumerate(self.added):
+            added.append((windows[part == k], n[part == k]))
+        self.later += len(n)
+        if self.later >= self.rows():
             self.merge()
 
     def merge(self) -> None:
-        windows, n = zip((self.windows, self.n), *self.later, strict=True)
-        self.windows, self.n = _tally(np.concatenate(windows), np.concatenate(n))
-        self.later = []
+        for k, added in enumerate(self.added):
+            windows, n = zip(self.parts[k], *added, strict=True)
+            added.clear()
+            self.parts[k] = _tally(np.concatenate(windows), np.concatenate(n))
+        self.later = 0
+
+    def rows(self) -> int:
+        return sum(len(n) for _, n in self.parts)
 
     def held(self) -> int:
-        return max(len(self.n), len(self.numbers))
+        return _weight(self.rows(), len(self.numbers), self.bytes)
 
     def grams(self) -> Iterator[tuple[list[str], list[bytes], np.ndarray]]:
         """(groups, phrases, counts), each phrase once."""
         self.merge()
         names = list(self.numbers)
-        for k in range(2, self.size + 1):
-            long = self.windows[:, k - 1] >= 0
-            phrases, n = _tally(self.windows[long, :k], self.n[long])
-            for low in range(0, len(n), 100_000):
-                some = phrases[low:low + 100_000].tolist()
-                yield [names[p[0]][0] for p in some], [b" ".join([names[c][1] for c in p]) for p in some], n[low:low + 100_000]
+        for windows, counted in self.parts:
+            for k in range(2, self.size + 1):
+                long = windows[:, k - 1] >= 0
+                phrases, n = _tally(windows[long, :k], counted[long])
+                for low in range(0, len(n), 100_000):
+                    some = phrases[low:low + 100_000].tolist()
+                    yield [names[p[0]][0] for p in some], [b" ".join([names[c][1] for c in p]) for p in some], n[low:low + 100_000]
 
 
 def _rows(groups: list[str | None], phrases: list[bytes | None], n: np.ndarray) -> list[pa.Array]:
@@ -157,7 +200,7 @@ def _chunks(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[_Chunk]:
     for batch in batches:
         for group, text in zip(*batch.columns, strict=True):
             chunk.add(group.as_py(), text.as_py())
-            if len(chunk.codes) > most:
+            if chunk.held() > most:
                 yield chunk
                 chunk = _Chunk()
     yield chunk
@@ -171,11 +214,17 @@ def _words_and_buckets(texts: DataFrame, longest: int) -> DataFrame:
         names = ["group", "phrase", "n", "size", "shard", "places"]
         for chunk in _chunks(batches, most):
             of, words = chunk.named()
-            codes, hashed = chunk.hashed(of, words, longest)
-            n = np.bincount(codes[codes >= 0], minlength=len(words))
+            n, dealt = np.zeros(len(words), np.int64), [[] for _ in range(2, longest + 1)]
+            for codes, hashed in chunk.parts(of, words, longest, longest):
+                n += np.bincount(codes[:PLACES][codes[:PLACES] >= 0], minlength=len(words))
+                for to, (at, mixed) in zip(dealt, hashed, strict=True):
+                    to.append((mixed[at < PLACES] & np.uint64((shards << 16) - 1)).astype(np.uint32))
+            del chunk  # or two of them lie in memory while the next one is read
             yield pa.RecordBatch.from_arrays([*_rows(of, words, n), *[pa.nulls(len(of), t) for t in (pa.int32(), pa.int32(), pa.binary())]], names)
-            for size, (_, mixed) in enumerate(hashed, 2):
-                bucket = np.sort((mixed & np.uint64((shards << 16) - 1)).astype(np.uint32))
+            del of, words
+            for size in range(2, longest + 1):
+                bucket = np.concatenate(dealt.pop(0) or [np.zeros(0, np.uint32)])
+                bucket.sort()
                 cuts = np.searchsorted(bucket, np.arange(shards + 1, dtype=np.uint64) << np.uint64(16))
                 held = [k for k in range(shards) if cuts[k] < cuts[k + 1]]
                 places = [bucket[cuts[k]:cuts[k + 1]].astype(np.uint16).tobytes() for k in held]
@@ -216,7 +265,7 @@ def _longer_counts(texts: DataFrame, size: int, often: list[np.ndarray]) -> Data
     """(group, phrase, n) of all phrases of 2 to `size` words that may be frequent.
 
     Read by one task a core: a task hands on a phrase once, however many texts it reads, and sooner only when it holds
-    more than `CHUNK` phrases or words. So the rows grow with the phrases, not with phrases times parts of the input.
+    more than `CHUNK` phrases, or words that weigh as much. So the rows grow with the phrases, not with phrases times parts of the input.
     """
     context, most = texts.sparkSession.sparkContext, CHUNK
     shared = context.broadcast(often)
@@ -226,12 +275,16 @@ def _longer_counts(texts: DataFrame, size: int, often: list[np.ndarray]) -> Data
             for found in counts.grams():
                 yield pa.RecordBatch.from_arrays(_rows(*found), ["group", "phrase", "n"])
 
-        counts = _Counts(size, shared.value)
+        counts = _Counts(size)
         for chunk in _chunks(batches, most):
-            counts.add(chunk)
-            if counts.held() > most:
-                yield from told()
-                counts = _Counts(size, shared.value)
+            counts.begin(*chunk.named())
+            for windows in chunk.windows(counts.of, counts.words, size, shared.value):
+                counts.add(windows)
+                if counts.held() > most:
+                    yield from told()
+                    counts.clear()
+            counts.begin([], [])
+            del chunk  # or two of them lie in memory while the next one is read
         yield from told()
 
     return texts.coalesce(context.defaultParallelism).mapInArrow(make, "group string, phrase string, n bigint").groupBy("group", "phrase").agg(F.sum("n").alias("n"))

@@ -1,8 +1,10 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pactum.llm import collocations as c
@@ -112,3 +114,34 @@ def test_rows_handed_on_grow_with_phrases_not_with_parts(spark, monkeypatch):
     counts = c._longer_counts(texts, 4, [np.full(1, 255, np.uint8)] * 2)
     assert sorted(r["n"] for r in counts.collect()) == [400] * 12
     assert frames[0].count() <= 12 * spark.sparkContext.defaultParallelism
+
+
+def test_a_worker_holds_few_bytes_a_word(spark, monkeypatch):
+    """Neither every array of a chunk at once, nor a chunk while the next one is read."""
+    monkeypatch.setattr(c, "CHUNK", 200_000)
+    monkeypatch.setattr(c, "PLACES", 1 << 14, raising=False)
+    monkeypatch.setattr(c, "materialize", lambda df, _: df)
+    texts = spark.createDataFrame([], "`group` string, text string")
+    made, plain = [], type(texts).mapInArrow
+    monkeypatch.setattr(type(texts), "mapInArrow", lambda self, f, schema: made.append(f) or plain(self, f, schema))
+    c._words_and_buckets(texts, 3)
+    c._longer_counts(texts, 4, [np.full(1, 255, np.uint8)] * 2)
+    rng = random.Random(3)
+    lines = [" ".join(f"w{rng.randrange(300)}" for _ in range(1000)) for _ in range(20)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 500), pa.array([lines[k % 20] for k in range(500)])], ["group", "text"])
+    assert len(made) == 2
+    for make in made:
+        tracemalloc.start()
+        try:
+            words = sum(sum(filter(None, out["n"].to_pylist())) for out in make([batch] * 2))
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert words >= 1_000_000 and peak < 60 * c.CHUNK
+
+
+def test_many_different_words_end_a_chunk_sooner():
+    texts = pa.RecordBatch.from_arrays([pa.array(["en"] * 50), pa.array([" ".join(f"w{k}x{i}" for i in range(100)) for k in range(50)])], ["group", "text"])
+    assert [(len(x.codes), x.words) for x in c._chunks([texts], 4000)] == [(1111, 1100)] * 4 + [(606, 600)]
+    wide = pa.RecordBatch.from_arrays([pa.array(["en"] * 4), pa.array(["x" * 10_000] * 4)], ["group", "text"])
+    assert [len(x.codes) for x in c._chunks([wide], 600)] == [4, 4, 0]
