@@ -37,6 +37,25 @@ def scaled(x: np.ndarray, scale: int = SCALE) -> np.ndarray:
     return out.reshape(x.shape)
 
 
+def _written(lines: np.ndarray, scale: int) -> bytes:
+    """The numbers and a letter for their kind: floor(scale * x) in two bytes where all of them fit, else doubles as they are."""
+    fit = float(np.abs(lines).max(initial=0.0)) * abs(scale) < 1 << 15
+    numbers = np.floor(lines * scale).astype(np.int16) if fit else lines
+    return numbers.tobytes() + numbers.dtype.char.encode()
+
+
+def _numbers(data: bytes, n: int) -> np.ndarray:
+    """Lines of `n` numbers as they were written."""
+    kind = np.dtype(data[-1:].decode())
+    return np.frombuffer(data[:-1], kind).reshape(-1, n) if len(data) > 1 else np.zeros((0, n), kind)
+
+
+def _read(data: bytes, n: int, scale: int) -> np.ndarray:
+    """What `scaled` gives for the numbers."""
+    numbers = _numbers(data, n)
+    return numbers.astype(float) if numbers.dtype == np.int16 else scaled(numbers, scale)
+
+
 def vertical_scan(columns: np.ndarray, low: np.ndarray, high: np.ndarray, anchor: np.ndarray, rows: np.ndarray, keep) -> tuple[np.ndarray, np.ndarray]:
     """(rows, scores) of those that `keep` leaves in, their scores exact.
 
@@ -74,7 +93,7 @@ def _best(rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, nulls: np.ndarr
     return np.lexsort((rows, ids[rows], nulls[rows], -scores))[:k]
 
 
-def _blocks(most_rows: int):
+def _blocks(most_rows: int, scale: int):
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows cut into blocks, their vectors turned into columns; shorter vectors end in zeros."""
         first = TaskContext.get().partitionId() << 40
@@ -98,7 +117,7 @@ def _blocks(most_rows: int):
                 yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (
                     first, n, own.fill_null(0).to_numpy().tobytes(), own.is_null().to_numpy(zero_copy_only=False).tobytes(),
                     labels.slice(at, n).to_numpy().tobytes(), anchors.slice(at, n).to_numpy(zero_copy_only=False).tobytes(),
-                    np.ascontiguousarray(lines.T).tobytes())], ["first", "n", "ids", "nulls", "labels", "anchors", "vectors"])
+                    _written(np.ascontiguousarray(lines.T), scale))], ["first", "n", "ids", "nulls", "labels", "anchors", "vectors"])
                 first += n
                 at += n
     return blocks
@@ -112,11 +131,11 @@ def _anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for r in batch.to_pylist():
             at = np.flatnonzero(np.frombuffer(r["anchors"], bool))
-            columns = np.frombuffer(r["vectors"]).reshape(-1, r["n"])
+            columns, kind = _numbers(r["vectors"], r["n"]), r["vectors"][-1:]
             ids = [None if null else i for i, null in zip(np.frombuffer(r["ids"], np.int64)[at].tolist(), np.frombuffer(r["nulls"], bool)[at], strict=True)]
             yield pa.RecordBatch.from_arrays([
                 pa.array(r["first"] + at, pa.int64()), pa.array(ids, pa.int64()), pa.array(np.frombuffer(r["labels"], np.int64)[at]),
-                pa.array([columns[:, k].tobytes() for k in at], pa.binary())], ["anchor", "anchor_id", "label", "vector"])
+                pa.array([columns[:, k].tobytes() + kind for k in at], pa.binary())], ["anchor", "anchor_id", "label", "vector"])
 
 
 def _packs(most: int):
@@ -133,15 +152,22 @@ def _packs(most: int):
 
 
 def _meet(blocks: DataFrame, anchors: DataFrame, purpose: str) -> DataFrame:
-    """Each block with each pack of anchors, dealt into cells of a bounded number of both."""
+    """Each block with each pack of anchors, dealt into cells of a bounded number of both.
+
+    Both sides are copied to their cells, which the planner's sizes do not tell; so neither is ever broadcast, as
+    all copies would pass the driver. Packs are copied for some cells a partition, while their copies hold no more than the blocks'.
+    """
     many = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packs = materialize(anchors.repartition(max(1, anchors.count() // PACK), "anchor").mapInArrow(
+    n_anchors = anchors.count()
+    packs = materialize(anchors.repartition(max(1, n_anchors // PACK), "anchor").mapInArrow(
         _packs(PACK), "pack bigint, anchor array<bigint>, label array<bigint>, vector array<binary>, tops array<array<bigint>>"), purpose)
-    n_blocks, n_packs = blocks.count(), packs.count()
-    across, down = -(-n_packs // CELL) or 1, min(n_blocks, max(-(-n_blocks // CELL), many)) or 1
+    n_packs = packs.count()
+    n_blocks, n_rows = blocks.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    across = -(-n_packs // CELL) or 1
+    down = min(n_blocks, max(-(-n_blocks // CELL), min(-(-4 * many // across), across * n_rows // max(1, n_anchors)))) or 1
     left = blocks.drop("anchors").withColumn("down", F.pmod(F.xxhash64("first"), F.lit(down))).withColumn("across", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
     right = packs.withColumn("across", F.pmod(F.xxhash64("pack"), F.lit(across)).cast("int")).withColumn("down", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(down - 1).cast("bigint"))))
-    return left.join(right, ["down", "across"]).drop("down", "across", "pack")
+    return left.hint("merge").join(right, ["down", "across"]).drop("down", "across", "pack")
 
 
 def _scan(scale: int, of_label: bool, k: int, low_percent: int = 0, high_percent: int = 100):
@@ -165,12 +191,12 @@ def _scan(scale: int, of_label: bool, k: int, low_percent: int = 0, high_percent
                 first = batch["first"][r].as_py()
                 if held is None or held[0] != first:
                     n = batch["n"][r].as_py()
-                    columns = scaled(np.frombuffer(batch["vectors"][r].as_py()).reshape(-1, n), scale)
+                    columns = _read(batch["vectors"][r].as_py(), n, scale)
                     ids, nulls, labels = (np.frombuffer(batch[c][r].as_py(), t) for c, t in (("ids", np.int64), ("nulls", bool), ("labels", np.int64)))
                     held = first, (columns, columns.min(axis=1), columns.max(axis=1), ids, nulls, labels)
                 columns, low, high, ids, nulls, labels = held[1]
                 for anchor, label, vector, tops in zip(*(batch[c][r].as_py() for c in ("anchor", "label", "vector", "tops")), strict=True):
-                    q = scaled(np.frombuffer(vector)[:, None], scale)[:, 0]
+                    q = _read(vector, 1, scale)[:, 0]
                     exact = columns, low, high
                     most = float(np.abs(q).astype(float).max(initial=0.0)) * max(1.0, float(np.abs(low).astype(float).max(initial=0.0)), float(np.abs(high).astype(float).max(initial=0.0)))
                     if q.dtype != columns.dtype or most * max(1, len(q)) >= EXACT:
@@ -242,7 +268,7 @@ def hard_negatives(
     narrow = rows.select(F.col(id_col).cast("bigint").alias("id"), vector.alias("vector"), F.col(label_col).cast("bigint").alias("label"),
                          F.coalesce(anchors, F.lit(False)).alias("is_anchor"), sound.alias("sound"))
     narrow = narrow.filter("label is not null and vector is not null and sound").drop("sound")
-    blocks = materialize(narrow.mapInArrow(_blocks(BLOCK_ROWS), BLOCK_SCHEMA), "negatives-blocks")
+    blocks = materialize(narrow.mapInArrow(_blocks(BLOCK_ROWS, scale), BLOCK_SCHEMA), "negatives-blocks")
     chosen = materialize(blocks.mapInArrow(_anchors, "anchor bigint, anchor_id bigint, label bigint, vector binary"), "negatives-anchors")
     first = F.col("score").desc(), F.col("id").asc_nulls_last(), F.col("row")
 
@@ -252,7 +278,7 @@ def hard_negatives(
                        .select("anchor", F.col("id").alias("positive_id"), F.col("score").alias("top")), "negatives-positives")
 
     windows = best.groupBy("anchor").agg(F.collect_set("top").alias("tops"))  # at most `positives` each
-    far = _meet(blocks, chosen.join(windows, "anchor"), "negatives-packs").mapInArrow(_scan(scale, False, negatives, low_percent, high_percent), _FOUND)
+    far = _meet(blocks, chosen.hint("merge").join(windows, "anchor"), "negatives-packs").mapInArrow(_scan(scale, False, negatives, low_percent, high_percent), _FOUND)
     rank = F.row_number().over(Window.partitionBy("anchor", "top").orderBy(*first))
     found = materialize(far.withColumn("rank", rank).filter(F.col("rank") <= negatives), "negatives-found")
     return (best.join(found, ["anchor", "top"]).join(chosen.select("anchor", "anchor_id"), "anchor")

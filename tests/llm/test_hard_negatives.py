@@ -102,3 +102,38 @@ def test_scan_reads_large_dimensions_first_and_drops_by_bounds():
     assert (seen[0][0] <= exact).all() and (exact <= seen[0][1]).all()
     widths = [float((b - a).max()) for a, b in seen]
     assert widths == sorted(widths, reverse=True)
+
+
+def test_copies_of_blocks_and_packs_are_not_broadcast(spark, monkeypatch):
+    """The planner sizes the packs (under 0.1 MB here) without their copies, so it would take any number of copies through the driver."""
+    monkeypatch.setattr(h, "BLOCK_ROWS", 32)
+    monkeypatch.setattr(h, "PACK", 3)
+    monkeypatch.setattr(h, "CELL", 2)
+    plans, meet = [], h._meet
+
+    def watched(blocks, anchors, purpose):
+        met = meet(blocks, anchors, purpose)
+        plans.append(met._jdf.queryExecution().executedPlan().toString())
+        plans.append(anchors._jdf.queryExecution().executedPlan().toString())
+        return met
+
+    monkeypatch.setattr(h, "_meet", watched)
+    rows = [(25 * i, v, c) for i, v, c in vectors(random.Random(6), 200)]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        result = got(hard_negatives(frame(spark, rows), F.col("vec_id") % 100 == 0))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(plans) == 4 and not any("Broadcast" in p for p in plans)
+    assert result == brute(rows) and len(result) > 50
+
+
+def test_vectors_are_written_in_two_bytes_a_number_where_they_fit():
+    fits = np.array([[0.5, -1.0, 127.998], [-128.0 + 1 / 256, 0.0039, -0.0039]])
+    wide = np.array([[128.0, 0.3], [1e300, -1e300]])
+    for x, size in ((fits, 2), (wide, 8), (np.zeros((0, 3)), 2)):
+        data = h._written(x, 256)
+        assert len(data) == x.size * size + 1
+        read = h._read(data, x.shape[1], 256)
+        assert read.shape == x.shape and read.dtype == scaled(x).dtype and (read == scaled(x)).all()
